@@ -11,6 +11,7 @@ from zonecast.functions.times import hour_number
 from zonecast.operators.keyed import first_per_key
 from zonecast.operators.positions import zone_positions
 from zonecast.schemas import BIN, CITY_DEMAND, LAG_SOURCES, LAGS, NEIGHBOR_DEMAND, TARGETS, ZONE
+from zonecast.session import small
 
 
 def city_sums(df: DataFrame, targets: Sequence[str] = TARGETS, bin: str = BIN) -> DataFrame:
@@ -19,7 +20,7 @@ def city_sums(df: DataFrame, targets: Sequence[str] = TARGETS, bin: str = BIN) -
 
 def city_demand(panel: DataFrame, targets: Sequence[str] = TARGETS, bin: str = BIN) -> DataFrame:
     """Add the city's pickups of the hour per service: one aggregate, one join on the hour."""
-    return panel.join(city_sums(panel, targets, bin), bin, "left")
+    return panel.join(small(city_sums(panel, targets, bin), "city_sums"), bin, "left")
 
 
 def _lag_columns(cols: Sequence[str], lags: Sequence[int], take) -> dict[str, Column]:

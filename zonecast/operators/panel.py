@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.functions.numeric import inverse_speed, round_even
+from zonecast.functions.numeric import inverse_speed, round_even, zero_filled
 from zonecast.schemas import BIN, SERVICES, ZONE
-from zonecast.session import stage
+from zonecast.session import small, stage
 
 
 def trip_counts(trips: DataFrame, zone: str = "pulocationid") -> DataFrame:
@@ -38,28 +38,41 @@ def _staged_cells(trips: DataFrame, services: tuple[str, ...] = SERVICES) -> Dat
     return stage(trip_cells(trips, services), "cells")
 
 
-def grid_of(cells: DataFrame, continuous: bool = False) -> DataFrame:
-    """All zones at all hours: every hour of the span, or only the observed hours.
+def hour_table(cells: DataFrame) -> DataFrame:
+    """Per observed hour: city speed and index, and city pickups per service."""
+    targets = [name for name in cells.columns if name.startswith("target_")]
+    mean = F.try_divide(F.sum("mph_sum"), F.sum("mph_count"))
+    return with_city_index(
+        cells.groupBy(BIN).agg(
+            mean.alias("city_avg_speed"),
+            *[F.sum(t).alias(f"{t}_city_hour_pickups") for t in targets],
+        )
+    )
+
+
+def grid_of(cells: DataFrame, hours: DataFrame, continuous: bool = False) -> DataFrame:
+    """All zones at all hours: every hour of the span, or only those of ``hours``.
 
     The hours come from a sequence per zone, so no join multiplies rows; the observed hours are
     kept by an equi semi join. The zones are spread over a fixed number of tasks before they grow.
     """
     width = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = cells.agg(F.min(BIN)).scalar()
-    last = cells.agg(F.max(BIN)).scalar()
-    hours = F.sequence(first, last, F.make_dt_interval(hours=F.lit(1)))
+    first = hours.agg(F.min(BIN)).scalar()
+    last = hours.agg(F.max(BIN)).scalar()
+    span = F.sequence(first, last, F.make_dt_interval(hours=F.lit(1)))
     zones = cells.select(ZONE).distinct().repartition(width, ZONE)
-    grid = zones.select(F.explode(hours).alias(BIN), ZONE)
+    grid = zones.select(F.explode(span).alias(BIN), ZONE)
     if continuous:
         return grid
-    return grid.join(cells.select(BIN).distinct(), BIN, "left_semi")
+    return grid.join(small(hours.select(BIN), "hours"), BIN, "left_semi")
 
 
 def zone_hour_grid(trips: DataFrame, continuous: bool = False, zone: str = "pulocationid") -> DataFrame:
     keys = trips.where(F.col(BIN).isNotNull() & F.col(zone).isNotNull()).select(
         F.col(zone).alias(ZONE), BIN
     )
-    return grid_of(stage(keys.distinct(), "zone_hours"), continuous)
+    keys = stage(keys.distinct(), "zone_hours")
+    return grid_of(keys, keys.select(BIN).distinct(), continuous)
 
 
 def densify(parts: DataFrame, grid: DataFrame) -> DataFrame:
@@ -80,8 +93,8 @@ def hourly_targets(trips: DataFrame, services: tuple[str, ...] = SERVICES) -> Da
     """Trips per service on the dense grid of observed hours and zones, 0 where none."""
     targets = [f"target_{service}" for service in services]
     cells = _staged_cells(trips, services).select(ZONE, BIN, *targets)
-    dense = densify(cells, grid_of(cells))
-    return dense.select(BIN, ZONE, *[F.coalesce(t, F.lit(0)).alias(t) for t in targets])
+    dense = densify(cells, grid_of(cells, cells.select(BIN).distinct()))
+    return zero_filled(dense, targets).select(BIN, ZONE, *targets)
 
 
 def city_speed(trips: DataFrame) -> DataFrame:
@@ -93,11 +106,6 @@ def with_city_index(df: DataFrame) -> DataFrame:
     return df.withColumn("city_congestion_index", inverse_speed(F.col("city_avg_speed")))
 
 
-def city_speed_of(cells: DataFrame) -> DataFrame:
-    mean = F.try_divide(F.sum("mph_sum"), F.sum("mph_count"))
-    return with_city_index(cells.groupBy(BIN).agg(mean.alias("city_avg_speed")))
-
-
 def zone_mean() -> Column:
     return F.try_divide(F.col("mph_sum"), F.col("mph_count"))
 
@@ -105,9 +113,9 @@ def zone_mean() -> Column:
 def zone_speed(trips: DataFrame) -> DataFrame:
     """Mean speed per zone and hour of the whole span; falls back to the city, then the overall mean."""
     cells = _staged_cells(trips).select(ZONE, BIN, "mph_sum", "mph_count")
-    city = city_speed_of(cells).select(BIN, "city_avg_speed")
+    city = stage(hour_table(cells).select(BIN, "city_avg_speed"), "hours")
     overall = city.agg(F.avg("city_avg_speed")).scalar()
-    dense = densify(cells, grid_of(cells, continuous=True)).join(city, BIN, "left")
+    dense = densify(cells, grid_of(cells, city, continuous=True)).join(small(city, "hours"), BIN, "left")
     speed = F.coalesce(F.nullif(F.coalesce(zone_mean(), "city_avg_speed"), F.lit(0.0)), overall)
     return dense.select(BIN, ZONE, speed.alias("zone_avg_speed")).withColumn(
         "zone_congestion_index", F.coalesce(inverse_speed(F.col("zone_avg_speed")), F.lit(0.0))
@@ -135,9 +143,9 @@ def with_zone_speed(df: DataFrame) -> DataFrame:
 def panel_from_cells(cells: DataFrame) -> DataFrame:
     """The panel of ``panel_full`` from staged cells."""
     targets = [name for name in cells.columns if name.startswith("target_")]
-    dense = densify(cells, grid_of(cells))
-    filled = dense.withColumns({t: F.coalesce(t, F.lit(0)) for t in targets})
-    return with_zone_speed(filled.join(city_speed_of(cells), BIN, "left")).select(
+    hours = stage(hour_table(cells), "hours")
+    dense = zero_filled(densify(cells, grid_of(cells, hours)), targets)
+    return with_zone_speed(dense.join(small(hours, "hours"), BIN)).select(
         BIN, ZONE, *targets,
         "city_avg_speed", "city_congestion_index", "zone_avg_speed", "zone_congestion_index",
     )

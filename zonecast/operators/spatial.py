@@ -10,6 +10,7 @@ polygon-against-polygon scan, and long boundaries are spread over many cells.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -140,16 +141,54 @@ def _meeting(tolerance: float) -> tuple[Column, Column]:
     return meets, overlap
 
 
-def _cells(edges: DataFrame, size: Column, tolerance: float) -> DataFrame:
-    """Repeat each edge for every square cell its (slightly widened) bounding box covers."""
+def _columns(size: Column, tolerance: float) -> tuple[Column, Column]:
+    """First and last column of square cells that an edge's (slightly widened) box covers."""
+    left, right = F.least("ax", "bx"), F.greatest("ax", "bx")
+    return F.floor((left - tolerance) / size), F.floor((right + tolerance) / size)
 
-    def span(a: str, b: str) -> Column:
-        low = F.floor((F.least(a, b) - tolerance) / size)
-        high = F.floor((F.greatest(a, b) + tolerance) / size)
-        return F.sequence(low, high)
 
-    return edges.withColumn("_cx", F.explode(span("ax", "bx"))).withColumn(
-        "_cy", F.explode(span("ay", "by"))
+def _rows(column: Column, size: Column, tolerance: float) -> tuple[Column, Column]:
+    """First and last row of cells that an edge crosses within a column of cells.
+
+    Following the edge column by column, a long edge takes cells along its length only.
+    """
+    ax, ay, bx, by = F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")
+    low, high = F.least(ay, by), F.greatest(ay, by)
+    steep = F.abs(bx - ax) * 1000 <= high - low
+
+    def height(x: Column) -> Column:
+        inside = F.least(F.greatest(x, F.least(ax, bx)), F.greatest(ax, bx))
+        return ay + (by - ay) * F.try_divide(inside - ax, bx - ax)
+
+    entry, exit = height(column * size), height((column + 1) * size)
+    bottom = F.when(steep, low).otherwise(F.greatest(low, F.least(entry, exit)))
+    top = F.when(steep, high).otherwise(F.least(high, F.greatest(entry, exit)))
+    # Slack for the rounding of heights, whose error is bounded as steep edges take their full range.
+    slack = F.lit(tolerance) + size * F.lit(1e-6)
+    return F.floor((bottom - slack) / size), F.floor((top + slack) / size)
+
+
+def _cells(edges: DataFrame, tolerance: float) -> DataFrame:
+    """Repeat each edge for every cell it crosses."""
+    size = F.col("_size")
+    columns = F.sequence(*_columns(size, tolerance))
+    placed = edges.withColumn("_cx", F.explode(columns))
+    return placed.withColumn("_cy", F.explode(F.sequence(*_rows(F.col("_cx"), size, tolerance))))
+
+
+def _fine_cells(cells: DataFrame, tolerance: float) -> DataFrame:
+    """Repeat each edge for the sub-cells it crosses; a cell has ``_parts`` of them each way."""
+    parts = F.col("_parts")
+    step = F.col("_size") / parts
+
+    def within(first: Column, last: Column, cell: str) -> Column:
+        low = F.greatest(first, F.col(cell) * parts)
+        high = F.least(last, F.col(cell) * parts + parts - 1)
+        return F.when(low <= high, F.sequence(low, high))
+
+    placed = cells.withColumn("_fx", F.explode(within(*_columns(step, tolerance), "_cx")))
+    return placed.withColumn(
+        "_fy", F.explode(within(*_rows(F.col("_fx"), step, tolerance), "_cy"))
     )
 
 
@@ -170,7 +209,7 @@ def zone_adjacency(
     """Edge table ``(zone_id, neighbor_id)`` of zones with touching polygons, in both directions.
 
     A zone may have several polygons; one touching pair is enough. ``cell_size`` defaults to twice
-    the mean edge extent. Equal rings are tested once: copies of one ring overlap each other, and
+    the median edge extent. Equal rings are tested once: copies of one ring overlap each other, and
     all of them touch what one touches. A cell with more than ``crowded`` edges is split into
     finer cells before its pairs are formed.
     """
@@ -178,9 +217,10 @@ def zone_adjacency(
     distinct_rings = shapes.groupBy("shape").agg(F.any_value("ring").alias("ring"))
     edges = stage(polygon_edges(distinct_rings, "shape", tolerance), "edges")
     extent = F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))
-    size = F.lit(cell_size) if cell_size else F.lit(2.0) * edges.agg(F.avg(extent)).scalar()
+    typical = edges.agg(F.percentile_approx(extent, 0.5)).scalar()
+    size = F.lit(float(cell_size)) if cell_size else F.lit(2.0) * typical
 
-    coarse = stage(_cells(edges.withColumn("_size", size), F.col("_size"), tolerance), "edge_cells")
+    coarse = stage(_cells(edges.withColumn("_size", size), tolerance), "edge_cells")
     load = coarse.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_load"))
     busy = load.where(F.col("_load") > crowded).select(
         "_cx", "_cy", F.ceil(F.sqrt(F.col("_load") / F.lit(float(crowded)))).alias("_parts")
@@ -189,19 +229,7 @@ def zone_adjacency(
         "_parts", F.coalesce("_parts", F.lit(1))
     )
 
-    def fine(a: str, b: str, cell: str) -> Column:
-        """Sub-cells of the cell that the edge's box covers."""
-        step = F.col("_size") / F.col("_parts")
-        base = F.col(cell) * F.col("_parts")
-        low = F.greatest(F.floor((F.least(a, b) - tolerance) / step), base)
-        high = F.least(F.floor((F.greatest(a, b) + tolerance) / step), base + F.col("_parts") - 1)
-        return F.when(low <= high, F.sequence(low, high))
-
-    placed = (
-        marked.withColumn("_fx", F.explode(fine("ax", "bx", "_cx")))
-        .withColumn("_fy", F.explode(fine("ay", "by", "_cy")))
-        .drop("_size")
-    )
+    placed = _fine_cells(marked, tolerance).drop("_size", "_parts")
     left, right = placed.alias("l"), placed.alias("r")
     keys = ("_cx", "_cy", "_fx", "_fy")
     same_cell = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
@@ -244,27 +272,28 @@ def load_or_build_adjacency(polygons: DataFrame, path: str, cell_size: float | N
     return spark.read.parquet(path)
 
 
-def neighbor_contributions(
-    cells: DataFrame, edges: DataFrame, targets: tuple[str, ...] = TARGETS, zone: str = ZONE, bin: str = BIN
+def neighbor_sums(
+    cells: DataFrame, edges: DataFrame, targets: Sequence[str] = TARGETS, zone: str = ZONE, bin: str = BIN
 ) -> DataFrame:
-    """Pickups of each zone, sent to the zones beside it; empty hours send nothing."""
+    """Pickups of the zones beside each zone, per hour; empty hours send nothing.
+
+    Summed on (zone, hour), so a zone with very many neighbours is spread over its hours.
+    """
     any_pickup = reduce(lambda a, b: a | b, [F.coalesce(t, F.lit(0)) != 0 for t in targets])
     busy = cells.where(F.col(bin).isNotNull() & any_pickup)
-    return busy.select(F.col(zone).alias("neighbor_id"), bin, *targets).join(
-        edges.select(zone, "neighbor_id"), "neighbor_id"
-    ).select(
-        zone, bin, *[F.col(t).alias(f"neighbor_pickups_{t}") for t in targets]
+    return (
+        busy.select(F.col(zone).alias("neighbor_id"), bin, *targets)
+        .join(edges.select(zone, "neighbor_id"), "neighbor_id")
+        .groupBy(zone, bin)
+        .agg(*[F.sum(t).alias(f"neighbor_pickups_{t}") for t in targets])
     )
 
 
 def neighbor_demand(
-    panel: DataFrame, edges: DataFrame, targets: tuple[str, ...] = TARGETS, zone: str = ZONE, bin: str = BIN
+    panel: DataFrame, edges: DataFrame, targets: Sequence[str] = TARGETS, zone: str = ZONE, bin: str = BIN
 ) -> DataFrame:
     """Add the neighbours' pickups of the same hour, 0 where there are none."""
-    names = [f"neighbor_pickups_{t}" for t in targets]
-    sums = (
-        neighbor_contributions(panel, edges, targets, zone, bin)
-        .groupBy(zone, bin)
-        .agg(*[F.sum(name).alias(name) for name in names])
+    sums = neighbor_sums(panel, edges, targets, zone, bin)
+    return zero_filled(
+        panel.join(sums, [zone, bin], "left"), [f"neighbor_pickups_{t}" for t in targets]
     )
-    return zero_filled(panel.join(sums, [zone, bin], "left"), names)

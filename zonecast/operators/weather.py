@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from zonecast.functions.times import floor_hour, plus_hours
 from zonecast.operators.keyed import latest_per_key
 from zonecast.schemas import BIN, CURRENT_DOCUMENT, HOURLY_WEATHER, WEATHER_DOCUMENT
+from zonecast.session import small
 
 
 def flatten_weather(raw: DataFrame, document: str = "document") -> DataFrame:
@@ -40,7 +41,7 @@ def weather_bin(hourly: DataFrame, bin: str = BIN) -> DataFrame:
 
 def panel_weather(panel: DataFrame, hourly: DataFrame, bin: str = BIN) -> DataFrame:
     """Attach weather by hour; an hour reported twice yields two rows (see ``dedup_weather``)."""
-    return panel.join(weather_bin(hourly, bin), bin, "left")
+    return panel.join(small(weather_bin(hourly, bin), "weather"), bin, "left")
 
 
 def dedup_weather(hourly: DataFrame) -> DataFrame:

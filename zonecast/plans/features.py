@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame
 from zonecast.functions.numeric import zero_filled
 from zonecast.functions.times import Moment
 from zonecast.operators.calendars import calendar_features
-from zonecast.operators.lags import city_sums, lag_features
-from zonecast.operators.panel import city_speed_of, densify, grid_of, trip_cells, with_zone_speed
-from zonecast.operators.spatial import neighbor_contributions
+from zonecast.operators.lags import lag_features
+from zonecast.operators.panel import densify, grid_of, hour_table, trip_cells, with_zone_speed
+from zonecast.operators.spatial import neighbor_sums
 from zonecast.operators.trips import hour_bin, normalize_feed, union_feeds, valid_trips, window_filter
 from zonecast.operators.weather import panel_weather
 from zonecast.schemas import BIN, LAG_SOURCES, NEIGHBOR_DEMAND, TARGETS, ZONE
-from zonecast.session import stage
+from zonecast.session import small, stage
 from zonecast.sources.store import upsert_features
 
 
@@ -34,12 +34,11 @@ def feature_panel(trips: DataFrame, weather: DataFrame, edges: DataFrame) -> Dat
     lag window then reuses.
     """
     cells = stage(trip_cells(trips), "cells")
-    hours = city_speed_of(cells).join(city_sums(cells), BIN)
-    hours = calendar_features(panel_weather(hours, weather))
+    hours = stage(calendar_features(panel_weather(hour_table(cells), weather)), "hours")
     within = edges.join(cells.select(ZONE).distinct(), ZONE, "left_semi")
-    sparse = cells.unionByName(neighbor_contributions(cells, within), allowMissingColumns=True)
-    dense = zero_filled(densify(sparse, grid_of(cells)), TARGETS + NEIGHBOR_DEMAND)
-    panel = with_zone_speed(dense.join(hours, BIN))
+    sparse = cells.unionByName(neighbor_sums(cells, within), allowMissingColumns=True)
+    dense = zero_filled(densify(sparse, grid_of(cells, hours)), TARGETS + NEIGHBOR_DEMAND)
+    panel = with_zone_speed(dense.join(small(hours, "hours"), BIN))
     return lag_features(panel, LAG_SOURCES)
 
 

@@ -6,8 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 STAGE_FOLDER = "zonecast_stage"
+BROADCAST_BYTES = 64 * 1024 * 1024
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
@@ -63,3 +65,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_stage_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's size of a result: file bytes for a scan, a product for most joins."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def small(df: DataFrame, label: str) -> DataFrame:
+    """Mark a side that should be small for broadcast, but only once its size is known.
+
+    A plan of unknown size is written first, so that its real size decides. Above the limit the
+    side joins by shuffle.
+    """
+    if planned_bytes(df) > BROADCAST_BYTES:
+        df = stage(df, label)
+    return F.broadcast(df) if planned_bytes(df) <= BROADCAST_BYTES else df

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from zonecast.session import CHECKPOINT_KEY, shared_folder, stage
 
 MONTHS = ("pickup_year", "pickup_month")
 KEYS = (ZONE, "bin_str")
+PRUNED_FOLDERS = 400
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
@@ -34,6 +36,22 @@ def _write_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> No
     ).partitionBy(*partitions).parquet(path)
 
 
+def _in_partitions(stored: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Stored rows of the touched partitions.
+
+    The touched folders are known to the driver anyway, which commits them one by one. Up to
+    ``PRUNED_FOLDERS`` of them become a predicate that prunes the scan; the semi join is exact for
+    any number.
+    """
+    folders = touched.limit(PRUNED_FOLDERS + 1).collect()
+    if 0 < len(folders) <= PRUNED_FOLDERS:
+        same = lambda row: reduce(
+            lambda a, b: a & b, [F.col(name).eqNullSafe(F.lit(row[name])) for name in partitions]
+        )
+        stored = stored.where(reduce(lambda a, b: a | b, [same(row) for row in folders]))
+    return stored.join(touched, list(partitions), "left_semi")
+
+
 def _staged_rows(rows: DataFrame) -> DataFrame:
     if shared_folder(rows.sparkSession) is None:
         raise ValueError(f"rewriting a table needs a shared folder: set {CHECKPOINT_KEY}")
@@ -51,8 +69,7 @@ def upsert_features(
 
     Several new rows of one key are decided by ``order_by``, greatest first.
 
-    Only the partitions that ``df`` touches are read (partition pruning by a semi join on the few
-    partition values) and rewritten. The merged rows are written to the staging folder first, so
+    Only the partitions that ``df`` touches are read and rewritten. The merged rows are written to the staging folder first, so
     the table is never overwritten while it is read and a lost executor costs no data.
     Returns the table.
     """
@@ -62,11 +79,8 @@ def upsert_features(
     if stored is not None:
         merged = stage(merged, "upsert_input")
         touched = merged.select(*partitions).distinct()
-        merged = (
-            stored.withColumn("_new", F.lit(0))
-            .join(touched, list(partitions), "left_semi")
-            .unionByName(merged, allowMissingColumns=True)
-        )
+        old = _in_partitions(stored, touched, partitions).withColumn("_new", F.lit(0))
+        merged = old.unionByName(merged, allowMissingColumns=True)
     rows = latest_per_key(merged, keys, ["_new", *order_by]).drop("_new")
     if stored is not None:
         rows = _staged_rows(rows)
