@@ -94,51 +94,83 @@ class _Edge:
         """Cross product of the edge with the way to a point: positive on its left."""
         return (self.bx - self.ax) * (y - self.ay) - (self.by - self.ay) * (x - self.ax)
 
+    def dot(self, x: Column, y: Column) -> Column:
+        return (self.bx - self.ax) * (x - self.ax) + (self.by - self.ay) * (y - self.ay)
+
     def length(self) -> Column:
         return F.hypot(self.bx - self.ax, self.by - self.ay)
 
-    def along(self, x: Column, y: Column) -> Column:
-        """Distance from the first vertex, measured along the edge."""
-        dot = (self.bx - self.ax) * (x - self.ax) + (self.by - self.ay) * (y - self.ay)
-        return dot / self.length()
-
-
-def _angles_overlap(start1: Column, width1: Column, start2: Column, width2: Column) -> Column:
-    """Whether two open angles share a direction: one starts within the other."""
-    return (_turn(start2 - start1) < width1 - ANGLE_TOLERANCE) | (
-        _turn(start1 - start2) < width2 - ANGLE_TOLERANCE
-    )
 
+def _measures() -> list[Column]:
+    """Numbers of an edge pair ``l``, ``r`` that the test needs, each computed once.
 
-def _meeting(tolerance: float) -> tuple[Column, Column]:
-    """(edges meet, interiors overlap where they meet) for the edge pair ``l``, ``r``."""
+    ``la``/``lb`` are the offsets of l's ends from r, ``lpos`` the place of l's first end along r;
+    ``ra``, ``rb``, ``rpos`` the reverse. ``turn`` leads from l's direction to r's.
+    """
     l, r = _Edge("l"), _Edge("r")
-    half = F.lit(math.pi)
-
-    def on(edge: _Edge, other: _Edge) -> Column:
-        return F.abs(edge.offset(other.ax, other.ay)) <= tolerance * edge.length()
+    return [
+        l.opening.alias("lopen"), r.opening.alias("ropen"),
+        l.length().alias("llen"), r.length().alias("rlen"),
+        r.offset(l.ax, l.ay).alias("la"), r.offset(l.bx, l.by).alias("lb"),
+        l.offset(r.ax, r.ay).alias("ra"), l.offset(r.bx, r.by).alias("rb"),
+        r.dot(l.ax, l.ay).alias("lpos"), l.dot(r.ax, r.ay).alias("rpos"),
+        F.greatest(F.abs(l.ax - r.ax), F.abs(l.ay - r.ay)).alias("starts"),
+        _turn(r.heading - l.heading).alias("turn"),
+    ]
+
+
+def _contacts(tolerance: float) -> dict[str, Column]:
+    """How a measured pair meets: at both first ends, one's first end within the other, crossing."""
+
+    def within(offset: str, position: str, length: str) -> Column:
+        margin = F.col(length) * tolerance
+        return (
+            (F.abs(offset) <= margin)
+            & (F.col(position) > margin)
+            & (F.col(position) < F.col(length) * F.col(length) - margin)
+        )
+
+    def split(first: str, second: str, length: str) -> Column:
+        margin = F.col(length) * tolerance
+        return (
+            (F.least(first, second) < -margin) & (F.greatest(first, second) > margin)
+        )
+
+    return {
+        "starts_meet": F.col("starts") <= tolerance,
+        "l_on_r": within("la", "lpos", "rlen"),
+        "r_on_l": within("ra", "rpos", "llen"),
+        "crossing": split("la", "lb", "rlen") & split("ra", "rb", "llen"),
+    }
+
+
+def _angles_overlap(width1: Column, width2: Column) -> Column:
+    """Whether two open angles, the second ``turn`` after the first, share a direction.
+
+    They do if one starts within the other.
+    """
+    back = F.when(F.col("turn") == 0, F.lit(0.0)).otherwise(F.lit(FULL_TURN) - F.col("turn"))
+    return (F.col("turn") < width1 - ANGLE_TOLERANCE) | (back < width2 - ANGLE_TOLERANCE)
 
-    def strictly_within(edge: _Edge, other: _Edge) -> Column:
-        position = edge.along(other.ax, other.ay)
-        return on(edge, other) & (position > tolerance) & (position < edge.length() - tolerance)
 
-    same_start = (F.abs(l.ax - r.ax) <= tolerance) & (F.abs(l.ay - r.ay) <= tolerance)
-    l_on_r, r_on_l = strictly_within(r, l), strictly_within(l, r)
+def _interiors_overlap() -> Column:
+    """Whether the interiors overlap where a pair meets; along an edge the interior fills a half turn."""
+    half = F.lit(math.pi)
+    return (
+        F.col("crossing")
+        | (F.col("starts_meet") & _angles_overlap(F.col("lopen"), F.col("ropen")))
+        | (F.col("l_on_r") & _angles_overlap(F.col("lopen"), half))
+        | (F.col("r_on_l") & _angles_overlap(half, F.col("ropen")))
+    )
 
-    def splits(edge: _Edge, other: _Edge) -> Column:
-        first, second = edge.offset(other.ax, other.ay), edge.offset(other.bx, other.by)
-        limit = tolerance * edge.length()
-        return ((first > limit) & (second < -limit)) | ((first < -limit) & (second > limit))
 
-    crossing = splits(l, r) & splits(r, l)
-    meets = same_start | l_on_r | r_on_l | crossing
-    overlap = (
-        crossing
-        | (same_start & _angles_overlap(l.heading, l.opening, r.heading, r.opening))
-        | (l_on_r & _angles_overlap(l.heading, l.opening, r.heading, half))
-        | (r_on_l & _angles_overlap(l.heading, half, r.heading, r.opening))
+def _boxes_meet(tolerance: float) -> Column:
+    """Cheap test that comes before the exact one."""
+    l, r = _Edge("l"), _Edge("r")
+    apart = lambda la, lb, ra, rb: (F.greatest(la, lb) < F.least(ra, rb) - tolerance) | (
+        F.greatest(ra, rb) < F.least(la, lb) - tolerance
     )
-    return meets, overlap
+    return ~apart(l.ax, l.bx, r.ax, r.bx) & ~apart(l.ay, l.by, r.ay, r.by)
 
 
 def _columns(size: Column, tolerance: float) -> tuple[Column, Column]:
@@ -173,18 +205,20 @@ def _cells(edges: DataFrame, tolerance: float) -> DataFrame:
     size = F.col("_size")
     columns = F.sequence(*_columns(size, tolerance))
     placed = edges.withColumn("_cx", F.explode(columns))
-    return placed.withColumn("_cy", F.explode(F.sequence(*_rows(F.col("_cx"), size, tolerance))))
+    low, high = _rows(F.col("_cx"), size, tolerance)
+    return placed.withColumn("_cy", F.explode(F.sequence(low, high)))
 
 
 def _fine_cells(cells: DataFrame, tolerance: float) -> DataFrame:
-    """Repeat each edge for the sub-cells it crosses; a cell has ``_parts`` of them each way."""
+    """Repeat each edge for the sub-cells it crosses; a split cell has ``_parts`` of them each way."""
     parts = F.col("_parts")
     step = F.col("_size") / parts
 
     def within(first: Column, last: Column, cell: str) -> Column:
         low = F.greatest(first, F.col(cell) * parts)
         high = F.least(last, F.col(cell) * parts + parts - 1)
-        return F.when(low <= high, F.sequence(low, high))
+        split = F.when(low <= high, F.sequence(low, high))
+        return F.when(parts == 1, F.array(F.lit(0).cast("bigint"))).otherwise(split)
 
     placed = cells.withColumn("_fx", F.explode(within(*_columns(step, tolerance), "_cx")))
     return placed.withColumn(
@@ -195,7 +229,7 @@ def _fine_cells(cells: DataFrame, tolerance: float) -> DataFrame:
 def _shapes(polygons: DataFrame, zone: str) -> DataFrame:
     """Key each ring by a hash of its points, so copies are compared once."""
     return polygons.where(F.col("ring").isNotNull()).select(
-        F.col(zone).alias(ZONE), F.sha2(F.to_json("ring"), 256).alias("shape"), "ring"
+        F.col(zone).alias(ZONE), F.unhex(F.sha2(F.to_json("ring"), 256)).alias("shape"), "ring"
     )
 
 
@@ -208,7 +242,7 @@ def zone_adjacency(
 ) -> DataFrame:
     """Edge table ``(zone_id, neighbor_id)`` of zones with touching polygons, in both directions.
 
-    A zone may have several polygons; one touching pair is enough. ``cell_size`` defaults to twice
+    A zone may have several polygons; one touching pair is enough. ``cell_size`` defaults to
     the median edge extent. Equal rings are tested once: copies of one ring overlap each other, and
     all of them touch what one touches. A cell with more than ``crowded`` edges is split into
     finer cells before its pairs are formed.
@@ -218,7 +252,7 @@ def zone_adjacency(
     edges = stage(polygon_edges(distinct_rings, "shape", tolerance), "edges")
     extent = F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))
     typical = edges.agg(F.percentile_approx(extent, 0.5)).scalar()
-    size = F.lit(float(cell_size)) if cell_size else F.lit(2.0) * typical
+    size = F.lit(float(cell_size)) if cell_size else typical
 
     coarse = stage(_cells(edges.withColumn("_size", size), tolerance), "edge_cells")
     load = coarse.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_load"))
@@ -230,15 +264,26 @@ def zone_adjacency(
     )
 
     placed = _fine_cells(marked, tolerance).drop("_size", "_parts")
-    left, right = placed.alias("l"), placed.alias("r")
     keys = ("_cx", "_cy", "_fx", "_fy")
+    # Pairs cost far more than rows, so the rows are spread by cell however few files hold them.
+    width = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = placed.repartition(width, *keys)
+    left, right = placed.alias("l"), placed.alias("r")
     same_cell = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
-    meets, overlap = _meeting(tolerance)
+    contacts = _contacts(tolerance)
     touching = (
-        left.join(right, same_cell + [F.col("l.shape") < F.col("r.shape")])
-        .where(meets)
-        .groupBy(F.col("l.shape").alias("one"), F.col("r.shape").alias("two"))
-        .agg(F.bool_or(overlap).alias("_overlap"))
+        left.join(right, same_cell + [_boxes_meet(tolerance), F.col("l.shape") < F.col("r.shape")])
+        # Inlining an array fixes the measures: a plain projection would be repeated for each use
+        # when the filter below is pushed into the join.
+        .select(
+            F.col("l.shape").alias("one"),
+            F.col("r.shape").alias("two"),
+            F.inline(F.array(F.struct(*_measures()))),
+        )
+        .withColumns(contacts)
+        .where(reduce(lambda a, b: a | b, [F.col(name) for name in contacts]))
+        .groupBy("one", "two")
+        .agg(F.bool_or(_interiors_overlap()).alias("_overlap"))
         .where(~F.col("_overlap"))
     )
     owners = shapes.select(ZONE, "shape").distinct()
