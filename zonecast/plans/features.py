@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from zonecast.functions.numeric import zero_filled
 from zonecast.functions.times import Moment
@@ -29,17 +30,24 @@ def feature_panel(trips: DataFrame, weather: DataFrame, edges: DataFrame) -> Dat
     """Dense panel with speeds, weather, calendar, city and neighbour sums and all lags.
 
     The trips are reduced to cells once. Everything that depends on the hour alone (city speed and
-    demand, weather, calendar) is computed per hour and joined once. Own counts and neighbour
-    contributions are sparse; they are summed with the grid rows in one shuffle by zone, which the
-    lag window then reuses.
+    demand, weather, calendar) is computed per hour. Own counts and neighbour sums are sparse; they
+    are added to the grid rows in one shuffle by zone, which the lag window then reuses. Weather
+    and calendar columns join after the window, so they are not sorted with it; the join is by hour
+    row, as an hour with two weather readings makes two rows per zone.
     """
     cells = stage(trip_cells(trips), "cells")
-    hours = stage(calendar_features(panel_weather(hour_table(cells), weather)), "hours")
+    city = hour_table(cells)
+    hours = calendar_features(panel_weather(city, weather))
+    hours = stage(hours.withColumn("_hour", F.monotonically_increasing_id()), "hours")
+    thin = hours.select("_hour", *city.columns)
+    wide = hours.drop(*city.columns)
+
     within = edges.join(cells.select(ZONE).distinct(), ZONE, "left_semi")
     sparse = cells.unionByName(neighbor_sums(cells, within), allowMissingColumns=True)
     dense = zero_filled(densify(sparse, grid_of(cells, hours)), TARGETS + NEIGHBOR_DEMAND)
-    panel = with_zone_speed(dense.join(small(hours, "hours"), BIN))
-    return lag_features(panel, LAG_SOURCES)
+    panel = with_zone_speed(dense.join(small(thin, "hours"), BIN))
+    lagged = lag_features(panel, LAG_SOURCES)
+    return lagged.join(small(wide, "hours"), "_hour").drop("_hour")
 
 
 def save_feature_panel(panel: DataFrame, path: str) -> DataFrame:
