@@ -20,9 +20,9 @@ PRUNED_FOLDERS = 400
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None where nothing has been written yet."""
+    """The table at ``path`` with the columns of all its files, or None where there is none yet."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -85,7 +85,7 @@ def upsert_features(
     if stored is not None:
         rows = _staged_rows(rows)
     _write_partitions(rows, path, partitions)
-    return spark.read.parquet(path)
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def with_months(df: DataFrame, bin: str = BIN) -> DataFrame:
