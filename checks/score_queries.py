@@ -308,11 +308,21 @@ def rows(spark: SparkSession, sf: str) -> DataFrame:
     return serving.serving_rows(tables.forecasts(spark, sf), tables.SERVED_HOUR)
 
 
-@query("serving_document")
+@query(
+    "serving_document",
+    f"""SELECT '2024-01-20T12:10:00' AS generated_at, (SELECT count(*) FROM served) AS total_zones,
+        strftime(bin, '%Y-%m-%d %H:%M:%S') AS prediction_window, strftime(bin, '%Y-%m-%d %H:%M:%S') AS bin, {_SERVED} FROM served""",
+)
 def document(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.serving_document(
-        tables.forecasts(spark, sf), tables.SERVED_HOUR, "2024-01-20T12:10:00"
-    )
+    """The documents, read back from their JSON text."""
+    pred = tables.forecasts(spark, sf)
+    pages = serving.serving_document(pred, tables.SERVED_HOUR, "2024-01-20T12:10:00")
+    row = ", ".join(f"{name}: {kind}" for name, kind in pred.select(*serving.SERVED).dtypes)
+    schema = f"""metadata struct<generated_at: string, total_zones: bigint, prediction_window: string>,
+        predictions map<int, struct<bin: string, {row}>>"""
+    parsed = pages.select(F.from_json("document", schema).alias("d"))
+    entries = parsed.select("d.metadata.*", F.explode("d.predictions").alias(ZONE, "row"))
+    return entries.select("*", "row.*").drop("row")
 
 
 @query(

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], choose) -> DataFrame:
     # A struct is never null itself, so rows with a null order value still count (as the least).
-    row = choose(F.struct(*df.columns), F.struct(*order_by)).alias("_row")
+    row = choose(F.struct(*df.columns), F.struct(*(order_by or df.columns))).alias("_row")
     return df.groupBy(*keys).agg(row).select("_row.*")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The row with the greatest ``order_by`` per key.
+    """The row with the greatest ``order_by`` (all columns without one) per key.
 
     An aggregate, not a window: map tasks keep one row per key, so copies of a hot key never meet
     in one task.

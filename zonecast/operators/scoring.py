@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from zonecast.functions.numeric import inverse_speed
 from zonecast.functions.times import Moment, naive, plus_hours, plus_years, target_hour_of
 from zonecast.schemas import BIN, CITY_DEMAND, NEIGHBOR_DEMAND, TARGETS, ZONE
-from zonecast.session import stage
+from zonecast.session import small, stage
 
 
 def _window_end(as_of: Moment, cutoff_minute: int) -> Column:
@@ -66,7 +66,7 @@ def candidate_rows(history: DataFrame, weather: DataFrame, zone: str = ZONE) ->
 def zone_lookup(df: DataFrame, lookup: DataFrame, zone: str = ZONE) -> DataFrame:
     """Attach zone and borough names."""
     names = lookup.select(F.col("locationid").alias(zone), "zone", "borough")
-    return df.join(names, zone, "left")
+    return df.join(small(names, "lookup"), zone, "left")
 
 
 def latest_readings(feed: DataFrame, n: int = 2000) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from zonecast.functions.numeric import zero_filled
 from zonecast.schemas import BIN, NEIGHBOR_DEMAND, TARGETS, ZONE
-from zonecast.session import stage
+from zonecast.session import small, stage
 
 NO_NEIGHBOR = -1
 FULL_TURN = 2 * math.pi
@@ -328,7 +328,7 @@ def neighbor_sums(
     busy = cells.where(F.col(bin).isNotNull() & any_pickup)
     return (
         busy.select(F.col(zone).alias("neighbor_id"), bin, *targets)
-        .join(edges.select(zone, "neighbor_id"), "neighbor_id")
+        .join(small(edges.select(zone, "neighbor_id"), "edges"), "neighbor_id")
         .groupBy(zone, bin)
         .agg(*[F.sum(t).alias(f"neighbor_pickups_{t}") for t in targets])
     )

@@ -67,23 +67,24 @@ def upsert_features(
 ) -> DataFrame:
     """Merge ``df`` into the table at ``path``; per key a new row replaces the stored one.
 
-    Several new rows of one key are decided by ``order_by``, greatest first.
-
-    Only the partitions that ``df`` touches are read and rewritten. The merged rows are written to the staging folder first, so
-    the table is never overwritten while it is read and a lost executor costs no data.
-    Returns the table.
+    Several new rows of one key are decided by ``order_by``, greatest first (by all columns
+    without one). Only the partitions that ``df`` touches are read and rewritten; a small batch is
+    broadcast against them, so stored rows are not shuffled for it. The merged rows are written to
+    the staging folder first, so the table is never overwritten while it is read and a lost
+    executor costs no data. Returns the table.
     """
     spark = df.sparkSession
     stored = _existing(spark, path)
-    merged = df.withColumn("_new", F.lit(1))
-    if stored is not None:
-        merged = stage(merged, "upsert_input")
-        touched = merged.select(*partitions).distinct()
-        old = _in_partitions(stored, touched, partitions).withColumn("_new", F.lit(0))
-        merged = old.unionByName(merged, allowMissingColumns=True)
-    rows = latest_per_key(merged, keys, ["_new", *order_by]).drop("_new")
+    rows = latest_per_key(df, keys, order_by)
     if stored is not None:
-        rows = _staged_rows(rows)
+        rows = stage(rows, "upsert_new")
+        touched = rows.select(*partitions).distinct()
+        same_key = reduce(
+            lambda a, b: a & b, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
+        )
+        old = _in_partitions(stored, touched, partitions).alias("o")
+        kept = old.join(rows.select(*keys).alias("n"), same_key, "left_anti")
+        rows = _staged_rows(kept.unionByName(rows, allowMissingColumns=True))
     _write_partitions(rows, path, partitions)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
