@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import tables
-from checks.expressions import BIN_CALENDAR, CITY, NEIGHBOR, READINGS, TARGETS, lags, rounded
+from checks.expressions import TARGETS, rounded
 from checks.registry import query
 from zonecast.operators import metrics, ml
 from zonecast.operators.lags import lag_features
@@ -16,7 +16,7 @@ from zonecast.operators.spatial import zone_adjacency
 from zonecast.operators.trips import normalize_feed, union_feeds, valid_trips
 from zonecast.plans.features import feature_panel
 from zonecast.plans.training import split_matrix, train_and_report
-from zonecast.schemas import BIN, FEATURES, FEEDS, ZONE
+from zonecast.schemas import FEATURES, FEEDS, ZONE
 from zonecast.session import new_stage_path, stage
 from zonecast.streaming.hourly import stream_hourly
 

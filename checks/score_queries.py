@@ -87,22 +87,23 @@ def append(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("artifact_roundtrip", """SELECT 'panel' AS artifact, count(*) AS row_count, CAST(sum(target_yellow + target_green + target_hvfhv) AS BIGINT) AS trips,
-        round_even(sum(zone_avg_speed) * 1e6, 0) / 1e6 AS reading FROM panel
-        UNION ALL SELECT 'weather', count(*), count(precip), round_even(sum(humidity) * 1e6, 0) / 1e6 FROM hourly_weather""")
+        CAST(sum(CAST(round_even(zone_avg_speed * 100, 0) AS BIGINT)) AS BIGINT) AS reading FROM panel
+        UNION ALL SELECT 'weather', count(*), count(precip), CAST(sum(CAST(round_even(humidity * 100, 0) AS BIGINT)) AS BIGINT) FROM hourly_weather""")
 def artifacts(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_stage_path(spark, "artifacts")
     store.save_artifacts(_panel(spark, sf), tables.hourly_weather(spark, sf), folder)
     panel, weather = store.load_artifacts(spark, folder)
+    hundredths = lambda name: F.sum(F.rint(F.col(name) * 100).cast("bigint")).alias("reading")
     demand = F.sum(F.col("target_yellow") + F.col("target_green") + F.col("target_hvfhv"))
     first = panel.agg(
         F.lit("panel").alias("artifact"), F.count(F.lit(1)).alias("row_count"), demand.alias("trips"),
-        F.sum("zone_avg_speed").alias("reading"),
+        hundredths("zone_avg_speed"),
     )
     second = weather.agg(
         F.lit("weather").alias("artifact"), F.count(F.lit(1)).alias("row_count"),
-        F.count("precip").alias("trips"), F.sum("humidity").alias("reading"),
+        F.count("precip").alias("trips"), hundredths("humidity"),
     )
-    return tables.rounded(first.unionByName(second), "reading")
+    return first.unionByName(second)
 
 
 @query(
@@ -228,7 +229,7 @@ _SERVING_LAGS = f"""SELECT bin, zone_id, {lags(TARGETS, (1, 24))}, {lags(CITY +
 
 @query("serving_lags", _SERVING_LAGS)
 def lagged(spark: SparkSession, sf: str) -> DataFrame:
-    dense = city_demand(hourly_targets(tables.trips(spark, sf)))
+    dense = city_demand(stage(hourly_targets(tables.trips(spark, sf)), "targets"))
     history = stage(neighbor_demand(dense, zone_adjacency(tables.polygons(spark, sf))), "history")
     ahead = history.select(ZONE).distinct().withColumn(BIN, naive("2024-02-01"))
     return serving_lags(history, ahead).drop(*TARGETS, *CITY_DEMAND, *NEIGHBOR_DEMAND)
@@ -319,10 +320,10 @@ def document(spark: SparkSession, sf: str) -> DataFrame:
     pages = serving.serving_document(pred, tables.SERVED_HOUR, "2024-01-20T12:10:00")
     row = ", ".join(f"{name}: {kind}" for name, kind in pred.select(*serving.SERVED).dtypes)
     schema = f"""metadata struct<generated_at: string, total_zones: bigint, prediction_window: string>,
-        predictions map<int, struct<bin: string, {row}>>"""
+        predictions map<string, struct<bin: string, {row}>>"""
     parsed = pages.select(F.from_json("document", schema).alias("d"))
     entries = parsed.select("d.metadata.*", F.explode("d.predictions").alias(ZONE, "row"))
-    return entries.select("*", "row.*").drop("row")
+    return entries.select("*", "row.*").drop("row").withColumn(ZONE, F.col(ZONE).cast("int"))
 
 
 @query(

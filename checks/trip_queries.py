@@ -8,14 +8,13 @@ from pyspark.sql import functions as F
 from checks import tables
 from checks.expressions import CITY, NEIGHBOR, TARGETS, lags, rounded
 from checks.registry import query
-from zonecast.functions.times import hour_text, naive
 from zonecast.operators import panel, trips
 from zonecast.operators.lags import city_demand, lag_features
 from zonecast.operators.profiling import profile_columns
 from zonecast.operators.spatial import neighbor_demand, neighbor_lists, zone_adjacency
 from zonecast.plans.features import feature_panel
-from zonecast.schemas import BIN, NEIGHBOR_DEMAND, CITY_DEMAND, ZONE
-from zonecast.session import new_stage_path
+from zonecast.schemas import CITY_DEMAND, NEIGHBOR_DEMAND, ZONE
+from zonecast.session import new_stage_path, stage
 from zonecast.sources.feeds import extract_links, scan_feed, select_feed_files
 from zonecast.sources.store import backfill_months
 
@@ -225,7 +224,7 @@ def lists(spark: SparkSession, sf: str) -> DataFrame:
     f"SELECT bin, zone_id, {', '.join(TARGETS)}, {', '.join(NEIGHBOR)} FROM neighbor_panel",
 )
 def neighbors(spark: SparkSession, sf: str) -> DataFrame:
-    dense = panel.hourly_targets(tables.trips(spark, sf))
+    dense = stage(panel.hourly_targets(tables.trips(spark, sf)), "targets")
     return neighbor_demand(dense, zone_adjacency(tables.polygons(spark, sf)))
 
 
@@ -235,7 +234,8 @@ def demand(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _lag_source(spark: SparkSession, sf: str) -> DataFrame:
-    return neighbor_demand(demand(spark, sf), zone_adjacency(tables.polygons(spark, sf)))
+    dense = stage(panel.hourly_targets(tables.trips(spark, sf)), "targets")
+    return neighbor_demand(city_demand(dense), zone_adjacency(tables.polygons(spark, sf)))
 
 
 _LAGGED = f"""SELECT bin, zone_id, {lags(TARGETS + CITY + NEIGHBOR, (1, 24))}

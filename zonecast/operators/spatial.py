@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions.numeric import zero_filled
-from zonecast.schemas import BIN, NEIGHBOR_DEMAND, TARGETS, ZONE
+from zonecast.schemas import BIN, TARGETS, ZONE
 from zonecast.session import small, stage
 
 NO_NEIGHBOR = -1
