@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from zonecast.functions.times import hour_text
+from zonecast.plans.scoring import store_forecast
 from zonecast.sources.store import (
     append_predictions, backfill_months, prediction_schema, read_features, upsert_features, with_months,
 )
@@ -81,6 +82,19 @@ def test_prediction_log(spark, tmp_path):
     later = hist.withColumn("v", hist.v * 0)
     assert rows(append_predictions(second, later, path), "v") == [(1,), (100,), (300,)]
     assert dict(spark.read.parquet(path).dtypes)["zone_id"] == "smallint"
+    got = read_features(spark, path, ["v"], "2024-01-02", "2024-01-02 23:00:00")
+    assert rows(got) == [(100,)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "bin_date" in plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+
+
+def test_forecasts_reach_the_log(spark, tmp_path):
+    cols = {"humidity": F.lit(40.0), "target_yellow": F.lit(3), "target_yellow_lag_1h": F.lit(9.0)}
+    base = hours(spark, (1, 2, 1, 0)).select("bin", "zone_id").withColumns(cols)
+    before = hours(spark, (1, 1, 1, 0)).select("bin", "zone_id").withColumns(cols)
+    log = store_forecast(base, before, str(tmp_path / "log"))
+    assert log.count() == 2 and "target_yellow_lag_1h" not in log.columns
+    assert dict(log.dtypes)["target_yellow"] == "double"
 
 
 def test_backfill_covers_whole_months(spark, tmp_path):

@@ -210,15 +210,14 @@ def _cells(edges: DataFrame, tolerance: float) -> DataFrame:
 
 
 def _fine_cells(cells: DataFrame, tolerance: float) -> DataFrame:
-    """Repeat each edge for the sub-cells it crosses; a split cell has ``_parts`` of them each way."""
+    """Repeat each edge for the sub-cells it crosses; each cell has ``_parts`` of them each way."""
     parts = F.col("_parts")
     step = F.col("_size") / parts
 
     def within(first: Column, last: Column, cell: str) -> Column:
         low = F.greatest(first, F.col(cell) * parts)
         high = F.least(last, F.col(cell) * parts + parts - 1)
-        split = F.when(low <= high, F.sequence(low, high))
-        return F.when(parts == 1, F.array(F.lit(0).cast("bigint"))).otherwise(split)
+        return F.when(low <= high, F.sequence(low, high))
 
     placed = cells.withColumn("_fx", F.explode(within(*_columns(step, tolerance), "_cx")))
     return placed.withColumn(
@@ -254,20 +253,20 @@ def zone_adjacency(
     typical = edges.agg(F.percentile_approx(extent, 0.5)).scalar()
     size = F.lit(float(cell_size)) if cell_size else typical
 
-    coarse = stage(_cells(edges.withColumn("_size", size), tolerance), "edge_cells")
+    # Pairs cost far more than rows, so rows are written spread by cell, however few files held them.
+    width = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    coarse = _cells(edges.withColumn("_size", size), tolerance).repartition(width, "_cx", "_cy")
+    coarse = stage(coarse, "edge_cells")
     load = coarse.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_load"))
     busy = load.where(F.col("_load") > crowded).select(
         "_cx", "_cy", F.ceil(F.sqrt(F.col("_load") / F.lit(float(crowded)))).alias("_parts")
     )
-    marked = coarse.join(busy, ["_cx", "_cy"], "left").withColumn(
-        "_parts", F.coalesce("_parts", F.lit(1))
+    calm = coarse.join(busy, ["_cx", "_cy"], "left_anti").drop("_size").withColumns(
+        {"_fx": F.lit(0).cast("bigint"), "_fy": F.lit(0).cast("bigint")}
     )
-
-    placed = _fine_cells(marked, tolerance).drop("_size", "_parts")
+    fine = _fine_cells(coarse.join(busy, ["_cx", "_cy"]), tolerance).drop("_size", "_parts")
+    placed = calm.unionByName(fine)
     keys = ("_cx", "_cy", "_fx", "_fy")
-    # Pairs cost far more than rows, so the rows are spread by cell however few files hold them.
-    width = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = placed.repartition(width, *keys)
     left, right = placed.alias("l"), placed.alias("r")
     same_cell = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
     contacts = _contacts(tolerance)

@@ -17,6 +17,7 @@ from zonecast.operators.spatial import neighbor_demand
 from zonecast.operators.weather import current_weather, current_weather_bin
 from zonecast.schemas import CURRENT_FIELDS, TARGETS, ZONE
 from zonecast.session import stage
+from zonecast.sources.store import append_predictions, prediction_schema
 
 # Columns read from the history.
 HISTORY = (
@@ -50,3 +51,11 @@ def scoring_rows(
     history = neighbor_demand(city_demand(history), edges)
     target = target_hour_of(naive(as_of), row_cutoff)
     return scoring_frame(serving_lags(history, candidates), target)
+
+
+def store_forecast(forecast: DataFrame, history: DataFrame, path: str) -> DataFrame:
+    """Write forecasts to the prediction log, typed; the first run also writes the history."""
+    kept = [name for name in HISTORY if name in forecast.columns]
+    return append_predictions(
+        prediction_schema(forecast.select(*kept)), prediction_schema(history.select(*kept)), path
+    )

@@ -76,8 +76,10 @@ def small(df: DataFrame, label: str) -> DataFrame:
     """Mark a side that should be small for broadcast, but only once its size is known.
 
     A plan of unknown size is written first, so that its real size decides. Above the limit the
-    side joins by shuffle.
+    side joins by shuffle. A client that cannot see plan sizes leaves the choice to AQE.
     """
+    if not hasattr(df, "_jdf"):
+        return df
     if planned_bytes(df) > BROADCAST_BYTES:
         df = stage(df, label)
     return F.broadcast(df) if planned_bytes(df) <= BROADCAST_BYTES else df

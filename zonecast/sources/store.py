@@ -15,6 +15,7 @@ from zonecast.schemas import BIN, HOURLY_WEATHER, PANEL, PREDICTION_TYPES, ZONE
 from zonecast.session import CHECKPOINT_KEY, shared_folder, stage
 
 MONTHS = ("pickup_year", "pickup_month")
+DAY = "bin_date"
 KEYS = (ZONE, "bin_str")
 PRUNED_FOLDERS = 400
 
@@ -105,6 +106,12 @@ def _months_between(start: Moment | None, end: Moment | None) -> Column | None:
     return None if not parts else parts[0] if len(parts) == 1 else parts[0] & parts[1]
 
 
+def _days_between(start: Moment | None, end: Moment | None) -> Column:
+    after = F.lit(True) if start is None else F.col(DAY) >= F.to_date(naive(start))
+    before = F.lit(True) if end is None else F.col(DAY) <= F.to_date(naive(end))
+    return after & before
+
+
 def read_features(
     spark: SparkSession,
     path: str,
@@ -116,8 +123,8 @@ def read_features(
 ) -> DataFrame:
     """Columns of the rows from ``start`` to ``end``; ``closed='left'`` leaves ``end`` out.
 
-    ``prefix`` is stripped from column names. Where the table is partitioned by month, folders
-    outside the range are not read.
+    ``prefix`` is stripped from column names. Where the table is partitioned by month or by day,
+    folders outside the range are not read.
     """
     if closed not in ("both", "left"):
         raise ValueError(f"unknown interval: {closed}")
@@ -129,6 +136,8 @@ def read_features(
     months = _months_between(start, end)
     if months is not None and set(MONTHS) <= set(table.columns):
         table = table.where(months)
+    if DAY in table.columns:
+        table = table.where(_days_between(start, end))
     if start is not None:
         table = table.where(F.col(BIN) >= naive(start))
     if end is not None:
@@ -157,7 +166,7 @@ def append_predictions(pred: DataFrame, hist: DataFrame, path: str) -> DataFrame
         )
         rows = latest_per_key(both, KEYS, ["_rank"]).drop("_rank")
     return upsert_features(
-        rows.withColumn("bin_date", F.to_date(BIN)), path, partitions=("bin_date",)
+        rows.withColumn(DAY, F.to_date(BIN)), path, partitions=(DAY,)
     )
 
 
