@@ -12,7 +12,6 @@ from zonecast.operators import metrics, ml
 from zonecast.operators.lags import lag_features
 from zonecast.operators.panel import hourly_targets
 from zonecast.operators.positions import chronological_split
-from zonecast.operators.spatial import zone_adjacency
 from zonecast.operators.trips import normalize_feed, union_feeds, valid_trips
 from zonecast.plans.features import feature_panel
 from zonecast.plans.training import split_matrix, train_and_report
@@ -85,7 +84,7 @@ def _features(spark: SparkSession, sf: str) -> DataFrame:
     return feature_panel(
         tables.trips(spark, sf),
         tables.hourly_weather(spark, sf),
-        zone_adjacency(tables.polygons(spark, sf)),
+        tables.edges(spark, sf),
     )
 
 

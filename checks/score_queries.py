@@ -15,7 +15,7 @@ from zonecast.operators import scoring, serving
 from zonecast.operators.calendars import calendar_parts
 from zonecast.operators.lags import city_demand, dedup_history, lag_features, serving_lags
 from zonecast.operators.panel import hourly_targets, panel_full
-from zonecast.operators.spatial import neighbor_demand, zone_adjacency
+from zonecast.operators.spatial import neighbor_demand
 from zonecast.operators.weather import current_weather, current_weather_bin
 from zonecast.plans.features import save_feature_panel
 from zonecast.plans.scoring import scoring_rows
@@ -230,7 +230,7 @@ _SERVING_LAGS = f"""SELECT bin, zone_id, {lags(TARGETS, (1, 24))}, {lags(CITY +
 @query("serving_lags", _SERVING_LAGS)
 def lagged(spark: SparkSession, sf: str) -> DataFrame:
     dense = city_demand(stage(hourly_targets(tables.trips(spark, sf)), "targets"))
-    history = stage(neighbor_demand(dense, zone_adjacency(tables.polygons(spark, sf))), "history")
+    history = stage(neighbor_demand(dense, tables.edges(spark, sf)), "history")
     ahead = history.select(ZONE).distinct().withColumn(BIN, naive("2024-02-01"))
     return serving_lags(history, ahead).drop(*TARGETS, *CITY_DEMAND, *NEIGHBOR_DEMAND)
 
@@ -292,7 +292,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     log = stage(tables.history_log(spark, sf), "log")
     rows = scoring_rows(
         log, log, _now(spark, sf), tables.road_readings(spark, sf), tables.lookup(spark, sf),
-        zone_adjacency(tables.polygons(spark, sf)), tables.AS_OF,
+        tables.edges(spark, sf), tables.AS_OF,
     )
     result = scoring.score_linear(rows, _COEFS)
     lag_columns = [c for c in result.columns if "_lag_" in c]

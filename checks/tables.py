@@ -12,10 +12,12 @@ from zonecast.operators.calendars import serving_calendar
 from zonecast.operators.lags import lag_features
 from zonecast.operators.panel import panel_full
 from zonecast.operators.scoring import score_linear
+from zonecast.operators.spatial import zone_adjacency
 from zonecast.operators.weather import panel_weather
 from zonecast.plans.features import clean_trips
 from zonecast.plans.scoring import HISTORY
 from zonecast.schemas import FEEDS, HOURLY_WEATHER, TARGETS, WEATHER_FIELDS, ZONE
+from zonecast.session import stage
 
 AS_OF = datetime(2024, 1, 20, 12, 10)
 SERVED_HOUR = datetime(2024, 1, 20, 12)
@@ -168,6 +170,11 @@ def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boxes.select(ZONE, F.when(F.col(ZONE) % 2 == 1, F.reverse(ring)).otherwise(ring).alias("ring"))
 
 
+def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The adjacency as the jobs find it: a written table."""
+    return stage(zone_adjacency(polygons(spark, sf_dir)), "edges")
+
+
 def calendar_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates with an hour from the order key."""
     hour = (F.col("o_orderkey") % 24).cast("int")

@@ -225,7 +225,7 @@ def lists(spark: SparkSession, sf: str) -> DataFrame:
 )
 def neighbors(spark: SparkSession, sf: str) -> DataFrame:
     dense = stage(panel.hourly_targets(tables.trips(spark, sf)), "targets")
-    return neighbor_demand(dense, zone_adjacency(tables.polygons(spark, sf)))
+    return neighbor_demand(dense, tables.edges(spark, sf))
 
 
 @query("city_demand", f"SELECT bin, zone_id, {', '.join(TARGETS)}, {', '.join(CITY)} FROM panel JOIN city_sums USING (bin)")
@@ -235,7 +235,7 @@ def demand(spark: SparkSession, sf: str) -> DataFrame:
 
 def _lag_source(spark: SparkSession, sf: str) -> DataFrame:
     dense = stage(panel.hourly_targets(tables.trips(spark, sf)), "targets")
-    return neighbor_demand(city_demand(dense), zone_adjacency(tables.polygons(spark, sf)))
+    return neighbor_demand(city_demand(dense), tables.edges(spark, sf))
 
 
 _LAGGED = f"""SELECT bin, zone_id, {lags(TARGETS + CITY + NEIGHBOR, (1, 24))}
@@ -270,5 +270,5 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
     return feature_panel(
         tables.trips(spark, sf),
         tables.hourly_weather(spark, sf),
-        zone_adjacency(tables.polygons(spark, sf)),
+        tables.edges(spark, sf),
     )
