@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import list_array, map_batches, picked
+from zonecast.llm.common import Remembered, list_array, map_batches, picked
 
 # The code points with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -76,19 +76,18 @@ def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[part] for part in parts if part is not None]
 
 
-class _Chunks(dict):
-    """Chunk of text to its ids as bytes; forgets all when full, so memory is bounded."""
+class _Chunks(Remembered):
+    """Chunk of text to its ids as bytes."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        super().__init__(CACHED_CHUNKS)
         self.ranks = ranks
-        self.words = regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]"))
+        white = pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]")
+        self.words = regex.compile(white)
 
-    def __missing__(self, chunk: str) -> bytes:
+    def make(self, chunk: str) -> bytes:
         ids = [id for word in self.words.findall(chunk) for id in fold_merges(word.encode(), self.ranks)]
-        if len(self) >= CACHED_CHUNKS:
-            self.clear()
-        found = self[chunk] = np.array(ids, np.int32).tobytes()
-        return found
+        return np.array(ids, np.int32).tobytes()
 
 
 _WORKER: dict[tuple[int, str], _Chunks] = {}

@@ -40,3 +40,32 @@ def list_array(offsets, values: pa.Array) -> pa.ListArray:
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder: lost executors cost no recomputation of it."""
     return stage(df, f"llm-{label}")
+
+
+class Remembered(dict):
+    """What a worker has made of keys; keeps between one and two times ``limit`` of the latest."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.old = limit, {}
+
+    def make(self, key):
+        raise NotImplementedError
+
+    def put(self, key, value):
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        return self.put(key, self.make(key) if found is None else found)
+
+    def unknown(self, keys) -> list:
+        """The distinct ``keys`` still to be made; those of the older generation are taken over."""
+        new = set(keys).difference(self)
+        for key in new.intersection(self.old):
+            self.put(key, self.old[key])
+        return list(new.difference(self))

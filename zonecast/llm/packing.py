@@ -8,9 +8,10 @@ pieces among the pieces of the same length.
 from __future__ import annotations
 
 import heapq
+import itertools
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,31 +21,51 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import map_batches, picked, staged
+from zonecast.llm.common import Remembered, map_batches, picked, staged
 from zonecast.session import small
 
 SEQUENCE = 2048
 END = 1
 CACHED_CHUNKS = 400_000
+TOGETHER = 50
 # The code points with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
 CHUNK = re.compile(f"[^{WHITE}]+")
 
 
-class _Chunks(dict):
-    """Chunk without white space to its ids as bytes; forgets all when full."""
+def _cut(text: str | None) -> list[str]:
+    """The chunks of a text; str.split also cuts at four separators that are not white space."""
+    if not text:
+        return []
+    return CHUNK.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
+
+
+class _Chunks(Remembered):
+    """Chunk without white space to its ids as bytes; new ones are encoded many at a time.
+
+    Chunks are encoded as one text with a bar between them, as no token crosses white space; those
+    that hold a bar themselves go alone.
+    """
 
     def __init__(self, vocabulary: str):
+        super().__init__(CACHED_CHUNKS)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.bar = self.tokenizer.encode("|", add_special_tokens=False).ids[0]
+
+    def make(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, np.uint32).tobytes()
 
-    def learn(self, chunks: list[str]) -> None:
-        new = [chunk for chunk in set(chunks) if chunk not in self]
-        if len(self) + len(new) > CACHED_CHUNKS:
-            self.clear()
-            new = list(set(chunks))
-        for chunk, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self[chunk] = np.array(found.ids, np.uint32).tobytes()
+    def learn(self, chunks: Iterable[str]) -> None:
+        plain = [chunk for chunk in self.unknown(chunks) if "|" not in chunk]
+        parts = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
+        texts = [" | ".join([*part, ""]) for part in parts]
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, np.uint32)
+            raw, start = ids.tobytes(), 0
+            for chunk, end in zip(part, np.flatnonzero(ids == self.bar).tolist(), strict=True):
+                self.put(chunk, raw[4 * start : 4 * end])
+                start = end + 1
 
 
 _WORKER: dict[int, _Chunks] = {}
@@ -77,9 +98,9 @@ def tokenized_pieces(
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for low in range(0, len(texts), 64):
                 source, starts, pieces, totals = [], [], [], []
-                for row, text in enumerate(texts[low : low + 64], low):
-                    found = CHUNK.findall(text or "")
-                    chunks.learn(found)
+                cut = [_cut(text) for text in texts[low : low + 64]]
+                chunks.learn(itertools.chain.from_iterable(cut))
+                for row, found in enumerate(cut, low):
                     encoded = b"".join(map(chunks.__getitem__, found)) + last
                     for start in range(0, len(encoded), 4 * sequence):
                         source.append(row)
