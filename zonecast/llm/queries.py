@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from zonecast.llm.bpe import bpe_decode, bpe_encode, ids_digest, load_ranks
-from zonecast.llm.common import documents
+from zonecast.llm.common import documents, id_remainder
 from zonecast.llm.exact_dedup import exact_groups
+from zonecast.llm.language import fit_languages, load_pieces, predict_language
 from zonecast.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +62,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), word_vocabulary()).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir)
+    out = id_remainder(F.col("doc_id"), 3) == 1
+    pieces = load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    model = fit_languages(rows.where(~out), pieces)
+    return predict_language(rows, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
