@@ -13,6 +13,7 @@ from zonecast.llm.bpe import bpe_decode, bpe_encode, ids_digest, load_ranks
 from zonecast.llm.common import documents, id_remainder
 from zonecast.llm.exact_dedup import exact_groups
 from zonecast.llm.language import fit_languages, load_pieces, predict_language
+from zonecast.llm.near_duplicates import jaccard_components
 from zonecast.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +72,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
     model = fit_languages(rows.where(~out), pieces)
     return predict_language(rows, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_ngram_jaccard")
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir))
