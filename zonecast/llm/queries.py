@@ -15,6 +15,11 @@ from zonecast.llm.exact_dedup import exact_groups
 from zonecast.llm.language import fit_languages, load_pieces, predict_language
 from zonecast.llm.near_duplicates import jaccard_components
 from zonecast.llm.packing import pack
+from zonecast.llm.personal_data import BASE_KINDS as PERSONAL_KINDS
+from zonecast.llm.personal_data import personal_data
+from zonecast.llm.secrets import BASE_KINDS as SECRET_KINDS
+from zonecast.llm.secrets import secrets
+from zonecast.llm.spans import span_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +82,21 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_ngram_jaccard")
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
+
+
+def _span_digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    of_kind = lambda kind: F.filter("base", lambda s: s["kind"] == kind)
+    counts = [F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in kinds]
+    return found.select(
+        "doc_id", *counts, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans")
+    )
+
+
+@query("op3_personal_data")
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digest(personal_data(documents(spark, sf_dir)), PERSONAL_KINDS)
+
+
+@query("op4_secrets")
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digest(secrets(documents(spark, sf_dir)), SECRET_KINDS)
