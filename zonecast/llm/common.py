@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def picked(df: DataFrame, **columns: str) -> DataFrame:
     """Only the columns an operator works on, under its own names, so that others cannot clash."""
     return df.select(*[df[f"`{name}`"].alias(own) for own, name in columns.items()])
@@ -37,6 +42,12 @@ def list_array(offsets, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
 
+def list_values(lists: pa.ListArray) -> tuple[np.ndarray, list[int]]:
+    """All values of an array of lists, and where each list starts and ends; null lists are empty."""
+    values = lists.flatten().to_numpy(zero_copy_only=False)
+    return values, np.cumsum([0, *lists.value_lengths().fill_null(0).to_pylist()]).tolist()
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder: lost executors cost no recomputation of it."""
     return stage(df, f"llm-{label}")
@@ -65,7 +76,8 @@ class Remembered(dict):
 
     def unknown(self, keys) -> list:
         """The distinct ``keys`` still to be made; those of the older generation are taken over."""
-        new = set(keys).difference(self)
-        for key in new.intersection(self.old):
-            self.put(key, self.old[key])
-        return list(new.difference(self))
+        new = [key for key in set(keys) if key not in self]
+        for key in new:
+            if key in self.old:
+                self.put(key, self.old[key])
+        return [key for key in new if key not in self]

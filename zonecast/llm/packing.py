@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import heapq
 import itertools
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -16,6 +17,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -26,8 +28,12 @@ from zonecast.session import small
 
 SEQUENCE = 2048
 END = 1
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 300_000
 TOGETHER = 50
+CACHED_TAILS = 10_000
+MARKS = ".,;:!?"
+FIRST_OTHER = "\u0250"  # the letters below are Latin
+DOTTED = "\u0130"  # its lower case is two code points
 # The code points with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
 CHUNK = re.compile(f"[^{WHITE}]+")
@@ -40,11 +46,36 @@ def _cut(text: str | None) -> list[str]:
     return CHUNK.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it prints."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(byte if byte in own else next(rest)) for byte in range(256)]
+
+
+class _Words(Remembered):
+    """Word of lower-case letters to its ids as bytes, by the tokenizer's merges alone."""
+
+    def __init__(self, vocabulary: str):
+        super().__init__(CACHED_CHUNKS // 2)
+        model = json.loads(vocabulary)["model"]
+        merges = [tuple(merge.split(" ")) if isinstance(merge, str) else tuple(merge) for merge in model["merges"]]
+        self.model = BPE(
+            vocab=model["vocab"], merges=merges, end_of_word_suffix=model["end_of_word_suffix"], cache_capacity=0
+        )
+        self.letters = _byte_letters()
+
+    def make(self, word: str) -> bytes:
+        spelled = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+        return np.array([token.id for token in self.model.tokenize(spelled)], np.uint32).tobytes()
+
+
 class _Chunks(Remembered):
-    """Chunk without white space to its ids as bytes; new ones are encoded many at a time.
+    """Chunk without white space to its ids as bytes.
 
-    Chunks are encoded as one text with a bar between them, as no token crosses white space; those
-    that hold a bar themselves go alone.
+    A Latin word, with or without closing marks, needs the merges only: it is one letter run, whose
+    letters have one composed form and one lower case each. All other chunks go through the whole
+    tokenizer, many as one text with a bar between them, as no token crosses white space.
     """
 
     def __init__(self, vocabulary: str):
@@ -52,13 +83,25 @@ class _Chunks(Remembered):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.bar = self.tokenizer.encode("|", add_special_tokens=False).ids[0]
+        self.words, self.tails = _Words(vocabulary), {}
 
     def make(self, chunk: str) -> bytes:
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, np.uint32).tobytes()
 
     def learn(self, chunks: Iterable[str]) -> None:
-        plain = [chunk for chunk in self.unknown(chunks) if "|" not in chunk]
-        parts = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
+        others = []
+        for chunk in self.unknown(chunks):
+            word = chunk.rstrip(MARKS)
+            if word.isalpha() and max(word) < FIRST_OTHER and DOTTED not in word:
+                tail = chunk[len(word) :]
+                if tail not in self.tails:
+                    if len(self.tails) >= CACHED_TAILS:
+                        self.tails.clear()
+                    self.tails[tail] = self.make(tail)
+                self.put(chunk, self.words[word.lower()] + self.tails[tail])
+            elif "|" not in chunk:
+                others.append(chunk)
+        parts = [others[i : i + TOGETHER] for i in range(0, len(others), TOGETHER)]
         texts = [" | ".join([*part, ""]) for part in parts]
         for part, found in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             ids = np.array(found.ids, np.uint32)
@@ -96,9 +139,9 @@ def tokenized_pieces(
         turns = np.zeros(sequence + 1, np.int64)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for low in range(0, len(texts), 64):
+            for low in range(0, len(texts), 256):
                 source, starts, pieces, totals = [], [], [], []
-                cut = [_cut(text) for text in texts[low : low + 64]]
+                cut = [_cut(text) for text in texts[low : low + 256]]
                 chunks.learn(itertools.chain.from_iterable(cut))
                 for row, found in enumerate(cut, low):
                     encoded = b"".join(map(chunks.__getitem__, found)) + last
