@@ -11,6 +11,7 @@ import base64
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import Remembered, list_array, map_batches, picked
+from zonecast.llm.common import Remembered, list_array, list_values, map_batches, picked
 
 # The code points with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -131,7 +132,8 @@ def bpe_decode(df: DataFrame, ranks: dict[bytes, int], id: str = "doc_id", ids:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = {rank: token for token, rank in shared.value.items()}
         for batch in batches:
-            decoded = [b"".join(map(pieces.__getitem__, found or ())) for found in batch.column(1).to_pylist()]
+            flat, ends = list_values(batch.column(1))
+            decoded = [b"".join(map(pieces.__getitem__, flat[a:b].tolist())) for a, b in pairwise(ends)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names=["id", "ids", "decoded"])
 
     id_type = rows.schema["id"].dataType.simpleString()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from zonecast.llm.bpe import bpe_decode, bpe_encode, ids_digest, load_ranks
-from zonecast.llm.common import documents, id_remainder
+from zonecast.llm.common import documents, id_remainder, labels
 from zonecast.llm.exact_dedup import exact_groups
 from zonecast.llm.language import fit_languages, load_pieces, predict_language
 from zonecast.llm.near_duplicates import jaccard_components
@@ -20,6 +20,7 @@ from zonecast.llm.personal_data import personal_data
 from zonecast.llm.secrets import BASE_KINDS as SECRET_KINDS
 from zonecast.llm.secrets import secrets
 from zonecast.llm.spans import span_text
+from zonecast.llm.toxicity import fit_toxicity, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +101,15 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_secrets")
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digest(secrets(documents(spark, sf_dir)), SECRET_KINDS)
+
+
+TOXIC_FROM = 0.7
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, out = documents(spark, sf_dir), id_remainder(F.col("doc_id"), 3) == 1
+    model = fit_toxicity(rows, labels(spark, sf_dir), ~out)
+    return toxicity(rows, model).select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted")
+    )
