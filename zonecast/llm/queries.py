@@ -17,6 +17,7 @@ from zonecast.llm.near_duplicates import jaccard_components
 from zonecast.llm.packing import pack
 from zonecast.llm.personal_data import BASE_KINDS as PERSONAL_KINDS
 from zonecast.llm.personal_data import personal_data
+from zonecast.llm.quality import fit_quality, quality
 from zonecast.llm.secrets import BASE_KINDS as SECRET_KINDS
 from zonecast.llm.secrets import secrets
 from zonecast.llm.spans import span_text
@@ -113,3 +114,15 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(rows, model).select(
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted")
     )
+
+
+GOOD_FROM = 0.3
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, out = documents(spark, sf_dir), id_remainder(F.col("doc_id"), 5) == 0
+    model = fit_quality(rows, labels(spark, sf_dir), ~out)
+    return quality(rows, model).select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted")
+    )
