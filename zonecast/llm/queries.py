@@ -21,6 +21,7 @@ from zonecast.llm.quality import fit_quality, quality
 from zonecast.llm.secrets import BASE_KINDS as SECRET_KINDS
 from zonecast.llm.secrets import secrets
 from zonecast.llm.spans import span_text
+from zonecast.llm.top_k import top_k
 from zonecast.llm.toxicity import fit_toxicity, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +127,22 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(rows, model).select(
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted")
     )
+
+
+@query(
+    "op7_top_k",
+    """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS w FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    s AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+        FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+    ),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
+    SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 5
+    """,
+)
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame
@@ -279,21 +280,25 @@ def _inputs(cases: DataFrame, model: ToxicityModel) -> list:
     return map_batches(cases.select("text", "toxic"), run, "inputs array<double>, toxic int").collect()
 
 
-def toxicity(df: DataFrame, model: ToxicityModel, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of ``df``: id, score from 0 to 1.
+def with_toxicity(df: DataFrame, model: ToxicityModel, score: str = "score", text: str = "text") -> DataFrame:
+    """``df`` with a column ``score`` from 0 to 1.
 
     A null text scores as an empty one. Rows are independent: repeated rows and ids, null ids, other
     columns and the length of a text change nothing.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    rows = picked(df, id=id, text=text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("double")
+    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         weights = _Weights(shared.value)
-        for batch in batches:
-            inputs = np.array([_evidence(text, weights) for text in batch.column(1).to_pylist()]).reshape(-1, 4)
-            scores = 1 / (1 + np.exp(-np.clip(inputs @ shared.value.final, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["id", "score"])
+        for batch in texts:
+            inputs = np.array([_evidence(text, weights) for text in batch]).reshape(-1, 4)
+            yield pd.Series(1 / (1 + np.exp(-np.clip(inputs @ shared.value.final, -30, 30))))
 
-    id_type = rows.schema["id"].dataType.simpleString()
-    return map_batches(rows, run, f"id {id_type}, score double").withColumnRenamed("id", id)
+    return df.withColumn(score, scored(F.col(f"`{text}`")))
+
+
+def toxicity(df: DataFrame, model: ToxicityModel, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row of ``df``: id, score from 0 to 1, as :func:`with_toxicity` gives it."""
+    rows = picked(df, id=id, text=text)
+    return with_toxicity(rows, model).select(F.col("id").alias(id), "score")
