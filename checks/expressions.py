@@ -133,7 +133,7 @@ EXPRESSIONS = {
     "readings": """SELECT CASE WHEN o_custkey % 3 = 0 THEN 'bridge approach'
         WHEN o_orderkey % 2 = 0 THEN 'RAMP ZONE ' || o_custkey || ' NB' ELSE 'ramp zone ' || o_custkey || ' nb' END AS link_name,
         r_name AS borough, CASE WHEN o_orderkey % 17 = 0 OR o_custkey % 41 = 5 THEN 'n/a'
-        ELSE CAST(CAST(floor(o_totalprice / 10000) AS BIGINT) AS VARCHAR) END AS speed, o_orderkey AS data_as_of
+        ELSE CAST(CAST(floor(o_totalprice / 10000) AS BIGINT) AS VARCHAR) END AS speed, o_orderkey // 50 AS data_as_of
         FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
         JOIN region ON r_regionkey = n_regionkey""",
     "boxes": """SELECT zone_id, x, y, x + w AS x2, y + h AS y2 FROM (SELECT CAST(c_custkey AS INTEGER) AS zone_id,
@@ -170,7 +170,7 @@ EXPRESSIONS = {
         FROM panel p LEFT JOIN binned_weather USING (bin)""",
     "recent": """SELECT * FROM history_log
         WHERE bin >= TIMESTAMP '2024-01-19 12:00:00' AND bin < TIMESTAMP '2024-01-20 12:00:00'""",
-    "latest": "SELECT * FROM readings ORDER BY data_as_of DESC LIMIT 2000",
+    "latest": "SELECT * FROM readings ORDER BY data_as_of DESC, link_name, borough, speed LIMIT 2000",
 }
 
 

@@ -28,7 +28,7 @@ def with_expressions(body: str) -> str:
     names = _needed(body, {})
     if not names:
         return body
-    parts = ",\n".join(f"{name} AS ({EXPRESSIONS[name]})" for name in names)
+    parts = ",\n".join(f"{name} AS MATERIALIZED ({EXPRESSIONS[name]})" for name in names)
     return f"WITH {parts}\n{body}"
 
 

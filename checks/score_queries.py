@@ -67,7 +67,7 @@ def read(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "append_predictions",
-    f"""SELECT h.bin, CAST(h.zone_id AS SMALLINT) AS zone_id, coalesce(f.target_yellow, h.target_yellow) AS target_yellow,
+    f"""SELECT h.bin, h.zone_id AS zone_id, coalesce(f.target_yellow, h.target_yellow) AS target_yellow,
         strftime(h.bin, '%Y-%m-%d %H:%M:%S') AS bin_str, strftime(h.bin, '%Y-%m-%d') AS bin_date
         FROM history_log h LEFT JOIN (SELECT bin, zone_id, CAST(target_yellow AS DOUBLE) AS target_yellow FROM forecasts
         WHERE bin >= {FIRST}) f USING (bin, zone_id)""",
@@ -108,7 +108,7 @@ def artifacts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "prediction_schema",
-    f"""SELECT bin, CAST(zone_id AS SMALLINT) AS zone_id, {READINGS}, CAST(pickup_hour AS SMALLINT) AS pickup_hour,
+    f"""SELECT bin, zone_id, {READINGS}, CAST(pickup_hour AS SMALLINT) AS pickup_hour,
         is_rush_hour, CAST(pickup_month AS SMALLINT) AS pickup_month, CAST(day_of_week AS SMALLINT) AS day_of_week, is_night_hour,
         CAST(zone_congestion_index AS FLOAT) AS zone_congestion_index, CAST(city_congestion_index AS FLOAT) AS city_congestion_index,
         {', '.join(f'CAST({t} AS DOUBLE) AS {t}' for t in TARGETS)}, strftime(bin, '%Y-%m-%d %H:%M:%S') AS bin_str FROM forecasts""",
@@ -161,7 +161,7 @@ def named(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("latest_readings", "SELECT * FROM latest")
 def newest(spark: SparkSession, sf: str) -> DataFrame:
-    return scoring.latest_readings(tables.road_readings(spark, sf))
+    return scoring.latest_readings(tables.road_readings(spark, sf), 2000)
 
 
 @query(
@@ -208,9 +208,9 @@ def congestion(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_DEDUP = """SELECT bin, zone_id, CASE WHEN h.zone_id IS NULL THEN 'candidate' ELSE 'history' END AS origin
-    FROM (SELECT bin, zone_id FROM panel WHERE hour(bin) < 20) h
-    FULL JOIN (SELECT bin, zone_id FROM panel WHERE hour(bin) >= 18) c USING (bin, zone_id)"""
+_DEDUP = """SELECT bin, zone_id, max(origin) AS origin FROM (
+    SELECT bin, zone_id, 'history' AS origin FROM panel WHERE hour(bin) < 20
+    UNION ALL SELECT bin, zone_id, 'candidate' FROM panel WHERE hour(bin) >= 18) GROUP BY bin, zone_id"""
 
 
 @query("dedup_history", _DEDUP)
@@ -261,7 +261,7 @@ _HISTORY = f"""(SELECT r.*, {', '.join(f'sum({t}) OVER (PARTITION BY bin) AS {t}
     FROM adjacency a JOIN recent q ON q.zone_id = a.neighbor_id GROUP BY ALL) USING (zone_id, bin))"""
 _CANDIDATES = f"""(SELECT * FROM ({congestion_sql(f'''(SELECT z.zone_id, w.*, s.zone_avg_speed
     FROM (SELECT DISTINCT zone_id FROM recent) z CROSS JOIN {_NOW} w LEFT JOIN
-    ({road_speed('zone_names', 'latest')}) s USING (zone_id))''')}))"""
+    ({road_speed('zone_names', 'readings')}) s USING (zone_id))''')}))"""
 _NOTHING = ", ".join(f"NULL::DOUBLE AS {c}" for c in TARGETS + CITY + NEIGHBOR)
 _LAST_ROWS = f"""SELECT bin, zone_id, {READINGS}, city_congestion_index, zone_congestion_index,
     {lags(TARGETS, (1, 24))}, {lags(CITY + NEIGHBOR, (1,))}

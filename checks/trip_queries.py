@@ -139,7 +139,8 @@ _PROFILE = " UNION ALL ".join(
         for c in ("o_orderkey", "o_custkey")
     ]
     + [
-        """SELECT 'o_totalprice', count(*), min(o_totalprice), max(o_totalprice), CAST(-1 AS BIGINT), 'float' FROM orders"""
+        """SELECT 'o_totalprice', count(*), min(o_totalprice), max(o_totalprice), CAST(-1 AS BIGINT),
+        CASE WHEN max(abs(o_totalprice - CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE))) <= 5e-4 THEN 'float' ELSE 'double' END FROM orders"""
     ]
     + [
         f"""SELECT '{c}', count(*), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), count(DISTINCT {c}),
@@ -256,9 +257,11 @@ def lagged_blocks(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "lag_features_time",
     "SELECT p.bin, p.zone_id, "
-    + ", ".join(f"coalesce(q{k}.{t}, 0) AS {t}_lag_{k}h" for t in TARGETS for k in (1, 24))
-    + """ FROM panel p LEFT JOIN panel q1 ON q1.zone_id = p.zone_id AND q1.bin = p.bin - INTERVAL 1 HOUR
-        LEFT JOIN panel q24 ON q24.zone_id = p.zone_id AND q24.bin = p.bin - INTERVAL 24 HOUR""",
+    + ", ".join(
+        f"coalesce(max({t}) OVER (PARTITION BY zone_id ORDER BY bin RANGE BETWEEN INTERVAL {k} HOUR PRECEDING AND INTERVAL {k} HOUR PRECEDING), 0) AS {t}_lag_{k}h"
+        for t in TARGETS for k in (1, 24)
+    )
+    + " FROM panel p",
 )
 def lagged_time(spark: SparkSession, sf: str) -> DataFrame:
     dense = panel.hourly_targets(tables.trips(spark, sf))

@@ -105,3 +105,14 @@ def test_positions_run_over_months(spark):
     df = series(spark, [(1, range(0, 2400, 100))])
     got = sorted((r["bin"], r["_rn"], r["_n"]) for r in zone_positions(df).collect())
     assert [r[1] for r in got] == list(range(1, 25)) and {r[2] for r in got} == {24}
+
+
+def test_rows_of_one_hour_have_a_fixed_order(spark):
+    data = [(START + timedelta(hours=h), 1, v) for h, v in ((0, 5), (0, 7), (1, 1), (1, 2), (2, 3))]
+    one = spark.createDataFrame(data, "bin timestamp_ntz, zone_id int, v int")
+    other = spark.createDataFrame(data[::-1], "bin timestamp_ntz, zone_id int, v int")
+    expected = [(1, 7), (2, 1), (3, 2), (5, 0), (7, 5)]
+    for df in (one, other):
+        assert rows(lag_features(df, ["v"], (1,)), "v", "v_lag_1h") == expected
+        assert rows(lag_features(df, ["v"], (1,), block_rows=2), "v", "v_lag_1h") == expected
+        assert rows(zone_positions(df), "_rn", "v") == [(1, 5), (2, 7), (3, 1), (4, 2), (5, 3)]

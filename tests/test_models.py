@@ -47,10 +47,14 @@ def test_unseen_zones_can_be_scored(panel):
     assert ml.predict(panel.withColumn("zone_id", F.lit(99)), models).count() == 600
 
 
-def test_many_categories_stay_numbers(panel):
-    stages, bins = ml.feature_stages(panel, max_categories=10)
+def test_the_list_decides_what_is_a_category(panel):
+    many = panel.withColumn("zone_id", F.monotonically_increasing_id())
+    stages, bins = ml.feature_stages(many)
+    assert bins == panel.count() + 1
+    stages, bins = ml.feature_stages(many, categorical=("pickup_hour",))
     assert bins == 32
-    assert len(stages.stages[-1].getInputCols()) == 25
+    with pytest.raises(ValueError, match="zone_id"):
+        ml.feature_stages(panel.withColumn("zone_id", F.array("zone_id")))
 
 
 def test_search_is_repeatable(panel):

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from zonecast.functions.times import hour_text
+from zonecast.operators.keyed import latest_per_key
 from zonecast.plans.scoring import store_forecast
 from zonecast.sources.store import (
-    append_predictions, backfill_months, prediction_schema, read_features, upsert_features, with_months,
+    MONTHS, _existing, _in_partitions, append_predictions, backfill_months, prediction_schema, read_features,
+    upsert_features, with_months,
 )
 
 
@@ -81,7 +83,7 @@ def test_prediction_log(spark, tmp_path):
     second = prediction_schema(hours(spark, (1, 3, 1, 300)))
     later = hist.withColumn("v", hist.v * 0)
     assert rows(append_predictions(second, later, path), "v") == [(1,), (100,), (300,)]
-    assert dict(spark.read.parquet(path).dtypes)["zone_id"] == "smallint"
+    assert dict(spark.read.parquet(path).dtypes)["zone_id"] == "int"
     got = read_features(spark, path, ["v"], "2024-01-02", "2024-01-02 23:00:00")
     assert rows(got) == [(100,)]
     plan = got._jdf.queryExecution().executedPlan().toString()
@@ -110,3 +112,38 @@ def test_backfill_repeats_one_month_without_losing_others(spark, tmp_path):
     trips = spark.createDataFrame(days, "pickup_datetime timestamp_ntz")
     backfill_months(trips, "2024-01-01", "2024-03-31", path)
     assert backfill_months(trips, "2024-02-01", "2024-02-01", path).count() == 3
+
+
+def test_upsert_keeps_rows_without_partition_or_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "zone_id int, bin_str string, v int, pickup_year int, pickup_month int"
+    table = lambda *rows_: spark.createDataFrame(rows_, schema)
+    upsert_features(table((1, "a", 1, None, None), (2, "b", 2, 2024, 1), (None, "c", 3, None, 2)), path)
+    got = upsert_features(table((3, "d", 4, None, None), (None, "c", 5, None, 2)), path)
+    assert rows(got, "v") == [(1,), (2,), (4,), (5,)]
+
+
+def test_upsert_reads_the_touched_folders_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_features(hours(spark, (1, 1, 1, 1), (2, 1, 1, 2), (3, 1, 1, 3)), path)
+    touched = spark.createDataFrame([(2024, 2)], "pickup_year int, pickup_month int")
+    stored = _in_partitions(_existing(spark, path), touched, MONTHS)
+    assert rows(stored, "v") == [(2,)]
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    assert "pickup_month" in filters and "pickup_year" in filters
+
+
+def test_upsert_widens_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_features(hours(spark, (1, 1, 1, 1)), path)
+    got = upsert_features(hours(spark, (2, 1, 1, 2)).withColumn("w", F.col("v") * 10), path)
+    assert rows(got, "v", "w") == [(1, None), (2, 20)]
+    assert rows(upsert_features(hours(spark, (3, 1, 1, 3)), path), "v", "w") == [(1, None), (2, 20), (3, None)]
+
+
+def test_one_row_per_key_sorts_once(spark):
+    df = spark.createDataFrame([(1, 2, "a"), (1, 3, "b"), (2, None, "c")], "k int, o int, v string")
+    latest = latest_per_key(df, ["k"], ["o"])
+    assert rows(latest, "v") == [("b",), ("c",)]
+    assert "SortAggregate" not in latest._jdf.queryExecution().executedPlan().toString()

@@ -101,3 +101,10 @@ def test_profile_and_narrowing(spark):
     kinds = {r["column_name"]: r["narrow_type"] for r in profile_columns(df).collect()}
     assert kinds == {"t": "tinyint", "s": "smallint", "b": "bigint", "f": "float", "c": "category", "u": "string"}
     assert dict(narrow_types(df).dtypes)["s"] == "smallint"
+
+
+def test_narrowing_keeps_values(spark):
+    df = spark.createDataFrame([(123456.78, 0.1, None), (1.0, 2.5, None)], "price double, share double, none double")
+    kinds = dict(narrow_types(df).dtypes)
+    assert kinds == {"price": "double", "share": "float", "none": "double"}
+    assert narrow_types(df).agg({"price": "max"}).first()[0] == 123456.78

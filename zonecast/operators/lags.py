@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from zonecast.functions.times import hour_number
 from zonecast.operators.keyed import first_per_key
-from zonecast.operators.positions import zone_positions
+from zonecast.operators.positions import total_order, zone_positions
 from zonecast.schemas import BIN, CITY_DEMAND, LAG_SOURCES, LAGS, NEIGHBOR_DEMAND, TARGETS, ZONE
 from zonecast.session import small
 
@@ -38,6 +38,7 @@ def lag_features(
     block_rows: int | None = None,
     zone: str = ZONE,
     bin: str = BIN,
+    ties: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``{col}_lag_{k}h`` per zone in time order, 0 where there is no earlier row.
 
@@ -45,6 +46,8 @@ def lag_features(
     feed the first lags and are not returned. All lags share one window. A zone holds one row per
     hour, which bounds the size of a window group; for few zones with very long histories
     ``block_rows`` cuts each zone into blocks of that many rows, each with the rows it looks back to.
+    Rows of one zone and hour stand in the order of the columns ``ties`` (of all others without),
+    so the result does not depend on the order of the input.
     """
     if mode not in ("rows", "time"):
         raise ValueError(f"unknown lag mode: {mode}")
@@ -58,24 +61,25 @@ def lag_features(
         take = lambda name, lag: F.max(name).over(order.rangeBetween(-lag, -lag))
         result = source.withColumns(_lag_columns(cols, lags, take))
     elif block_rows is None:
-        order = Window.partitionBy(zone).orderBy(bin)
+        order = Window.partitionBy(zone).orderBy(bin, *total_order(source, ties, zone, bin))
         take = lambda name, lag: F.lag(name, lag).over(order)
         result = source.withColumns(_lag_columns(cols, lags, take))
     else:
-        result = _lags_in_blocks(source, cols, lags, block_rows, zone, bin)
+        result = _lags_in_blocks(source, cols, lags, block_rows, zone, bin, ties)
     if carry_in is not None:
         result = result.where("_kept").drop("_kept")
     return result
 
 
 def _lags_in_blocks(
-    source: DataFrame, cols: Sequence[str], lags: Sequence[int], block_rows: int, zone: str, bin: str
+    source: DataFrame, cols: Sequence[str], lags: Sequence[int], block_rows: int, zone: str, bin: str,
+    ties: Sequence[str] | None,
 ) -> DataFrame:
     """Row lags on blocks of consecutive rows; the last rows of a block also go to the next one."""
     reach = max(lags)
     if block_rows < reach:
         raise ValueError("block_rows must cover the longest lag")
-    placed = zone_positions(source, zone, bin).drop("_n")
+    placed = zone_positions(source, zone, bin, ties).drop("_n")
     block = F.floor((F.col("_rn") - 1) / F.lit(block_rows))
     last = block == F.floor((F.col("_rn") - 1 + reach) / F.lit(block_rows))
     homes = F.when(last, F.array(block)).otherwise(F.array(block, block + 1))
@@ -105,7 +109,7 @@ def serving_lags(history: DataFrame, candidates: DataFrame, zone: str = ZONE, bi
     Only lag columns are zero-filled, as the unfilled frame is the one the lags are merged onto.
     """
     stacked = dedup_history(history, candidates, zone, bin)
-    order = Window.partitionBy(zone).orderBy(bin)
+    order = Window.partitionBy(zone).orderBy(bin, *total_order(stacked, None, zone, bin))
     take = lambda name, lag: F.lag(name, lag).over(order)
     return stacked.withColumns(
         {

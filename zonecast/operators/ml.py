@@ -37,8 +37,6 @@ REGRESSORS = {"gbt": GBTRegressor, "random_forest": RandomForestRegressor}
 # Fixed value: models that take categories one-hot encoded.
 ONE_HOT = ("random_forest",)
 VECTOR = "features"
-# A tree needs one bin per category, and its statistics grow with them.
-MAX_CATEGORIES = 10_000
 
 
 def feature_matrix(df: DataFrame, features: Sequence[str] = FEATURES, targets: Sequence[str] = TARGETS) -> DataFrame:
@@ -57,17 +55,19 @@ def feature_stages(
     features: Sequence[str] = FEATURES,
     categorical: Sequence[str] = CATEGORICAL,
     one_hot: bool = False,
-    max_categories: int = MAX_CATEGORIES,
 ) -> tuple[PipelineModel, int]:
     """Fitted feature stages shared by all targets, and the bins a tree needs for the categories.
 
     Indexes are learned from the training rows and reused at scoring; unseen values get their own.
-    A column with more than ``max_categories`` values stays a number.
+    The ``categorical`` list alone decides what is a category, at any number of values: a tree then
+    keeps one bin per value of the largest of them, so leave a column out that should be a number.
     """
-    numbers = _number_of(train, features)
     used = [name for name in categorical if name in features]
-    counts = numbers.agg(*[F.approx_count_distinct(name).alias(name) for name in used]).first()
-    used = [name for name in used if counts[name] <= max_categories]
+    kinds = dict(train.dtypes)
+    for name in used:
+        if kinds[name].startswith(("array", "map", "struct", "binary")):
+            raise ValueError(f"column {name} of type {kinds[name]} cannot be used as a category")
+    numbers = _number_of(train, features)
     indexed = [f"{name}_index" for name in used]
     stages: list[Any] = []
     if used:

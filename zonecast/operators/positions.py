@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonecast.schemas import BIN, ZONE
 
 
-def zone_positions(df: DataFrame, zone: str = ZONE, bin: str = BIN) -> DataFrame:
+def total_order(df: DataFrame, ties: Sequence[str] | None, zone: str = ZONE, bin: str = BIN) -> list[str]:
+    """Columns that order the rows of one zone and hour: ``ties``, or all others that can be ordered."""
+    if ties is not None:
+        return list(ties)
+    return [f.name for f in df.schema if f.name not in (zone, bin) and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+
+
+def zone_positions(
+    df: DataFrame, zone: str = ZONE, bin: str = BIN, ties: Sequence[str] | None = None
+) -> DataFrame:
     """Add ``_rn`` (position from 1) and ``_n`` (rows of the zone).
 
     Rows are numbered within (zone, month) and shifted by the size of the zone's earlier months, so
-    a zone with a large share of all rows is spread over its months.
+    a zone with a large share of all rows is spread over its months. Rows of one hour stand in the
+    order of ``ties``, of all other columns without.
     """
     month = F.trunc(bin, "MM")
     sizes = df.groupBy(F.col(zone), month.alias("_month")).agg(F.count(F.lit(1)).alias("_size"))
@@ -24,7 +37,7 @@ def zone_positions(df: DataFrame, zone: str = ZONE, bin: str = BIN) -> DataFrame
         F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
         F.sum("_size").over(whole).alias("_n"),
     )
-    within = Window.partitionBy(zone, "_month").orderBy(bin)
+    within = Window.partitionBy(zone, "_month").orderBy(bin, *total_order(df, ties, zone, bin))
     return (
         df.withColumn("_month", month)
         .join(offsets, [zone, "_month"])

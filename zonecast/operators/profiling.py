@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 # Whole-number types from narrow to wide with their greatest value.
 WHOLE_TYPES = (("tinyint", 127), ("smallint", 32767), ("int", 2147483647))
 FLOAT_MAX = 3.4028234663852886e38
+# Fixed value: how far a narrowed number may lie from the number itself.
+FLOAT_TOLERANCE = 5e-4
 CATEGORY_SHARE = 0.5
 
 
@@ -19,10 +21,17 @@ def _narrowest(kind: T.DataType) -> Column:
         for name, limit in WHOLE_TYPES:
             choice = choice.when((low >= -limit - 1) & (high <= limit), F.lit(name))
         return choice.otherwise(F.lit("bigint"))
-    fits = F.greatest(F.abs(low), F.abs(high)) <= FLOAT_MAX
+    fits = (F.greatest(F.abs(low), F.abs(high)) <= FLOAT_MAX) & (F.col("float_error") <= FLOAT_TOLERANCE)
     return F.when(fits, F.lit("float")).otherwise(F.lit(kind.simpleString()))
 
 
+def _float_error(field: T.StructField) -> Column:
+    """How far a number moves when it is kept as float; whole numbers are never kept so."""
+    value = F.col(f"`{field.name}`").cast("double")
+    error = F.abs(value - value.cast("float").cast("double"))
+    return F.lit(None).cast("double") if isinstance(field.dataType, T.IntegralType) else F.coalesce(error, F.lit(0.0))
+
+
 def profile_columns(df: DataFrame) -> DataFrame:
     """One row per numeric or string column with its range, counts and the type it can be kept in.
 
@@ -40,6 +49,7 @@ def profile_columns(df: DataFrame) -> DataFrame:
                     F.min(f.name).cast("double").alias("min_value"),
                     F.max(f.name).cast("double").alias("max_value"),
                     F.count(F.lit(1)).alias("row_count"),
+                    F.max(_float_error(f)).alias("float_error"),
                 ).alias(f.name)
                 for f in numbers
             ]
@@ -48,7 +58,7 @@ def profile_columns(df: DataFrame) -> DataFrame:
             *[
                 F.struct(
                     F.lit(f.name).alias("column_name"),
-                    *[F.col(f"`{f.name}`.{s}").alias(s) for s in ("min_value", "max_value", "row_count")],
+                    *[F.col(f"`{f.name}`.{s}").alias(s) for s in ("min_value", "max_value", "row_count", "float_error")],
                 )
                 for f in numbers
             ]

@@ -69,8 +69,11 @@ def zone_lookup(df: DataFrame, lookup: DataFrame, zone: str = ZONE) -> DataFrame
     return df.join(small(names, "lookup"), zone, "left")
 
 
-def latest_readings(feed: DataFrame, n: int = 2000) -> DataFrame:
-    return feed.orderBy(F.col("data_as_of").desc()).limit(n)
+def latest_readings(feed: DataFrame, n: int | None = None) -> DataFrame:
+    """The ``n`` latest readings, all without a number; of one time those first by their columns."""
+    if n is None:
+        return feed
+    return feed.orderBy(F.col("data_as_of").desc(), *[name for name in feed.columns if name != "data_as_of"]).limit(n)
 
 
 def _speed(feed: DataFrame) -> DataFrame:
@@ -121,7 +124,7 @@ def zone_road_speed(zones: DataFrame, feed: DataFrame, zone: str = ZONE) -> Data
     return (
         zones.withColumn("name", F.lower("zone"))
         .join(matched, "name", "left")
-        .join(borough_speed(feed), "borough", "left")
+        .join(small(borough_speed(feed), "borough_speed"), "borough", "left")
         .select(zone, speed.alias("zone_avg_speed"))
     )
 

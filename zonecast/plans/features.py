@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.functions.numeric import zero_filled
@@ -26,28 +26,36 @@ def clean_trips(feeds: dict[str, DataFrame], start: Moment | None = None, end: M
     return hour_bin(valid_trips(trips))
 
 
-def feature_panel(trips: DataFrame, weather: DataFrame, edges: DataFrame) -> DataFrame:
+def feature_panel(
+    trips: DataFrame, weather: DataFrame, edges: DataFrame, carry_in: DataFrame | None = None
+) -> DataFrame:
     """Dense panel with speeds, weather, calendar, city and neighbour sums and all lags.
 
     The trips are reduced to cells once. Everything that depends on the hour alone (city speed and
     demand, weather, calendar) is computed per hour. Own counts and neighbour sums are sparse; they
     are added to the grid rows in one shuffle by zone, which the lag window then reuses. Weather
     and calendar columns join after the window, so they are not sorted with it; the join is by hour
-    row, as an hour with two weather readings makes two rows per zone.
+    row, as an hour with two weather readings makes two rows per zone. Such rows are numbered by
+    their readings, so neither the join nor the lags depend on the order of the input.
+    ``carry_in`` holds panel rows of earlier months that feed the first lags.
     """
     cells = stage(trip_cells(trips), "cells")
     city = hour_table(cells)
     hours = calendar_features(panel_weather(city, weather))
-    hours = stage(hours.withColumn("_hour", F.monotonically_increasing_id()), "hours")
-    thin = hours.select("_hour", *city.columns)
-    wide = hours.drop(*city.columns)
+    readings = [name for name in hours.columns if name not in city.columns]
+    turn = F.row_number().over(Window.partitionBy(BIN).orderBy(*readings))
+    hours = stage(hours.withColumn("_turn", turn), "hours")
+    thin = hours.select("_turn", *city.columns)
+    wide = hours.select(BIN, "_turn", *readings)
 
     within = edges.join(cells.select(ZONE).distinct(), ZONE, "left_semi")
     sparse = cells.unionByName(neighbor_sums(cells, within), allowMissingColumns=True)
     dense = zero_filled(densify(sparse, grid_of(cells, hours)), TARGETS + NEIGHBOR_DEMAND)
     panel = with_zone_speed(dense.join(small(thin, "hours"), BIN))
-    lagged = lag_features(panel, LAG_SOURCES)
-    return lagged.join(small(wide, "hours"), "_hour").drop("_hour")
+    if carry_in is not None:
+        carry_in = carry_in.select(ZONE, BIN, *LAG_SOURCES).withColumn("_turn", F.lit(0))
+    lagged = lag_features(panel, LAG_SOURCES, carry_in=carry_in, ties=("_turn",))
+    return lagged.join(small(wide, "hours"), [BIN, "_turn"]).drop("_turn")
 
 
 def save_feature_panel(panel: DataFrame, path: str) -> DataFrame:

@@ -35,18 +35,20 @@ def scoring_rows(
     edges: DataFrame,
     as_of: datetime,
     row_cutoff: int = 40,
+    readings_limit: int | None = None,
 ) -> DataFrame:
     """Model inputs of the target hour for every zone seen in the last day.
 
     ``weather`` is the one-row document with current conditions. History comes from the prediction
-    log, or from the panel a year back where the log has no recent rows.
+    log, or from the panel a year back where the log has no recent rows. All road readings count,
+    unless ``readings_limit`` names how many of the latest.
     """
     recent = history_window(log.select(*HISTORY), as_of)
     history = stage(history_fallback(recent, panel.select(*HISTORY), as_of), "history")
     now = serving_calendar(current_weather_bin(current_weather(weather), as_of.date()))
     candidates = candidate_rows(history, now)
     named = zone_lookup(candidates.select(ZONE), lookup)
-    speeds = zone_road_speed(named, latest_readings(readings))
+    speeds = zone_road_speed(named, latest_readings(readings, readings_limit))
     candidates = serving_congestion(candidates.join(speeds, ZONE, "left"))
     history = neighbor_demand(city_demand(history), edges)
     target = target_hour_of(naive(as_of), row_cutoff)

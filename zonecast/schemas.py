@@ -103,7 +103,7 @@ PREDICTION_TYPES = {
     "day_of_week": "smallint",
     "pickup_month": "smallint",
     "pickup_hour": "smallint",
-    ZONE: "smallint",
+    ZONE: "int",
     "zone_congestion_index": "float",
     "city_congestion_index": "float",
     **{name: "double" for name in CURRENT_FIELDS},

@@ -57,11 +57,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     The written table survives lost executors, cuts lineage, keeps column pruning and filter
     pushdown, and has a known size, so the optimizer broadcasts it only when it is small.
-    Without a shared folder the plan is returned as it is: same rows, computed per branch.
+    A cluster session without a shared folder is an error, not another plan.
     """
     spark = df.sparkSession
-    if shared_folder(spark) is None:
-        return df
     path = new_stage_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

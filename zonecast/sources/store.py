@@ -2,30 +2,56 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonecast.functions.times import Moment, hour_text, naive
 from zonecast.operators.keyed import latest_per_key
 from zonecast.schemas import BIN, HOURLY_WEATHER, PANEL, PREDICTION_TYPES, ZONE
-from zonecast.session import CHECKPOINT_KEY, shared_folder, stage
+from zonecast.session import stage
 
 MONTHS = ("pickup_year", "pickup_month")
 DAY = "bin_date"
 KEYS = (ZONE, "bin_str")
-PRUNED_FOLDERS = 400
+SCHEMA_FOLDER = "_columns"
+MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def _schema_of(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns of a keyed table, as its last write noted them beside the data."""
+    try:
+        noted = spark.read.text(f"{path}/{SCHEMA_FOLDER}").first()
+    except AnalysisException as error:
+        if error.getCondition() in MISSING:
+            return None
+        raise
+    return None if noted is None else T.StructType.fromJson(json.loads(noted["value"]))
+
+
+def _note_schema(df: DataFrame, path: str) -> None:
+    note = df.sparkSession.createDataFrame([(df.schema.json(),)], "value string")
+    note.coalesce(1).write.mode("overwrite").text(f"{path}/{SCHEMA_FOLDER}")
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path`` with the columns of all its files, or None where there is none yet."""
+    """The table at ``path`` with all its columns, or None where there is none yet.
+
+    The noted columns spare reading the footers of all files; only a table that was written
+    otherwise has its columns merged from them, once.
+    """
+    schema = _schema_of(spark, path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     try:
         return spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() in MISSING:
             return None
         raise
 
@@ -38,25 +64,28 @@ def _write_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> No
 
 
 def _in_partitions(stored: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """Stored rows of the touched partitions.
+    """Stored rows of the touched partitions, those without a value included.
 
-    The touched folders are known to the driver anyway, which commits them one by one. Up to
-    ``PRUNED_FOLDERS`` of them become a predicate that prunes the scan; the semi join is exact for
-    any number.
+    The least and greatest touched value of each partition column, one row for any number of
+    folders, prunes the scan; the null-safe semi join is exact.
     """
-    folders = touched.limit(PRUNED_FOLDERS + 1).collect()
-    if 0 < len(folders) <= PRUNED_FOLDERS:
-        same = lambda row: reduce(
-            lambda a, b: a & b, [F.col(name).eqNullSafe(F.lit(row[name])) for name in partitions]
-        )
-        stored = stored.where(reduce(lambda a, b: a | b, [same(row) for row in folders]))
-    return stored.join(touched, list(partitions), "left_semi")
+    ends = touched.agg(
+        *[
+            F.struct(
+                F.min(name).alias("low"), F.max(name).alias("high"), F.bool_or(F.col(name).isNull()).alias("missing")
+            ).alias(name)
+            for name in partitions
+        ]
+    ).first()
+    for name in partitions:
+        inside = F.col(name).between(F.lit(ends[name]["low"]), F.lit(ends[name]["high"]))
+        stored = stored.where(inside | F.col(name).isNull() if ends[name]["missing"] else inside)
+    return stored.alias("s").join(touched.alias("t"), _same("s", "t", partitions), "left_semi")
 
 
-def _staged_rows(rows: DataFrame) -> DataFrame:
-    if shared_folder(rows.sparkSession) is None:
-        raise ValueError(f"rewriting a table needs a shared folder: set {CHECKPOINT_KEY}")
-    return stage(rows, "upsert_rows")
+def _same(left: str, right: str, names: Sequence[str]) -> Column:
+    """Equality of columns under two aliases; a null equals a null."""
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{n}").eqNullSafe(F.col(f"{right}.{n}")) for n in names])
 
 
 def upsert_features(
@@ -72,7 +101,8 @@ def upsert_features(
     without one). Only the partitions that ``df`` touches are read and rewritten; a small batch is
     broadcast against them, so stored rows are not shuffled for it. The merged rows are written to
     the staging folder first, so the table is never overwritten while it is read and a lost
-    executor costs no data. Returns the table.
+    executor costs no data. A null partition value or key is a value like any other. Returns the
+    table.
     """
     spark = df.sparkSession
     stored = _existing(spark, path)
@@ -80,14 +110,12 @@ def upsert_features(
     if stored is not None:
         rows = stage(rows, "upsert_new")
         touched = rows.select(*partitions).distinct()
-        same_key = reduce(
-            lambda a, b: a & b, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
-        )
         old = _in_partitions(stored, touched, partitions).alias("o")
-        kept = old.join(rows.select(*keys).alias("n"), same_key, "left_anti")
-        rows = _staged_rows(kept.unionByName(rows, allowMissingColumns=True))
+        kept = old.join(rows.select(*keys).alias("n"), _same("o", "n", keys), "left_anti")
+        rows = stage(kept.unionByName(rows, allowMissingColumns=True), "upsert_rows")
     _write_partitions(rows, path, partitions)
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    _note_schema(rows, path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def with_months(df: DataFrame, bin: str = BIN) -> DataFrame:
