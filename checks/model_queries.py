@@ -15,9 +15,9 @@ from zonecast.operators.positions import chronological_split
 from zonecast.operators.trips import normalize_feed, union_feeds, valid_trips
 from zonecast.plans.features import feature_panel
 from zonecast.plans.training import split_matrix, train_and_report
-from zonecast.schemas import FEATURES, FEEDS, ZONE
+from zonecast.schemas import BIN, DAY, FEATURES, FEEDS, ZONE
 from zonecast.session import new_stage_path, stage
-from zonecast.streaming.hourly import stream_hourly
+from zonecast.streaming.hourly import stream_hourly, write_keyed
 
 PAIRS = {t: f"{t}_lag_24h" for t in TARGETS}
 SMALL_TREES = {"maxIter": 3, "maxDepth": 4}
@@ -115,9 +115,10 @@ def forest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("score_gbt")
 def scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Cleaned forecasts of the rows after the training share."""
-    train, val = _split(spark, sf)
-    return ml.score_gbt(val, ml.train_gbt(train, params=SMALL_TREES)).select(ZONE, *TARGETS)
+    """Cleaned forecasts of all rows after the training share."""
+    rows = stage(split_matrix(stage(_features(spark, sf), "panel")), "matrix")
+    models = ml.train_gbt(rows.where("split = 'train'"), params=SMALL_TREES)
+    return ml.score_gbt(rows.where("split <> 'train'"), models).select("split", ZONE, *TARGETS)
 
 
 @query("tune_report")
@@ -165,3 +166,18 @@ def streamed(spark: SparkSession, sf: str) -> DataFrame:
     return tables.rounded(
         spark.read.schema(hourly.schema).parquet(f"{out}/rows"), "avg_speed", "congestion_index"
     )
+
+
+@query(
+    "keyed_stream",
+    f"""SELECT bin, zone_id, service_type, count(*) AS trip_count, {rounded('avg(mph)', 'avg_speed')},
+        strftime(bin, '%Y-%m-%d') AS bin_date FROM good_trips
+        WHERE bin + INTERVAL 1 HOUR <= (SELECT max(pickup_datetime) FROM good_trips) - INTERVAL 2 HOUR GROUP BY ALL""",
+)
+def keyed(spark: SparkSession, sf: str) -> DataFrame:
+    """Closed hours of a stream, kept by key in a table partitioned by day."""
+    out = new_stage_path(spark, "keyed")
+    hourly = stream_hourly(stream_of(spark, sf, "events.parquet")).withColumn(DAY, F.to_date(BIN))
+    write_keyed(hourly, f"{out}/rows", (BIN, ZONE, "service_type"), f"{out}/state", (DAY,)).awaitTermination()
+    found = spark.read.schema(hourly.schema).parquet(f"{out}/rows").drop("congestion_index")
+    return tables.rounded(found.withColumn(DAY, F.col(DAY).cast("string")), "avg_speed")

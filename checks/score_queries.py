@@ -22,6 +22,7 @@ from zonecast.plans.scoring import scoring_rows
 from zonecast.schemas import BIN, CITY_DEMAND, NEIGHBOR_DEMAND, ZONE
 from zonecast.session import new_stage_path, stage
 from zonecast.sources import store
+from zonecast.sources.feeds import scan_zone_lookup
 
 HALF = "TIMESTAMP '2024-01-16'"
 FIRST = "TIMESTAMP '2024-01-10'"
@@ -67,17 +68,18 @@ def read(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "append_predictions",
-    f"""SELECT h.bin, h.zone_id AS zone_id, coalesce(f.target_yellow, h.target_yellow) AS target_yellow,
-        strftime(h.bin, '%Y-%m-%d %H:%M:%S') AS bin_str, strftime(h.bin, '%Y-%m-%d') AS bin_date
-        FROM history_log h LEFT JOIN (SELECT bin, zone_id, CAST(target_yellow AS DOUBLE) AS target_yellow FROM forecasts
-        WHERE bin >= {FIRST}) f USING (bin, zone_id)""",
+    f"""SELECT bin, zone_id, {READINGS}, CAST(pickup_hour AS SMALLINT) AS pickup_hour, is_rush_hour,
+        CAST(pickup_month AS SMALLINT) AS pickup_month, CAST(day_of_week AS SMALLINT) AS day_of_week, is_night_hour,
+        CAST(zone_congestion_index AS FLOAT) AS zone_congestion_index, CAST(city_congestion_index AS FLOAT) AS city_congestion_index,
+        {', '.join(f'coalesce(f.{t}, h.{t}) AS {t}' for t in TARGETS)}, strftime(bin, '%Y-%m-%d %H:%M:%S') AS bin_str, strftime(bin, '%Y-%m-%d') AS bin_date
+        FROM history_log h LEFT JOIN (SELECT bin, zone_id, {', '.join(f'CAST({t} AS DOUBLE) AS {t}' for t in TARGETS)}
+        FROM forecasts WHERE bin >= {FIRST}) f USING (bin, zone_id)""",
 )
 def append(spark: SparkSession, sf: str) -> DataFrame:
     """The first run writes forecasts and history, the second later forecasts."""
     path = new_stage_path(spark, "log")
-    keep = lambda df: store.prediction_schema(df).select(BIN, ZONE, "target_yellow", "bin_str")
-    pred = stage(keep(tables.forecasts(spark, sf)), "forecasts")
-    hist = keep(tables.history_log(spark, sf))
+    pred = stage(store.prediction_schema(tables.forecasts(spark, sf)), "forecasts")
+    hist = store.prediction_schema(tables.history_log(spark, sf))
     bin = F.col(BIN)
     store.append_predictions(
         pred.where((bin >= naive("2024-01-10")) & (bin < naive("2024-01-16"))), hist, path
@@ -159,6 +161,14 @@ def named(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.zone_lookup(rows, tables.lookup(spark, sf))
 
 
+@query("scan_zone_lookup", "SELECT zone_id AS locationid, nullif(zone, '') AS zone, borough FROM zone_names")
+def lookup_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The zone lookup as a CSV file with a header; such a file does not tell an empty name from none."""
+    path = new_stage_path(spark, "lookup")
+    tables.lookup(spark, sf).write.csv(path, header=True)
+    return scan_zone_lookup(spark, path)
+
+
 @query("latest_readings", "SELECT * FROM latest")
 def newest(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.latest_readings(tables.road_readings(spark, sf), 2000)

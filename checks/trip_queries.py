@@ -10,8 +10,8 @@ from checks.expressions import CITY, NEIGHBOR, TARGETS, lags, rounded
 from checks.registry import query
 from zonecast.operators import panel, trips
 from zonecast.operators.lags import city_demand, lag_features
-from zonecast.operators.profiling import profile_columns
-from zonecast.operators.spatial import neighbor_demand, neighbor_lists, zone_adjacency
+from zonecast.operators.profiling import narrow_types, profile_columns
+from zonecast.operators.spatial import load_or_build_adjacency, neighbor_demand, neighbor_lists, zone_adjacency
 from zonecast.plans.features import feature_panel
 from zonecast.schemas import CITY_DEMAND, NEIGHBOR_DEMAND, ZONE
 from zonecast.session import new_stage_path, stage
@@ -204,6 +204,29 @@ def full(spark: SparkSession, sf: str) -> DataFrame:
     return panel.panel_full(tables.trips(spark, sf))
 
 
+@query("adjacency_cache", "SELECT zone_id, neighbor_id FROM adjacency")
+def cached(spark: SparkSession, sf: str) -> DataFrame:
+    """The adjacency as the second run finds it; the first builds and writes it."""
+    path = new_stage_path(spark, "edges")
+    load_or_build_adjacency(tables.polygons(spark, sf), path)
+    return load_or_build_adjacency(tables.polygons(spark, sf).where("false"), path)
+
+
+@query(
+    "narrow_types",
+    """SELECT o_orderkey, CAST(o_orderkey % 100 AS TINYINT) AS part, o_totalprice,
+        CAST((o_custkey % 64) / 4.0 AS FLOAT) AS quarter FROM orders""",
+)
+def narrowed(spark: SparkSession, sf: str) -> DataFrame:
+    """One column that fits a small type, one that may be a float and one that must stay a double."""
+    orders = tables.table(spark, sf, "orders")
+    numbers = narrow_types(orders.select(
+        F.col("o_orderkey").alias("key"), (F.col("o_orderkey") % 100).alias("part"), "o_totalprice",
+        ((F.col("o_custkey") % 64) / F.lit(4.0)).alias("quarter"),
+    ))
+    return numbers.withColumn("o_orderkey", F.col("key").cast(orders.schema["o_orderkey"].dataType)).drop("key")
+
+
 @query("zone_adjacency", "SELECT zone_id, neighbor_id FROM adjacency")
 def adjacency(spark: SparkSession, sf: str) -> DataFrame:
     return zone_adjacency(tables.polygons(spark, sf))

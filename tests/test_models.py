@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonecast.operators import ml
-from zonecast.plans.training import train_and_report
+from zonecast.functions.times import hour_text
+from zonecast.plans.training import search_and_train, train_and_report
 from zonecast.schemas import CATEGORICAL, FEATURES, TARGETS
+from zonecast.sources.store import upsert_features
 
 TREES = {"maxIter": 2, "maxDepth": 3}
 
@@ -62,3 +64,14 @@ def test_search_is_repeatable(panel):
     run = lambda: ml.tune_report(panel, panel, spaces, n_trials=2, fixed=TREES).collect()
     first = run()
     assert first == run() and len({r["params"] for r in first}) == 2
+
+
+def test_the_whole_job_searches_and_saves(spark, panel, tmp_path):
+    path = str(tmp_path / "features")
+    upsert_features(panel.withColumns({"bin_str": hour_text(F.col("bin")), "pickup_year": F.year("bin")}), path)
+    spaces = {"gbt": {"maxIter": {"type": "int", "low": 2, "high": 3}, "maxDepth": {"type": "int", "low": 2, "high": 3}}}
+    models, report = search_and_train(spark, path, "1970-01-01", "1970-01-20", str(tmp_path / "run"), spaces, n_trials=2)
+    trials = spark.read.parquet(str(tmp_path / "run" / "trials"))
+    assert trials.count() == 2 and ml.best_params(trials)["gbt"].keys() == {"maxIter", "maxDepth"}
+    assert set(models) == {"gbt"} and report.count() == 1
+    assert set(ml.load_best(spark, str(tmp_path / "run"))) == set(TARGETS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import random
 from collections.abc import Mapping, Sequence
@@ -10,7 +11,7 @@ from typing import Any
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -173,7 +174,8 @@ def tune_report(
     """Seeded random search per model on a fixed validation set: one row per trial.
 
     Vectors of both sets are kept across trials. ``joint_rmse`` is the root of the mean squared
-    error over all targets.
+    error over all targets; ``params`` holds the trial's parameters as JSON, which
+    :func:`best_params` reads back.
     """
     spark = train.sparkSession
     trials: list[tuple[str, int, str, float]] = []
@@ -192,7 +194,7 @@ def tune_report(
                 for fitted in _fit_targets(fit_rows, targets, point, model, bins, seed).values():
                     scored = fitted.transform(scored)
                 score = joint_rmse(scored, pairs).first()["joint_rmse"]
-                trials.append((model, trial, repr(sorted(point.items())), score))
+                trials.append((model, trial, json.dumps(point, sort_keys=True), score))
         finally:
             fit_rows.unpersist()
             val_rows.unpersist()
@@ -201,6 +203,13 @@ def tune_report(
     )
 
 
+def best_params(trials: DataFrame) -> dict[str, dict[str, Any]]:
+    """The parameters of each model's best trial, the first of several."""
+    order = Window.partitionBy("model").orderBy("joint_rmse", "trial")
+    first = trials.withColumn("_turn", F.row_number().over(order)).where("_turn = 1").collect()
+    return {row["model"]: json.loads(row["params"]) for row in first}
+
+
 def model_report(models: Mapping[str, Mapping[str, PipelineModel]], val: DataFrame) -> DataFrame:
     """RMSE, MAE and R2 of each model on the validation rows, averaged over its targets."""
     reports = []

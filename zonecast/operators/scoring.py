@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from zonecast.functions.numeric import inverse_speed
 from zonecast.functions.times import Moment, naive, plus_hours, plus_years, target_hour_of
-from zonecast.schemas import BIN, CITY_DEMAND, NEIGHBOR_DEMAND, TARGETS, ZONE
+from zonecast.schemas import BIN, CITY_DEMAND, DAY, NEIGHBOR_DEMAND, TARGETS, ZONE
 from zonecast.session import small, stage
 
 
@@ -22,9 +22,14 @@ def _window_end(as_of: Moment, cutoff_minute: int) -> Column:
 def history_window(
     panel: DataFrame, as_of: Moment, hours: int = 24, cutoff_minute: int = 35, bin: str = BIN
 ) -> DataFrame:
-    """Rows of the ``hours`` before the target hour of ``as_of``."""
+    """Rows of the ``hours`` before the target hour of ``as_of``; of a table by days only those days."""
     end = _window_end(as_of, cutoff_minute)
-    return panel.where((F.col(bin) >= plus_hours(end, -hours)) & (F.col(bin) < end))
+    return in_days(panel, plus_hours(end, -hours), end).where((F.col(bin) >= plus_hours(end, -hours)) & (F.col(bin) < end))
+
+
+def in_days(table: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Where the table is kept by day, only the folders from ``start``'s to ``end``'s."""
+    return table.where(F.col(DAY).between(F.to_date(start), F.to_date(end))) if DAY in table.columns else table
 
 
 def history_fallback(
@@ -45,7 +50,7 @@ def history_fallback(
     )
     empty = recent.limit(1).agg(F.count(F.lit(1))).scalar() == 0
     shifted = plus_years(F.col(bin), 1)
-    earlier = panel.where(
+    earlier = in_days(panel, start, plus_hours(start, hours)).where(
         (F.col(bin) >= start) & (F.col(bin) < plus_hours(start, hours)) & empty
     ).withColumn(bin, shifted)
     if always_shift:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from zonecast.functions.numeric import round_up_half, zero_filled
 from zonecast.functions.times import Moment, hour_text, naive
+from zonecast.operators.scoring import in_days
 from zonecast.schemas import BIN, CURRENT_FIELDS, TARGETS, ZONE
 
 # Upper limits of the congestion levels and lower limits of the bands, high to low.
@@ -72,12 +73,14 @@ def demand_bands(df: DataFrame) -> DataFrame:
 def _served(
     pred: DataFrame, hour: Moment, fallback_hour: Moment | None, bin: str, zone: str
 ) -> DataFrame:
-    rows = pred.select(hour_text(F.col(bin)).alias(bin), zone, *SERVED, F.col(bin).alias("_bin"))
-    wanted = rows.where(F.col("_bin") == naive(hour))
+    of = lambda moment: in_days(pred, naive(moment), naive(moment)).where(F.col(bin) == naive(moment)).select(
+        hour_text(F.col(bin)).alias(bin), zone, *SERVED
+    )
+    wanted = of(hour)
     if fallback_hour is not None:
         none = wanted.limit(1).agg(F.count(F.lit(1))).scalar() == 0
-        wanted = wanted.unionByName(rows.where((F.col("_bin") == naive(fallback_hour)) & none))
-    return wanted.drop("_bin")
+        wanted = wanted.unionByName(of(fallback_hour).where(none))
+    return wanted
 
 
 def serving_rows(

@@ -15,7 +15,7 @@ from zonecast.operators.scoring import (
 )
 from zonecast.operators.spatial import neighbor_demand
 from zonecast.operators.weather import current_weather, current_weather_bin
-from zonecast.schemas import CURRENT_FIELDS, TARGETS, ZONE
+from zonecast.schemas import CURRENT_FIELDS, DAY, TARGETS, ZONE
 from zonecast.session import stage
 from zonecast.sources.store import append_predictions, prediction_schema
 
@@ -43,8 +43,9 @@ def scoring_rows(
     log, or from the panel a year back where the log has no recent rows. All road readings count,
     unless ``readings_limit`` names how many of the latest.
     """
-    recent = history_window(log.select(*HISTORY), as_of)
-    history = stage(history_fallback(recent, panel.select(*HISTORY), as_of), "history")
+    kept = lambda table: table.select(*HISTORY, *[name for name in (DAY,) if name in table.columns])
+    recent = history_window(kept(log), as_of).select(*HISTORY)
+    history = stage(history_fallback(recent, kept(panel), as_of), "history")
     now = serving_calendar(current_weather_bin(current_weather(weather), as_of.date()))
     candidates = candidate_rows(history, now)
     named = zone_lookup(candidates.select(ZONE), lookup)

@@ -6,12 +6,17 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.operators.ml import feature_matrix, model_report, save_models, train_gbt
+from zonecast.functions.times import Moment
+from zonecast.operators.ml import (
+    SEARCH_SPACES, best_params, feature_matrix, model_report, save_models, train_gbt, tune_report,
+)
 from zonecast.operators.positions import chronological_split
+from zonecast.schemas import BIN, FEATURES, TARGETS
 from zonecast.session import stage
+from zonecast.sources.store import read_features
 
 
 def split_matrix(panel: DataFrame, train: float = 0.7, val: float = 0.85) -> DataFrame:
@@ -30,3 +35,27 @@ def train_and_report(
     if folder is not None:
         save_models(models, report, folder)
     return models, report
+
+
+def search_and_train(
+    spark: SparkSession,
+    path: str,
+    start: Moment,
+    end: Moment,
+    folder: str,
+    spaces: Mapping[str, Mapping[str, Mapping[str, Any]]] = SEARCH_SPACES,
+    n_trials: int = 20,
+    seed: int = 42,
+) -> tuple[dict[str, dict[str, PipelineModel]], DataFrame]:
+    """The whole training job: read a window of the feature table, split, search, fit, report, save.
+
+    Each model is fitted with the parameters of its best trial. The trials are kept beside the
+    models; ``load_best`` reads the best model back.
+    """
+    panel = stage(read_features(spark, path, [BIN, *FEATURES, *TARGETS], start, end), "training")
+    rows = stage(split_matrix(panel), "matrix")
+    trials = tune_report(
+        rows.where(F.col("split") == "train"), rows.where(F.col("split") == "val"), spaces, n_trials, seed
+    )
+    trials.write.mode("overwrite").parquet(f"{folder}/trials")
+    return train_and_report(panel, best_params(trials), folder)

@@ -95,6 +95,8 @@ PANEL = _fields(
     ("zone_congestion_index", T.DoubleType()),
 )
 
+# Day partition of the prediction log.
+DAY = "bin_date"
 # Types of the prediction log.
 PREDICTION_TYPES = {
     BIN: "timestamp_ntz",

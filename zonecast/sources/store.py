@@ -13,11 +13,10 @@ from pyspark.sql import types as T
 
 from zonecast.functions.times import Moment, hour_text, naive
 from zonecast.operators.keyed import latest_per_key
-from zonecast.schemas import BIN, HOURLY_WEATHER, PANEL, PREDICTION_TYPES, ZONE
+from zonecast.schemas import BIN, DAY, HOURLY_WEATHER, PANEL, PREDICTION_TYPES, ZONE
 from zonecast.session import stage
 
 MONTHS = ("pickup_year", "pickup_month")
-DAY = "bin_date"
 KEYS = (ZONE, "bin_str")
 SCHEMA_FOLDER = "_columns"
 MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
