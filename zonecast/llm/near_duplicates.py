@@ -15,7 +15,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.llm.common import Remembered, list_array, map_batches, picked, staged
@@ -24,6 +25,8 @@ from zonecast.session import small
 SHINGLE = 5
 PERCENT = 80
 COUNTER_BITS = 18
+HOT_FACTOR = 8  # times the mean from which a counter's tokens are dealt into several lists
+WATCHED = 16  # % of a set's tokens that are compared under each further order
 CACHED_WORDS = 300_000
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -96,65 +99,114 @@ def _summaries(width: int):
 
 
 def _prefixes(width: int, percent: int, shared):
-    """The first tokens of every set by rising frequency: token, node, n, place."""
+    """The first tokens of every set by rising frequency, and, once per set, those under other orders.
+
+    Tokens of overfull counters are dealt by node into ``salt`` lists; others have salt -1.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = shared.value, set()
+        lists_of = counts // (HOT_FACTOR * max(1, int(counts.mean())))
+        names = ["token", "node", "n", "place", "salt", "row", "first_1", "first_2"]
+        none, row = pa.list_(pa.int32()), TaskContext.get().partitionId() << 33
         for batch in batches:
-            columns = [[], [], [], []]
+            columns, nodes, sizes, firsts = [[] for _ in range(5)], [], [], [[] for _ in ORDERS]
             for text in batch.column(0).to_pylist():
                 tokens = shingle_set(text, width)
                 n, node = len(tokens), _name(tokens)
                 if not n or node in seen:
                     continue
                 seen.add(node)
+                nodes.append(node)
+                sizes.append(n)
+                for factor, held in zip(ORDERS, firsts, strict=True):
+                    ranked, most = _mixed(tokens, factor), _watched(n)
+                    ranked = np.partition(ranked, most - 1)[:most] if most < n else ranked
+                    held.append(np.unique(ranked.astype(np.uint32)).view(np.int32))
                 most = n - _needed(n, percent) + 1
-                first = tokens[np.lexsort((tokens, counts[_slots(tokens)]))[:most]]
-                for column, values in zip(columns, (first.view(np.int64), np.full(most, node), np.full(most, n), np.arange(most)), strict=True):
-                    column.append(values)
-            if columns[0]:
-                arrays = [pa.array(np.concatenate(column).astype(kind)) for column, kind in zip(columns, ("i8", "i8", "i4", "i4"), strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["token", "node", "n", "place"])
+                slots = _slots(tokens)
+                order = np.lexsort((tokens, counts[slots]))[:most]
+                parts = lists_of[slots[order]]
+                salt = np.where(parts > 1, node % np.maximum(parts, 1), -1)
+                values = tokens[order].view(np.int64), np.full(most, node), np.full(most, n), np.arange(most), salt
+                for column, part in zip(columns, values, strict=True):
+                    column.append(part)
+            if not nodes:
+                continue
+            kinds = ("i8", "i8", "i4", "i4", "i4")
+            arrays = [pa.array(np.concatenate(column).astype(kind)) for column, kind in zip(columns, kinds, strict=True)]
+            blank = [pa.nulls(len(arrays[0]), kind) for kind in (pa.int64(), none, none)]
+            yield pa.RecordBatch.from_arrays([*arrays, *blank], names=names)
+            blank = pa.nulls(len(nodes), pa.int64()), pa.nulls(len(nodes), pa.int32())
+            lists = [list_array(np.cumsum([0, *map(len, held)]), pa.array(np.concatenate(held))) for held in firsts]
+            numbers = pa.array(np.arange(row, row + len(nodes)))
+            row += len(nodes)
+            own = [blank[0], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), blank[1], blank[1], numbers, *lists]
+            yield pa.RecordBatch.from_arrays(own, names=names)
 
     return run
 
 
-def _whole_sets(width: int, percent: int):
-    """Per text: node, n, its first tokens under the other orders (32 bits each) and all tokens."""
+def _watched(n):
+    """How many tokens are compared under each further order."""
+    return n * WATCHED // 100 + 1
+
+
+def _whole_sets(width: int):
+    """Per text: node and all tokens, with a number that is the row's own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start = TaskContext.get().partitionId() << 33
         for batch in batches:
             sets = [shingle_set(text, width) for text in batch.column(0).to_pylist()]
-            sizes = [len(tokens) for tokens in sets]
-            arrays = [pa.array(map(_name, sets), pa.int64()), pa.array(sizes, pa.int32())]
-            for factor in ORDERS:
-                firsts = []
-                for tokens in sets:
-                    most = len(tokens) - _needed(len(tokens), percent) + (len(tokens) > 0)
-                    ranked = _mixed(tokens, factor)
-                    firsts.append(np.sort(ranked)[:most].astype(np.uint32).view(np.int32))
-                arrays.append(list_array(np.cumsum([0, *map(len, firsts)]), pa.array(np.concatenate(firsts))))
-            arrays.append(list_array(np.cumsum([0, *sizes]), pa.array(np.concatenate(sets).view(np.int64))))
-            yield pa.RecordBatch.from_arrays(arrays, names=["node", "n", "first_1", "first_2", "tokens"])
+            tokens = list_array(np.cumsum([0, *map(len, sets)]), pa.array(np.concatenate(sets).view(np.int64)))
+            own = pa.array(np.arange(start, start + len(sets)))
+            start += len(sets)
+            yield pa.RecordBatch.from_arrays([pa.array(map(_name, sets), pa.int64()), own, tokens], names=["node", "row", "tokens"])
 
     return run
 
 
-def _sides(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+def _one_per_node(rows: DataFrame) -> DataFrame:
+    """``rows`` without those whose node has a row of a lesser number: copies that other tasks met."""
+    least = rows.groupBy("node").agg(F.min("row").alias("kept"), F.max("row").alias("last")).where("kept < last")
+    again = rows.select("node", "row").join(least, "node").where("row <> kept").select("row")
+    return rows.join(small(again, "repeated-rows"), "row", "left_anti")
+
+
+def _sides(pairs: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
     for side in ("a", "b"):
-        own = sets.select(F.col("node").alias(side), *[F.col(name).alias(f"{name}_{side}") for name in columns])
+        own = rows.select(F.col("node").alias(side), *[F.col(name).alias(f"{name}_{side}") for name in columns])
         pairs = pairs.join(own, side)
     return pairs
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: lengths and the other orders' filters first, then whole sets."""
+def _met(pairs: DataFrame, watched: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that lengths and every further order let through, with ``together``.
+
+    Of the common tokens of two sets at most as many as either leaves out can lie beyond the watched
+    ones; the rest must be shared among these. What a shortened token may hide is allowed for.
+    """
+    both = _sides(pairs, watched, "n", "first_1", "first_2")
     together = F.col("n_a") + F.col("n_b")
     least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    met = _sides(pairs, sets, "n", "first_1", "first_2").where(
-        (100 * least >= percent * most) & F.arrays_overlap("first_1_a", "first_1_b") & F.arrays_overlap("first_2_a", "first_2_b")
-    )
-    both = _sides(met.select("a", "b", together.alias("together")), sets, "tokens")
+    watch = lambda n: F.floor(n * WATCHED / 100) + 1
+    common = F.ceil(together * percent / (100 + percent) - 1e-9)
+    beyond = F.greatest(F.col("n_a") - watch(F.col("n_a")), F.col("n_b") - watch(F.col("n_b")))
+    passed = 100 * least >= percent * most
+    for name in ("first_1", "first_2"):
+        a, b = F.col(f"{name}_a"), F.col(f"{name}_b")
+        hidden = F.least(F.col("n_a"), watch(F.col("n_a"))) - F.size(a) + F.least(F.col("n_b"), watch(F.col("n_b"))) - F.size(b)
+        passed = passed & (F.size(F.array_intersect(a, b)) + hidden >= F.greatest(F.lit(1), common - beyond))
+    return both.where(passed).select("a", "b", together.alias("together"))
+
+
+def _verified(pairs: DataFrame, watched: DataFrame, texts_of, width: int, percent: int, label: str) -> DataFrame:
+    """The pairs (a, b) that link: the filters of the further orders first, then whole sets."""
+    met = staged(_met(pairs, watched, percent), f"{label}-met")
+    nodes = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node"))).distinct()
+    sets = staged(map_batches(texts_of(nodes), _whole_sets(width), "node long, row long, tokens array<long>"), f"{label}-sets")
+    both = _sides(met, _one_per_node(sets), "tokens")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     return both.where(100 * shared >= percent * (F.col("together") - shared)).select("a", "b")
 
@@ -213,38 +265,41 @@ def jaccard_components(
         counts[row["slot"]] = row["many"]
     nodes = summary.where("slot is null").select("id", "node", "n")
     shared = spark.sparkContext.broadcast(counts)
-    prefixes = staged(
-        map_batches(rows.select("text"), _prefixes(width, percent, shared), "token long, node long, n int, place int"), "prefixes"
+    schema = "token long, node long, n int, place int, salt int, row long, first_1 array<int>, first_2 array<int>"
+    first = staged(map_batches(rows.select("text"), _prefixes(width, percent, shared), schema), "prefixes")
+    watched = _one_per_node(first.where("token is null").select("row", "node", "n", "first_1", "first_2"))
+
+    whole = Window.partitionBy("token", "salt").orderBy("place", "node").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    lists = first.where("token is not null").select("token", "node", "n", "place", "salt").withColumns(
+        {
+            "hub": F.first("node").over(whole), "hub_place": F.first("place").over(whole),
+            "low": F.min("node").over(whole), "high": F.max("node").over(whole),
+        }
     )
-
-    hubs = prefixes.groupBy("token").agg(
-        F.min_by("node", "place").alias("hub"), F.min("place").alias("hub_place"),
-        F.min("node").alias("low"), F.max("node").alias("high"),
-    ).where("low < high").drop("low", "high")
-    lists = staged(prefixes.join(hubs, "token"), "lists")
+    lists = staged(lists.where("low < high or salt >= 0").drop("low", "high"), "lists")
     near_hub = F.col("place") - F.col("hub_place") <= F.col("n") - F.ceil(F.col("n") * percent / 100)
-    to_hub = lists.where((F.col("node") != F.col("hub")) & near_hub).select(
-        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
+    hot = lists.where("salt >= 0").groupBy("token", "hub").agg(F.min("hub_place").alias("place"))
+    first_hub = hot.groupBy("token").agg(F.min_by("hub", F.struct("place", "hub")).alias("first_hub"))
+    pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+    to_hub = (
+        lists.where((F.col("node") != F.col("hub")) & near_hub).select(*pair("node", "hub"))
+        .unionByName(hot.join(first_hub, "token").where("hub <> first_hub").select(*pair("hub", "first_hub")))
     )
     to_hub = staged(to_hub.distinct(), "hub-pairs")
+    least = staged(nodes.where("n > 0").groupBy("node").agg(F.min("id").alias("id")), "nodes")
 
-    members = lists.select("node").distinct()
-    least = nodes.where("n > 0").groupBy("node").agg(F.min("id").alias("id"))
-    ids = small(members.join(least, "node").select(F.col("id").alias("_id")).distinct(), "member-ids")
-    texts = rows.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    sets = map_batches(
-        texts, _whole_sets(width, percent), "node long, n int, first_1 array<int>, first_2 array<int>, tokens array<long>"
-    )
-    sets = staged(sets.where("n > 0").dropDuplicates(["node"]), "sets")
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        ids = small(wanted.join(least, "node").select(F.col("id").alias("_id")).distinct(), "member-ids")
+        return rows.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi").select("text")
 
-    links = staged(_verified(to_hub, sets, percent), "hub-links")
+    links = staged(_verified(to_hub, watched, texts_of, width, percent, "hub"), "hub-links")
     labels = staged(components(links), "labels")
     labelled = lists.select("token", "node", "n", "place").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
     labelled = staged(labelled, "labelled-lists")
     mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_lists = staged(labelled.join(mixed.select("token"), "token", "left_semi"), "open-lists")
+    open_lists = staged(labelled.join(mixed.select("token"), "token", "left_semi").distinct(), "open-lists")
     a, b = (
         open_lists.select("token", *[F.col(name).alias(f"{name}_{side}") for name in ("node", "n", "place", "label")])
         for side in "ab"
@@ -253,7 +308,7 @@ def jaccard_components(
     across = a.join(b, "token").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & can)
     across = across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     across = staged(across.join(to_hub, ["a", "b"], "left_anti"), "open-pairs")
-    links = links.unionByName(_verified(across, sets, percent))
+    links = links.unionByName(_verified(across, watched, texts_of, width, percent, "open"))
 
     labels = components(links)
     named = least.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
