@@ -49,7 +49,8 @@ def _packed(most: int):
 
 
 def _unpacked(block) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(block.ids, np.int64), np.frombuffer(block.matrix, np.int64).reshape(-1, block.size)
+    ids = np.frombuffer(block.ids, np.int64)
+    return ids, np.frombuffer(block.matrix, np.int64).reshape(len(ids), block.size)
 
 
 def segment_statistics(matrix: np.ndarray, segments: int) -> np.ndarray:
