@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import shutil
+import random
 
 import duckdb
 import pytest
@@ -34,11 +34,17 @@ def test_stages(spark, sf_dir, tmp_path):
         (first, PLAIN * 4, "copy"), (first + 1, PLAIN * 4, "copy"), (first + 2, PLAIN * 4 + "end", "near copy"),
         (first + 3, "write to someone@example.com about " + PLAIN, "private"), (first + 4, None, "null"),
     ]
+    draw, words = random.Random(1), ["river", "house", "green", "walks", "small", "table"]
+    learned = [(first + 10 + i, " ".join([*draw.choices(words, k=30), *(["idiot moron"] if i % 2 else [])]), "en") for i in range(160)]
+    added += learned
     table = ", ".join(f"({i}, {'NULL' if t is None else repr(t)}, 'en', {k!r}, {len(t or '')})" for i, t, k in added)
     con.execute(
         f"COPY (SELECT * FROM '{path}' UNION ALL SELECT * FROM (VALUES {table}) v(doc_id, text, lang, source, n_chars)) TO '{tmp_path}/documents.parquet' (FORMAT parquet)"
     )
-    shutil.copy(f"{sf_dir}/labels.parquet", tmp_path / "labels.parquet")
+    known = ", ".join(f"({i}, 1, {int('idiot' in text)})" for i, text, _ in learned)
+    con.execute(
+        f"COPY (SELECT * FROM '{sf_dir}/labels.parquet' UNION ALL SELECT * FROM (VALUES {known}) v(doc_id, quality, toxic)) TO '{tmp_path}/labels.parquet' (FORMAT parquet)"
+    )
     docs, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
         stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/stage-{k}")
@@ -46,8 +52,10 @@ def test_stages(spark, sf_dir, tmp_path):
         kept.append(docs)
         assert k == 4 or docs.columns == columns
     ids = [{r["doc_id"] for r in df.select("doc_id").collect()} for df in kept]
-    toxic = {r["doc_id"] for r in spark.read.parquet(f"{tmp_path}/labels.parquet").where("toxic = 1").collect()}
-    assert len(toxic & ids[0]) < 0.3 * len(toxic)
+    assert sum(i in ids[0] for i, text, _ in learned if "idiot" in text) <= 4
+    assert sum(i not in ids[0] for i, text, _ in learned if "idiot" not in text) <= 4
+    scored = QUERIES["op6_toxicity"](spark, str(tmp_path)).where("predicted = 0").collect()
+    assert ids[0] == {r["doc_id"] for r in scored}
     assert first not in ids[1] and first + 1 in ids[1]
     assert (first + 1 in ids[2]) and (first + 2 not in ids[2])
     assert ids[0] >= ids[1] >= ids[2] == ids[3] == ids[4]

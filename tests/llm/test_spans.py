@@ -81,7 +81,7 @@ def test_a_long_run_takes_linear_time(spark):
 
 def test_redaction(spark):
     rows = [(1, "write a@b.co or +1 415 555 0100.", "k"), (2, None, "k"), (3, "nothing here", None), (4, "a@1.2.3.4 x", "k")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, kind string")
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
     got = {r["doc_id"]: r for r in redacted(df).collect()}
     assert got[1]["text"] == "write <EMAIL> or <PHONE>." and got[2]["text"] is None and got[3]["text"] == "nothing here"
     assert got[4]["text"] == "<EMAIL> x"

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from zonecast.llm.bpe import _Chunks, CHUNK, bpe_decode, bpe_encode, fold_merges, load_ranks
+from zonecast.llm.bpe import _Chunks, CHUNK, bpe_decode, bpe_encode, fold_merges, fold_words, load_ranks
 from zonecast.llm.packing import _Chunks as _Words
 from zonecast.llm.packing import _cut, pack, pack_histogram, pattern_slots
 from zonecast.llm.queries import word_vocabulary
@@ -46,6 +46,12 @@ def test_encode_and_decode(spark, ranks, library):
     assert bpe_encode(df.where("false"), ranks, public_tokenizers.PATTERN).count() == 0
 
 
+def test_words_fold_as_an_expression(spark, ranks):
+    words = [" the", "Straße", "x", "abcabcabc", " 漢字", "unbelievably", "🙂"]
+    got = fold_words(spark.createDataFrame([(w,) for w in words], "word string"), ranks).collect()
+    assert {r["word"]: r["ids"] for r in got} == {w: fold_merges(w.encode(), ranks) for w in words}
+
+
 @given(st.text(max_size=80))
 @settings(max_examples=200, deadline=None)
 def test_any_text(ranks, library, text):

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from zonecast.session import stage
 
 
+SLICE_ROWS = 500
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -26,6 +29,13 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[f"`{name}`"].alias(own) for own, name in columns.items()])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    while name.lower() in (column.lower() for column in df.columns):
+        name += "_"
+    return name
+
+
 def id_remainder(id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as empty text."""
     return F.crc32(F.coalesce(id.cast("string"), F.lit("")).cast("binary")) % parts
@@ -38,6 +48,17 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches cut into parts of at most ``rows`` rows, so that what is made of a part stays small.
+
+    Workers outlive their tasks: what Arrow holds unused is given back at the end of each batch.
+    """
+    for batch in batches:
+        for low in range(0, len(batch), rows):
+            yield batch.slice(low, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def list_array(offsets, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import map_batches, picked, staged
+from zonecast.llm.common import map_batches, picked, staged, unused
 from zonecast.session import small
 
 FINGERPRINT_BITS = 63
@@ -166,13 +166,14 @@ def drop_exact_copies(df: DataFrame, id: str = "doc_id", text: str = "text") ->
     own = F.col(f"`{id}`").alias("_id"), F.col("text_sha256").alias("_sha")
     repeated = groups.where("kept and same_id > 1").select(*own).distinct()
     gone = groups.where("not kept").select(*own).distinct()
-    hashed = df.withColumn("_text_sha256", F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256))
-    same = lambda side: hashed[id].eqNullSafe(side["_id"]) & (hashed["_text_sha256"] == side["_sha"])
+    sha = unused(df, "_text_sha256")
+    hashed = df.withColumn(sha, F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256))
+    same = lambda side: hashed[id].eqNullSafe(side["_id"]) & (hashed[sha] == side["_sha"])
     gone, repeated = small(gone, "gone"), small(repeated, "repeated")
     rest = hashed.join(gone, same(gone), "left_anti")
     columns = F.struct(*[F.col(f"`{name}`") for name in df.columns])
     one_each = (
         hashed.join(repeated, same(repeated), "left_semi")
-        .groupBy(F.col(f"`{id}`").alias("_id"), "_text_sha256").agg(F.min(columns).alias("_row")).select("_row.*")
+        .groupBy(F.col(f"`{id}`").alias("_id"), sha).agg(F.min(columns).alias("_row")).select("_row.*")
     )
-    return rest.drop("_text_sha256").unionByName(one_each)
+    return rest.drop(sha).unionByName(one_each)

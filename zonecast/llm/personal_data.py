@@ -245,7 +245,8 @@ def redacted(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     Overlapping spans are replaced as one, by the kind of the first. Texts without spans, null ones
     included, and all other columns stay as they are.
     """
-    seen = with_evidence(with_candidates(df.withColumn("_text", F.col(f"`{text}`")), "_text"), "_text")
+    rows = df.select(F.struct(*[F.col(f"`{name}`") for name in df.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
+    seen = with_evidence(with_candidates(rows, "_text"), "_text")
     model = learn_spans(seen.select("_base", "_more"))
     found = with_spans(seen, model)
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
@@ -264,4 +265,4 @@ def redacted(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
         lambda done: F.concat(F.array_join(done["parts"], ""), F.col("_text").substr(done["at"] + 1, F.length("_text"))),
     )
     clean = F.when(F.size("spans") > 0, cut).otherwise(F.col("_text"))
-    return found.withColumn(text, clean).select(*df.columns)
+    return found.select(F.col("_row").withField(f"`{text}`", clean).alias("_row")).select("_row.*")
