@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
 import re
+import zlib
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -20,13 +22,15 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import Remembered, list_array, list_values, map_batches, picked
+from zonecast.llm.common import Remembered, list_array, list_values, map_batches, picked, slices
+from zonecast.llm.spans import let
 
 # The code points with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
 CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 CACHED_CHUNKS = 400_000
 HEAP_FROM = 256
+RANK_MAPS = 8192
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -114,7 +118,7 @@ def bpe_encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = _chunks(shared.value, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             encoded = [b"".join(map(chunks.__getitem__, CHUNK.findall(t))) if t else b"" for t in batch.column(1).to_pylist()]
             offsets = np.cumsum([0, *map(len, encoded)]) // 4
             ids = list_array(offsets, pa.array(np.frombuffer(b"".join(encoded), np.int32)))
@@ -131,7 +135,7 @@ def bpe_decode(df: DataFrame, ranks: dict[bytes, int], id: str = "doc_id", ids:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = {rank: token for token, rank in shared.value.items()}
-        for batch in batches:
+        for batch in slices(batches):
             flat, ends = list_values(batch.column(1))
             decoded = [b"".join(map(pieces.__getitem__, flat[a:b].tolist())) for a, b in pairwise(ends)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names=["id", "ids", "decoded"])
@@ -140,6 +144,44 @@ def bpe_decode(df: DataFrame, ranks: dict[bytes, int], id: str = "doc_id", ids:
     return map_batches(rows, run, f"id {id_type}, ids array<int>, decoded binary").withColumnRenamed("id", id)
 
 
+def fold_words(words: DataFrame, ranks: dict[bytes, int], word: str = "word") -> DataFrame:
+    """``words`` with ``ids``: the fold of ranked merges over the bytes of each word, as an expression.
+
+    The ranks are a literal: an array of small maps, found by the crc32 of a token's bytes, as a map
+    is searched from its start. Each step of the fold merges the leftmost pair of the least rank.
+    Meant for a table of distinct words; whole texts go through :func:`bpe_encode`.
+    """
+    maps: list[dict[str, int]] = [{} for _ in range(RANK_MAPS)]
+    for token, rank in ranks.items():
+        maps[zlib.crc32(token) % RANK_MAPS][token.hex().upper()] = rank
+    literal = F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
+    none = F.lit(len(ranks) + 1)
+
+    def rank(token: Column) -> Column:
+        return F.coalesce(F.try_element_at(literal[(F.crc32(token) % RANK_MAPS).cast("int")], F.hex(token)), none)
+
+    def step(parts: Column, _: Column) -> Column:
+        rest = F.greatest(F.size(parts) - 1, F.lit(0))
+        joined = F.zip_with(F.slice(parts, 1, rest), F.slice(parts, 2, rest), lambda a, b: F.concat(a, b))
+        return let(
+            F.struct(joined.alias("pairs"), F.transform(joined, rank).alias("ranks")),
+            lambda found: let(
+                F.array_position(found["ranks"], F.array_min(found["ranks"])).cast("int"),
+                lambda i: F.when((F.size(parts) < 2) | (F.array_min(found["ranks"]) == none), parts).otherwise(
+                    F.concat(
+                        F.slice(parts, 1, i - 1), F.array(F.element_at(found["pairs"], F.greatest(i, F.lit(1)))),
+                        F.slice(parts, i + 2, F.size(parts)),
+                    )
+                ),
+            ),
+        )
+
+    raw = F.encode(F.col(word), "UTF-8")
+    single = F.transform(F.sequence(F.lit(1), F.octet_length(word)), lambda i: raw.substr(i, F.lit(1)))
+    folded = F.transform(F.aggregate(F.sequence(F.lit(1), F.octet_length(word)), single, step), rank)
+    return words.withColumn("ids", F.when(rank(raw) < none, F.array(rank(raw))).otherwise(folded))
+
+
 def ids_digest(ids: Column) -> Column:
     """SHA-256 of the decimal ids joined by one space."""
     return F.sha2(F.array_join(ids.cast("array<string>"), " "), 256)

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import Remembered, list_array, map_batches, picked, staged
+from zonecast.llm.common import Remembered, list_array, map_batches, picked, slices, staged
 from zonecast.session import small
 
 SHINGLE = 5
@@ -27,7 +27,7 @@ PERCENT = 80
 COUNTER_BITS = 18
 HOT_FACTOR = 8  # times the mean from which a counter's tokens are dealt into several lists
 WATCHED = 16  # % of a set's tokens that are compared under each further order
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 STEP = np.uint64(0x9E3779B97F4A7C15)
 ORDERS = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
@@ -82,7 +82,7 @@ def _summaries(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, id_type = np.zeros(1 << COUNTER_BITS, np.int64), pa.int64()
         names = ["id", "node", "n", "slot", "many"]
-        for batch in batches:
+        for batch in slices(batches):
             id_type = batch.schema.field(0).type
             sets = [shingle_set(text, width) for text in batch.column(1).to_pylist()]
             tokens = np.concatenate([*sets, np.zeros(0, np.uint64)])
@@ -109,7 +109,7 @@ def _prefixes(width: int, percent: int, shared):
         lists_of = counts // (HOT_FACTOR * max(1, int(counts.mean())))
         names = ["token", "node", "n", "place", "salt", "row", "first_1", "first_2"]
         none, row = pa.list_(pa.int32()), TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in slices(batches):
             columns, nodes, sizes, firsts = [[] for _ in range(5)], [], [], [[] for _ in ORDERS]
             for text in batch.column(0).to_pylist():
                 tokens = shingle_set(text, width)
@@ -157,7 +157,7 @@ def _whole_sets(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(text, width) for text in batch.column(0).to_pylist()]
             tokens = list_array(np.cumsum([0, *map(len, sets)]), pa.array(np.concatenate(sets).view(np.int64)))
             own = pa.array(np.arange(start, start + len(sets)))
@@ -326,4 +326,5 @@ def one_per_component(df: DataFrame, id: str = "doc_id", text: str = "text", **o
     """
     found = staged(jaccard_components(df, id, text, **options), "components")
     gone = found.where(~F.col(id).eqNullSafe(F.col("component_id"))).select(F.col(id).alias("_id")).distinct()
-    return df.join(small(gone, "gone"), F.col(f"`{id}`").eqNullSafe(F.col("_id")), "left_anti")
+    gone = small(gone, "gone")
+    return df.join(gone, df[f"`{id}`"].eqNullSafe(gone["_id"]), "left_anti")

@@ -29,7 +29,7 @@ LEXICON = 3_000  # words and beginnings that carry a weight
 LEAST_TEXTS = 3  # toxic texts of the sample that must use one
 BEGINNINGS = range(3, 9)
 CACHED_CHUNKS = 300_000
-COUNTED_CHUNKS = 200_000
+COUNTED_CHUNKS = 100_000
 
 # What letters the signs of disguised writing stand for.
 LEET = {
