@@ -64,6 +64,18 @@ def test_components_of_documents(spark, seed):
     assert Counter(tuple(r) for r in got) == brute(rows)
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_short_texts_with_words_added_and_cut_off(spark, seed):
+    draw, rows = random.Random(seed), []
+    for k in range(80):
+        base = [f"t{k}_{i}_{draw.randrange(1000)}" for i in range(draw.choice([8, 12, 13, 20, 24, 44, 84]))]
+        room = (len(base) - 4) // 4
+        rows += [(3 * k, " ".join(base)), (3 * k + 1, " ".join([*base, *[f"end{i}" for i in range(room)]]))]
+        rows.append((3 * k + 2, " ".join(base[room // 2 : len(base) - (room + 1) // 2])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert Counter(tuple(r) for r in jaccard_components(df).collect()) == brute(rows)
+
+
 def test_one_stays(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(5, text), (3, text + " end"), (9, "short one"), (2, None), (7, ""), (8, text.upper())]

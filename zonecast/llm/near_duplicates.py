@@ -26,7 +26,6 @@ SHINGLE = 5
 PERCENT = 80
 COUNTER_BITS = 18
 HOT_FACTOR = 8  # times the mean from which a counter's tokens are dealt into several lists
-WATCHED = 16  # % of a set's tokens that are compared under each further order
 CACHED_WORDS = 100_000
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -76,6 +75,11 @@ def _needed(size, percent: int):
     return -(-size * percent // 100)
 
 
+def _watched(size, percent: int):
+    """How many first tokens of a set, under any order, hold one of every set this similar."""
+    return size - _needed(size, percent) + 1
+
+
 def _summaries(width: int):
     """Per text: the name and size of its set. Per task: how many sets hold tokens of each counter."""
 
@@ -120,10 +124,10 @@ def _prefixes(width: int, percent: int, shared):
                 nodes.append(node)
                 sizes.append(n)
                 for factor, held in zip(ORDERS, firsts, strict=True):
-                    ranked, most = _mixed(tokens, factor), _watched(n)
+                    ranked, most = _mixed(tokens, factor), _watched(n, percent)
                     ranked = np.partition(ranked, most - 1)[:most] if most < n else ranked
                     held.append(np.unique(ranked.astype(np.uint32)).view(np.int32))
-                most = n - _needed(n, percent) + 1
+                most = _watched(n, percent)
                 slots = _slots(tokens)
                 order = np.lexsort((tokens, counts[slots]))[:most]
                 parts = lists_of[slots[order]]
@@ -147,11 +151,6 @@ def _prefixes(width: int, percent: int, shared):
     return run
 
 
-def _watched(n):
-    """How many tokens are compared under each further order."""
-    return n * WATCHED // 100 + 1
-
-
 def _whole_sets(width: int):
     """Per text: node and all tokens, with a number that is the row's own."""
 
@@ -185,19 +184,20 @@ def _met(pairs: DataFrame, watched: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that lengths and every further order let through, with ``together``.
 
     Of the common tokens of two sets at most as many as either leaves out can lie beyond the watched
-    ones; the rest must be shared among these. What a shortened token may hide is allowed for.
+    ones; the rest, at least one, must be shared among these. What a shortened token may hide is
+    allowed for.
     """
     both = _sides(pairs, watched, "n", "first_1", "first_2")
     together = F.col("n_a") + F.col("n_b")
     least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    watch = lambda n: F.floor(n * WATCHED / 100) + 1
+    watch = lambda n: n - F.ceil(n * percent / 100) + 1
     common = F.ceil(together * percent / (100 + percent) - 1e-9)
     beyond = F.greatest(F.col("n_a") - watch(F.col("n_a")), F.col("n_b") - watch(F.col("n_b")))
     passed = 100 * least >= percent * most
     for name in ("first_1", "first_2"):
         a, b = F.col(f"{name}_a"), F.col(f"{name}_b")
         hidden = F.least(F.col("n_a"), watch(F.col("n_a"))) - F.size(a) + F.least(F.col("n_b"), watch(F.col("n_b"))) - F.size(b)
-        passed = passed & (F.size(F.array_intersect(a, b)) + hidden >= F.greatest(F.lit(1), common - beyond))
+        passed = passed & (F.size(F.array_intersect(a, b)) + hidden >= common - beyond)
     return both.where(passed).select("a", "b", together.alias("together"))
 
 
