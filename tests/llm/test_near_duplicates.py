@@ -86,6 +86,21 @@ def test_one_stays(spark):
     assert one_per_component(df.where("false")).count() == 0
 
 
+def test_one_stays_where_ids_are_null_or_repeated(spark):
+    text, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [
+        (1, text), (None, text + " end"), (None, "clean one"), (None, "clean two"), (None, None), (None, " \x0b"),
+        (1, "clean three"), (2, text.upper()), (2, "clean four"), (None, other), (None, other + " end"), (7, "same words"), (7, "SAME words"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(tuple(r) for r in one_per_component(df).collect())
+    both = [(None, other), (None, other + " end")]
+    assert sum(got[row] for row in both) == 1
+    same = [(7, "SAME words"), (7, "same words")]
+    assert sum(got[row] for row in same) == 1
+    assert Counter({r: n for r, n in got.items() if r not in both + same}) == Counter([rows[0], *rows[2:7], rows[8]])
+
+
 def test_star_rounds(spark):
     chain = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     df = spark.createDataFrame(chain, "a long, b long")

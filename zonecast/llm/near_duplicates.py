@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import Remembered, list_array, map_batches, picked, slices, staged
+from zonecast.llm.common import Remembered, list_array, map_batches, picked, slices, staged, unused
 from zonecast.session import small
 
 SHINGLE = 5
@@ -241,18 +241,12 @@ def _may_overlap(place_a: Column, place_b: Column, n_a: Column, n_b: Column, per
     return most * (100 + percent) >= percent * (n_a + n_b)
 
 
-def jaccard_components(
+def _members(
     df: DataFrame, id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """One row per row of ``df``: id, n_shingles, component_id (the least id that links reach).
+    """One row per row of ``df``: id, node, n, and id and node of the component's first row.
 
-    A set holds the distinct shingles of ``width`` words, or the whole sequence where it is shorter;
-    a text without words (null included) has none and is linked with nothing. Two rows link when
-    their sets' intersection is at least ``percent`` % of their union, so rows repeated with text or
-    id are one component. Null ids are never the least. An empty table gives no rows.
-
-    Sets go by 64 bits of a hash, as their shingles do. The counters behind the frequency order are
-    a fixed number over all sets; they decide the order only, never which pairs are found.
+    The first has the least id, of these the least node; null ids come last.
     """
     spark = df.sparkSession
     rows = picked(df, id=id, text=text)
@@ -313,18 +307,65 @@ def jaccard_components(
     labels = components(links)
     named = least.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = staged(named, "named")
-    smallest = named.groupBy("label").agg(F.min("id").alias("component_id"))
-    found = nodes.join(named.select("node", "label").join(smallest, "label").drop("label"), "node", "left")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("first")
+    smallest = named.groupBy("label").agg(first).select(
+        "label", F.col("first.id").alias("component_id"), F.col("first.node").alias("component_node")
+    )
+    return nodes.join(named.select("node", "label").join(smallest, "label").drop("label"), "node", "left")
+
+
+def jaccard_components(df: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row per row of ``df``: id, n_shingles, component_id (the least id that links reach).
+
+    A set holds the distinct shingles of ``width`` words, or the whole sequence where it is shorter;
+    a text without words (null included) has none and is linked with nothing. Two rows link when
+    their sets' intersection is at least ``percent`` % of their union, so rows repeated with text or
+    id are one component. Null ids are never the least. An empty table gives no rows.
+
+    Sets go by 64 bits of a hash, as their shingles do. The counters behind the frequency order are
+    a fixed number over all sets; they decide the order only, never which pairs are found.
+    """
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
+    found = _members(df, id, text, **options)
     return found.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def one_per_component(df: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The row with the least id of every component, with all columns of ``df``.
+def _node_of(text: Column, width: int) -> Column:
+    @F.arrow_udf("long")
+    def named(texts: pa.Array) -> pa.Array:
+        return pa.array([_name(shingle_set(text, width)) for text in texts.to_pylist()], pa.int64())
 
-    Rows whose id is not unique stay or go together.
+    return named(text)
+
+
+def one_per_component(
+    df: DataFrame, id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """One row of every component, with all columns of ``df``, and every row without words.
+
+    The row with the least id stays, of these the least by set and then by all other columns; null
+    ids come last. Rows whose id is not unique are told apart by their sets.
     """
-    found = staged(jaccard_components(df, id, text, **options), "components")
-    gone = found.where(~F.col(id).eqNullSafe(F.col("component_id"))).select(F.col(id).alias("_id")).distinct()
-    gone = small(gone, "gone")
-    return df.join(gone, df[f"`{id}`"].eqNullSafe(gone["_id"]), "left_anti")
+    first = F.col("id").eqNullSafe(F.col("component_id")) & (F.col("node") == F.col("component_node"))
+    found = _members(df, id, text, width, percent).where("n > 0").select("id", "node", first.alias("first"))
+    found = staged(found, "components")
+    by_id = found.groupBy("id").agg(F.count_if("first").alias("firsts"), F.count(F.lit(1)).alias("many"))
+    by_id = by_id.where("firsts = 0 or many > 1").select(F.col("id").alias("_id"), (F.col("firsts") > 0).alias("_some"))
+    by_id = staged(by_id, "ids")
+    unclear = by_id.where("_some").select("_id")
+    firsts = found.where("first").join(small(unclear, "unclear"), F.col("id").eqNullSafe(F.col("_id")), "left_semi")
+    firsts = small(firsts.select(F.col("id").alias("_id"), F.col("node").alias("_node")).distinct(), "firsts")
+    # The white space of shingle_set: rows without words are no part of what is told apart.
+    words = df[f"`{text}`"].rlike(r"[^ \t\n\r\x0B\f]")
+    same = lambda rows, side: rows[f"`{id}`"].eqNullSafe(side["_id"])
+    gone, unclear = small(by_id, "gone"), small(unclear, "unclear")
+    rest = df.join(gone, same(df, gone) & words, "left_anti")
+    node = unused(df, "_node")
+    seen = df.where(words).join(unclear, same(df, unclear), "left_semi")
+    seen = seen.withColumn(node, _node_of(F.col(f"`{text}`"), width))
+    columns = F.struct(*[F.col(f"`{name}`") for name in df.columns])
+    one_each = (
+        seen.join(firsts, same(seen, firsts) & (seen[node] == firsts["_node"]), "left_semi")
+        .groupBy(F.col(f"`{id}`").alias("_id"), node).agg(F.min(columns).alias("_row")).select("_row.*")
+    )
+    return rest.unionByName(one_each)
