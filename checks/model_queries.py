@@ -124,8 +124,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
 @query("tune_report")
 def tuned(spark: SparkSession, sf: str) -> DataFrame:
     train, val = _split(spark, sf)
-    spaces = {"gbt": ml.SEARCH_SPACES["gbt"]}
-    return ml.tune_report(train, val, spaces, n_trials=2, fixed=SMALL_TREES)
+    return ml.tune_report(train, val)
 
 
 @query("model_report")

@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+from collections import Counter
+from unittest.mock import MagicMock
+
 import pytest
 from pyspark.sql import functions as F
 
+from checks import model_queries
 from zonecast.operators import ml
 from zonecast.functions.times import hour_text
 from zonecast.plans.training import search_and_train, train_and_report
@@ -75,3 +79,17 @@ def test_the_whole_job_searches_and_saves(spark, panel, tmp_path):
     assert trials.count() == 2 and ml.best_params(trials)["gbt"].keys() == {"maxIter", "maxDepth"}
     assert set(models) == {"gbt"} and report.count() == 1
     assert set(ml.load_best(spark, str(tmp_path / "run"))) == set(TARGETS)
+
+
+def test_tuning_query_searches_all_of_both_spaces(monkeypatch):
+    monkeypatch.setattr(ml, "_model_rows", lambda *a: MagicMock())
+    monkeypatch.setattr(ml, "feature_stages", lambda *a, **b: (None, 0))
+    monkeypatch.setattr(ml, "joint_rmse", lambda *a: MagicMock())
+    tried = []
+    monkeypatch.setattr(ml, "_fit_targets", lambda rows, targets, point, model, *a: tried.append((model, point)) or {})
+    monkeypatch.setattr(model_queries, "_split", lambda spark, sf: (MagicMock(), MagicMock()))
+    model_queries.tuned(None, "")
+    assert Counter(model for model, _ in tried) == {"gbt": 20, "random_forest": 20}
+    for model, point in tried:
+        assert set(point) == set(ml.SEARCH_SPACES[model])
+    assert len({point["maxDepth"] for model, point in tried if model == "gbt"}) > 1
