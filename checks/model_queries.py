@@ -20,7 +20,6 @@ from zonecast.session import new_stage_path, stage
 from zonecast.streaming.hourly import stream_hourly, write_keyed
 
 PAIRS = {t: f"{t}_lag_24h" for t in TARGETS}
-SMALL_TREES = {"maxIter": 3, "maxDepth": 4}
 
 
 @query(
@@ -102,14 +101,14 @@ def _split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 def trained(spark: SparkSession, sf: str) -> DataFrame:
     """Forecasts of the validation rows, one regressor per target."""
     train, val = _split(spark, sf)
-    models = ml.train_gbt(train, params=SMALL_TREES)
+    models = ml.train_gbt(train)
     return ml.predict(val, models).select(ZONE, *TARGETS, *[f"pred_{t}" for t in TARGETS])
 
 
 @query("train_forest_one_hot")
 def forest(spark: SparkSession, sf: str) -> DataFrame:
     train, val = _split(spark, sf)
-    models = ml.train_gbt(train, params={"numTrees": 5, "maxDepth": 5}, model="random_forest")
+    models = ml.train_gbt(train, model="random_forest")
     return ml.predict(val, models).select(ZONE, *TARGETS, *[f"pred_{t}" for t in TARGETS])
 
 
@@ -117,7 +116,7 @@ def forest(spark: SparkSession, sf: str) -> DataFrame:
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     """Cleaned forecasts of all rows after the training share."""
     rows = stage(split_matrix(stage(_features(spark, sf), "panel")), "matrix")
-    models = ml.train_gbt(rows.where("split = 'train'"), params=SMALL_TREES)
+    models = ml.train_gbt(rows.where("split = 'train'"))
     return ml.score_gbt(rows.where("split <> 'train'"), models).select("split", ZONE, *TARGETS)
 
 
@@ -129,8 +128,7 @@ def tuned(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("model_report")
 def report(spark: SparkSession, sf: str) -> DataFrame:
-    params = {"gbt": SMALL_TREES, "random_forest": {"numTrees": 5, "maxDepth": 5}}
-    return train_and_report(stage(_features(spark, sf), "panel"), params)[1]
+    return train_and_report(stage(_features(spark, sf), "panel"), {"gbt": {}, "random_forest": {}})[1]
 
 
 def stream_of(spark: SparkSession, folder: str, pattern: str = "*.parquet", **options) -> DataFrame:

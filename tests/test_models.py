@@ -93,3 +93,17 @@ def test_tuning_query_searches_all_of_both_spaces(monkeypatch):
     for model, point in tried:
         assert set(point) == set(ml.SEARCH_SPACES[model])
     assert len({point["maxDepth"] for model, point in tried if model == "gbt"}) > 1
+
+
+def test_model_queries_fit_the_default_models(monkeypatch):
+    for name in ("stage", "split_matrix", "_features"):
+        monkeypatch.setattr(model_queries, name, lambda *a: MagicMock())
+    fitted, reported = [], []
+    monkeypatch.setattr(ml, "train_gbt", lambda df, params=None, model="gbt": fitted.append((model, params or {})) or {})
+    monkeypatch.setattr(ml, "predict", lambda *a: MagicMock())
+    monkeypatch.setattr(ml, "score_gbt", lambda *a: MagicMock())
+    monkeypatch.setattr(model_queries, "train_and_report", lambda panel, params: reported.append(params) or ({}, None))
+    for run in (model_queries.trained, model_queries.scored, model_queries.forest, model_queries.report):
+        run(None, "")
+    assert fitted == [("gbt", {}), ("gbt", {}), ("random_forest", {})]
+    assert reported == [{"gbt": {}, "random_forest": {}}]
