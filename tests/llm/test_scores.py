@@ -7,6 +7,7 @@ import random
 from itertools import product
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,3 +169,10 @@ def test_top_k(spark):
     assert sorted(map(tuple, top_k(df).collect())) == sorted(wanted)
     assert top_k(df.where("false")).count() == 0
     assert top_k(df.where("vec_id % 50 <> 0")).count() == 0
+
+
+def test_all_letter_pieces_are_loaded():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = language.sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
+    assert set(language.load_pieces(path)) == {t for t in texts if t.removeprefix("▁").isalpha()}

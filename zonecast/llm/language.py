@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from zonecast.llm.common import map_batches, picked
 
 START = "▁"
-LONGEST = 6
 SMOOTHING = 0.05
 STRANGE = 1e-7
 COUNTED_WORDS = 200_000
@@ -32,11 +31,11 @@ WORD = re.compile(r"[^\W\d_]+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def load_pieces(path: str, longest: int = LONGEST) -> list[str]:
+def load_pieces(path: str) -> list[str]:
     """The vocabulary's pieces of letters, some with the mark of a word's start, in lower case."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     texts = (model.id_to_piece(i).lower() for i in range(model.get_piece_size()))
-    return sorted({text for text in texts if len(text) <= longest and text.removeprefix(START).isalpha()})
+    return sorted({text for text in texts if text.removeprefix(START).isalpha()})
 
 
 def words_of(text: str | None) -> list[str]:
