@@ -113,3 +113,11 @@ def test_random_strings_and_the_allow_list(spark):
     got = {r["doc_id"]: [SECRETS[r["doc_id"]][s["start"] : s["end"]] for s in r["spans"] if s["kind"] == "entropy"] for r in secrets(df).collect() if r["spans"]}
     assert got[5] == ["Zx8Qm2Lr7Tn4Vb9Kc3Wd6Yf1Hg5Jp0"] and got[12] == ["9233A8ECF7C5B09FE5949719B6B82BC439E9329B"]
     assert 6 not in got and 11 not in got
+
+
+def test_keys_of_letters_only(spark):
+    keys = ["qXbRtLmZkWvPnHsGdFcJ", "zkqvxwjpbmtrhgfdlcns"]
+    words = ["internationalizationcommittee", "getUserNameOfAccountById", "/usr/share/applications/icons", "-" * 40]
+    df = spark.createDataFrame(list(enumerate(["key " + x + " end" for x in [*keys, *words]])), "doc_id long, text string")
+    got = {r["doc_id"]: [s["value"] for s in r["spans"]] for r in secrets(df).collect()}
+    assert [got[i] for i in range(6)] == [[keys[0]], [keys[1]], [], [], [], []]

@@ -30,12 +30,16 @@ CLASSES = {
     "lower": ("0123456789abcdefghijklmnopqrstuvwxyz", 3.4),
     "mixed": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.5),
 }
-# Strings that look random and are no secrets: words, numbers, UUIDs, dates, paths of words, samples.
+# Strings that look random and are no secrets: numbers, UUIDs, dates, paths of words, samples.
 ALLOWED = (
-    r"^[A-Za-z+/_=-]+$", r"^[0-9+/_=-]+$",
+    r"^[0-9+/_=-]+$",
     r"^[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{4,}.*$",
     r"^(?:[A-Za-z]{3,}[0-9]{0,4}[/_=-]+)+[A-Za-z]*[0-9]{0,4}$", r"(?i)(?:example|sample|dummy|placeholder|changeme|xxxx|0123456789|abcdefgh)",
 )
+# What words of letters lack: runs of consonants, and more than two parts of one or two letters between capitals.
+LETTERS = r"^[A-Za-z+/_=-]+$"
+CONSONANTS = r"(?i:[bcdfghjklmnpqrstvwxz]{6})"
+SHORT_PART = r"[a-z][A-Z][a-z]?(?=[A-Z])"
 
 
 def window_entropy(value: Column, alphabet: str, window: int = WINDOW) -> Column:
@@ -71,11 +75,12 @@ def window_entropy(value: Column, alphabet: str, window: int = WINDOW) -> Column
 
 def _random(value: Column) -> Column:
     allowed = reduce(lambda a, b: a | b, [value.rlike(pattern) for pattern in ALLOWED])
+    words = value.rlike(LETTERS) & ~value.rlike(CONSONANTS) & (F.regexp_count(value, F.lit(SHORT_PART)) < 3)
     high = F.lit(False)
     for alphabet, least in reversed(CLASSES.values()):
         own = value if "A" in alphabet else F.lower(value)
         high = F.when(F.length(F.translate(own, alphabet, "")) == 0, window_entropy(own, alphabet) >= least).otherwise(high)
-    return F.when(allowed, False).otherwise(high)
+    return F.when(allowed | words, False).otherwise(high)
 
 
 def _as(kind: str, matches: Column) -> Column:
@@ -98,7 +103,7 @@ def with_secrets(df: DataFrame, text: str = "text") -> DataFrame:
         {
             "_assign": where_any(names, assign, TYPE), "_access": where_any(body.contains("AKIA"), access, TYPE),
             "_hex": where_any(body.rlike("[0-9a-f]{16}"), _as("hex", located(body, HEX)), TYPE),
-            "_string": where_any(body.rlike("[0-9][A-Za-z+/_=-]|[A-Za-z+/_=-][0-9]"), _as("entropy", located(body, STRING)), TYPE),
+            "_string": where_any(body.rlike("[A-Za-z0-9+/_=-]{20}"), _as("entropy", located(body, STRING)), TYPE),
         }
     )
     found = found.withColumn("base", in_order(F.concat("_assign", "_access", "_hex"), KINDS))
