@@ -176,3 +176,11 @@ def test_all_letter_pieces_are_loaded():
     model = language.sentencepiece.SentencePieceProcessor(model_file=path)
     texts = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
     assert set(language.load_pieces(path)) == {t for t in texts if t.removeprefix("▁").isalpha()}
+
+
+def test_words_of_signs_alone_and_letters_set_wide_apart(spark):
+    df = spark.createDataFrame([("ass asses sat at the bass glass pass",)] * 50, "text string")
+    chances = toxicity.character_chances(df)
+    assert toxicity.words_in("@$$", chances) == ["ass"] and toxicity.words_in("@$$!", chances) == ["ass"]
+    assert [toxicity.words_in(x, chances) for x in ("$100", "1007", "+1", "!!!", "|||", "455")] == [[]] * 6
+    assert toxicity.chunks_of("an i  d\ti\no \u00a0t here") == ["an", "idiot", "here"]

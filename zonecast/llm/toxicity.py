@@ -52,17 +52,19 @@ def _plain_letters() -> dict[int, str]:
 
 
 PLAIN = _plain_letters()
-SPACED = re.compile(r"(?<!\S)(?:\S[ ]){2,}\S(?!\S)")
+SPACED = re.compile(r"(?<!\S)(?:\S\s++){2,}\S(?!\S)")
+SIGNS = re.compile("[" + re.escape("".join(LEET)) + "]{3,}")
+NUMBER = re.compile(r"[$€+|!]*\d+[$€+|!]*")
 PARTS = re.compile(r"[^\w@$!|+€]+|_+")
 DRAWN = re.compile(r"(.)\1\1")
 TRAILING = re.compile(r"[!?.,;:]+$|([^\w\s])\1+$")
 
 
 def chunks_of(text: str | None) -> list[str]:
-    """White-space chunks; letters set apart by single spaces are one chunk."""
+    """White-space chunks; letters set apart by white space are one chunk."""
     if not text:
         return []
-    return SPACED.sub(lambda found: found.group().replace(" ", ""), text).split()
+    return SPACED.sub(lambda found: "".join(found.group().split()), text).split()
 
 
 def restored(observed: str, chances: np.ndarray) -> str:
@@ -94,10 +96,16 @@ def restored(observed: str, chances: np.ndarray) -> str:
 
 
 def words_in(chunk: str, chances: np.ndarray) -> list[str]:
-    """The words of a chunk without marks, restored where they are disguised."""
+    """The words of a chunk without marks, restored where they are disguised.
+
+    Chunks of signs alone are read too, but not digits that nothing but marks of sums surround.
+    """
     plain = chunk.lower()
     if plain.isalpha() and not DRAWN.search(plain):
         return [plain]
+    signs = plain.rstrip("!?.,;:")
+    if SIGNS.fullmatch(signs) and len(set(signs)) > 1 and not NUMBER.fullmatch(signs):
+        return [word for word in [restored(signs, chances)] if word]
     parts = [part for part in PARTS.split(TRAILING.sub("", plain)) if part]
     if len(parts) >= 3 and all(len(part) == 1 for part in parts):
         parts = ["".join(parts)]
