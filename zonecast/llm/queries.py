@@ -23,6 +23,7 @@ from zonecast.llm.secrets import secrets
 from zonecast.llm.spans import span_text
 from zonecast.llm.top_k import top_k
 from zonecast.llm.toxicity import fit_toxicity, toxicity
+from zonecast.llm.url_filter import ALLOW, BLOCK, Rule, filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -146,3 +147,49 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+RULES = [
+    Rule("net", "/", BLOCK), Rule("example.net", "/en/", ALLOW), Rule("example.com", "/de/", BLOCK), Rule("org", "/fr/", ALLOW),
+]
+_RULE_ROWS = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in RULES)
+_HOST = "translate(regexp_extract(coalesce({0}, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "regexp_extract(coalesce({0}, ''), '://[^/?#]*([^?#]*)', 1)"
+
+
+def _plain(url: str) -> str:
+    host, path = _HOST.format(url), _PATH.format(url)
+    query = f"regexp_extract({url}, '://[^?#]*\\?([^#]*)', 1)"
+    kept = f"array_to_string(list_filter(string_split({query}, '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)')), '&')"
+    host = f"regexp_replace(regexp_replace({host}, ':(80|443)$', ''), '^(www|m)\\.([^.]+\\.)', '\\2')"
+    return f"nullif({host}, '') || regexp_replace({path}, '(/index\\.html?|/)$', '') || CASE WHEN {kept} = '' THEN '' ELSE '?' || {kept} END"
+
+
+@query(
+    "op11_url_filter",
+    # Absolute canonical links only: the tables hold no link of any kind, the tests cover the others.
+    f"""
+    WITH RECURSIVE rules(host, path, verdict) AS (VALUES {_RULE_ROWS}),
+    p AS (SELECT page_id, url, {_HOST.format('url')} AS host, {_PATH.format('url')} AS path, {_plain('url')} AS node FROM pages),
+    links AS (
+        SELECT DISTINCT {_plain('url')} AS a, {_plain('link')} AS b, link FROM (
+            SELECT url, unnest(regexp_extract_all(html, '<link rel="canonical" href="([^"]*://[^"]*)"', 1)) AS link FROM pages)
+    ),
+    near AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    reach AS (
+        SELECT DISTINCT node AS start, node FROM p WHERE node IS NOT NULL
+        UNION SELECT r.start, n.b FROM reach r JOIN near n ON n.a = r.node
+    ),
+    ends AS (SELECT node, host, path FROM p UNION SELECT b, {_HOST.format('link')}, {_PATH.format('link')} FROM links),
+    fits AS (
+        SELECT e.node, e.host, e.path, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+        FROM ends e JOIN rules r ON (e.host = r.host OR ends_with(e.host, '.' || r.host)) AND starts_with(e.path, r.path) GROUP BY ALL
+    ),
+    decided AS (SELECT r.start, bool_or(f.verdict = 'allow') AS allowed FROM reach r JOIN fits f ON f.node = r.node GROUP BY r.start)
+    SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, CASE WHEN NOT d.allowed THEN 'block' END, 'allow') AS verdict
+    FROM p LEFT JOIN fits f ON f.node = p.node AND f.host = p.host AND f.path = p.path LEFT JOIN decided d ON d.start = p.node
+    """,
+)
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return filter_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
