@@ -13,6 +13,7 @@ from zonecast.llm.bpe import bpe_decode, bpe_encode, ids_digest, load_ranks
 from zonecast.llm.common import documents, id_remainder, labels
 from zonecast.llm.exact_dedup import exact_groups
 from zonecast.llm.language import fit_languages, load_pieces, predict_language
+from zonecast.llm.lexical import lexical_search
 from zonecast.llm.near_duplicates import jaccard_components
 from zonecast.llm.packing import pack
 from zonecast.llm.personal_data import BASE_KINDS as PERSONAL_KINDS
@@ -193,3 +194,32 @@ def _plain(url: str) -> str:
 def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return filter_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+_TERMS = (
+    "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+
+
+@query(
+    "op12_lexical_search",
+    f"""
+    WITH d AS (SELECT doc_id, row_number() OVER () AS doc, {_TERMS.format('text')} AS terms FROM documents),
+    sized AS (SELECT doc, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM d WHERE len(terms) > 0),
+    totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sized),
+    wanted AS (SELECT DISTINCT item, item_id, unnest(terms) AS term FROM (
+        SELECT row_number() OVER () AS item, item_id, {_TERMS.format('text')} AS terms FROM benchmark)),
+    tf AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM sized)
+        WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+    weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM tf, totals GROUP BY term),
+    measured AS (SELECT doc, doc_id, 50 + (50 * n * docs) // words AS m FROM sized, totals),
+    scores AS (SELECT item, item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+        FROM wanted JOIN tf USING (term) JOIN weights USING (term) JOIN measured USING (doc) GROUP BY item, item_id, doc, doc_id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+    SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50
+    """,
+)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
