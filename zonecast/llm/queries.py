@@ -22,6 +22,7 @@ from zonecast.llm.quality import fit_quality, quality
 from zonecast.llm.secrets import BASE_KINDS as SECRET_KINDS
 from zonecast.llm.secrets import secrets
 from zonecast.llm.spans import span_text
+from zonecast.llm.spelling import spelling_variants
 from zonecast.llm.top_k import top_k
 from zonecast.llm.toxicity import fit_toxicity, toxicity
 from zonecast.llm.url_filter import ALLOW, BLOCK, Rule, filter_urls
@@ -223,3 +224,8 @@ _TERMS = (
 )
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir))
