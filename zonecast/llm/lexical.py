@@ -26,7 +26,7 @@ BLOCK_DOCUMENTS = 16_384
 BLOCK_POSTINGS = 4_000_000
 # Distinct (item, term) pairs searched in one pass over the documents; more take several passes.
 PASS_TERMS = 200_000
-LEAF_DOCUMENTS = 64
+LEAF_DOCUMENTS = 2_048
 NO_ID = np.iinfo(np.int64).max
 # Bytes of terms (digits, letters, all beyond ASCII), A-Z lower-cased; others part terms.
 _IS_TERM = [48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 for c in range(256)]
@@ -168,27 +168,28 @@ def search_tree(tree: DocumentTree, weights: dict[int, int], best: Best) -> None
     if not found:
         return
     # Deeper terms have higher ranks. Reach of a node stands at its first document until a node above takes it up.
-    reach, best_below = [None] * len(found), np.zeros(many, np.int64)
+    reach, best_below = [None] * len(found), np.zeros(many + 1, np.int64)
     for k in range(len(found) - 1, -1, -1):
         term, nodes = found[k]
         low, high = tree.low[nodes], tree.high[nodes]
         ends = np.empty(2 * len(nodes), np.int64)
         ends[::2], ends[1::2] = low, high
-        below = np.maximum.reduceat(np.append(best_below, 0), ends)[::2]
+        below = np.maximum.reduceat(best_below, ends)[::2]
         reach[k] = weights[term] * tree.bound[nodes] + below
         best_below[low] = reach[k]
     # Top-down: the parent of a node is the last node of a lesser rank that covers it.
-    owner, offset = np.full(many, -1), 0
+    owner, given, offset = np.full(many, -1), np.zeros(many, np.int64), 0
     parents, lows, highs, gains = [], [], [], []
     for term, nodes in found:
         low, high = tree.low[nodes], tree.high[nodes]
         parents.append(owner[low])
+        gains.append(weights[term] * tree.bound[nodes])
         covered = np.repeat(np.arange(offset, offset + len(nodes)), high - low)
         at = np.repeat(low - np.cumsum(high - low) + (high - low), high - low) + np.arange(len(covered))
         owner[at] = covered
+        given[at] += gains[-1][covered - offset]  # what a document's path gives at most
         lows.append(low)
         highs.append(high)
-        gains.append(weights[term] * tree.bound[nodes])
         offset += len(nodes)
     parent, low, high, gain, reach = map(np.concatenate, (parents, lows, highs, gains, reach))
     by_parent = np.lexsort((reach, parent))
@@ -199,6 +200,9 @@ def search_tree(tree: DocumentTree, weights: dict[int, int], best: Best) -> None
     scored = [(weight, postings, tree.document[postings]) for weight, postings in scored]
 
     def evaluate(documents: np.ndarray) -> None:
+        documents = documents[given[documents] >= best.least]
+        if not len(documents):
+            return
         scores = np.zeros(len(documents), np.int64)
         first, last = documents[0], documents[-1] + 1
         for weight, postings, held in scored:
