@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 from collections import Counter
 from unittest.mock import MagicMock
 
@@ -63,6 +64,29 @@ def test_the_list_decides_what_is_a_category(panel):
         ml.feature_stages(panel.withColumn("zone_id", F.array("zone_id")))
 
 
+def test_bins_of_numbers_do_not_follow_the_categories(spark):
+    rows = spark.range(3000).select(
+        F.col("id").cast("int").alias("zone_id"), (F.col("id") % 1000).cast("double").alias("temp"),
+        F.when(F.col("id") % 50 == 0, F.col("id")).otherwise(0).cast("double").alias("humidity"), F.lit(1.0).alias("precip"),
+    )
+    edges = dict(zip(("temp", "humidity", "precip"), ml.bin_edges(rows, ("temp", "humidity", "precip")), strict=True))
+    assert all(len(cuts) - 1 <= ml.CONTINUOUS_BINS and cuts == sorted(set(cuts)) for cuts in edges.values())
+    # Rare values keep cuts of their own although nearly all rows hold another one.
+    assert sum(0 < cut < float("inf") for cut in edges["humidity"]) >= 10 and len(edges["precip"]) == 3
+    stages, bins = ml.feature_stages(rows, ("zone_id", "temp", "humidity"), ("zone_id",))
+    assert bins == 3001
+    made = ml.vectors(rows, stages, ("zone_id", "temp", "humidity"))
+    assert max(r["features"][0] for r in made.collect()) < ml.CONTINUOUS_BINS
+    assert ml.vectors(rows.withColumn("temp", F.lit(-1e9)), stages, ("zone_id", "temp", "humidity")).count() == 3000
+
+
+def test_trials_do_not_depend_on_how_many_run_together(panel):
+    spaces = {"gbt": ml.SEARCH_SPACES["gbt"]}
+    alone, together = (ml.tune_report(panel, panel, spaces, n_trials=3, fixed=TREES, parallel=n).collect() for n in (1, 3))
+    assert alone == together
+    assert all(0.6 <= float(json.loads(r["params"])["featureSubsetStrategy"]) <= 1.0 for r in alone)
+
+
 def test_search_is_repeatable(panel):
     spaces = {"gbt": ml.SEARCH_SPACES["gbt"]}
     run = lambda: ml.tune_report(panel, panel, spaces, n_trials=2, fixed=TREES).collect()
@@ -84,6 +108,7 @@ def test_the_whole_job_searches_and_saves(spark, panel, tmp_path):
 def test_tuning_query_searches_all_of_both_spaces(monkeypatch):
     monkeypatch.setattr(ml, "_model_rows", lambda *a: MagicMock())
     monkeypatch.setattr(ml, "feature_stages", lambda *a, **b: (None, 0))
+    monkeypatch.setattr(ml, "inheritable_thread_target", lambda session: lambda run: run)
     monkeypatch.setattr(ml, "joint_rmse", lambda *a: MagicMock())
     tried = []
     monkeypatch.setattr(ml, "_fit_targets", lambda rows, targets, point, model, *a: tried.append((model, point)) or {})

@@ -6,10 +6,12 @@ import json
 import math
 import random
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from pyspark.storagelevel import StorageLevel
 from zonecast.operators.metrics import best_model, forecast_metrics, joint_rmse
 from zonecast.operators.scoring import clean_forecast
 from zonecast.schemas import CATEGORICAL, FEATURES, TARGETS
+from zonecast.session import planned_bytes
 
 # Search spaces of the tree models.
 SEARCH_SPACES = {
@@ -26,6 +29,7 @@ SEARCH_SPACES = {
         "maxDepth": {"type": "int", "low": 4, "high": 8},
         "minInstancesPerNode": {"type": "int", "low": 20, "high": 100},
         "subsamplingRate": {"type": "float", "low": 0.6, "high": 0.9},
+        "featureSubsetStrategy": {"type": "share", "low": 0.6, "high": 1.0},
     },
     "random_forest": {
         "numTrees": {"type": "int", "low": 100, "high": 150},
@@ -38,6 +42,9 @@ REGRESSORS = {"gbt": GBTRegressor, "random_forest": RandomForestRegressor}
 # Fixed value: models that take categories one-hot encoded.
 ONE_HOT = ("random_forest",)
 VECTOR = "features"
+CONTINUOUS_BINS = 32
+PARALLEL_TRIALS = 8
+FIT_BYTES = 8 * 1024 * 1024  # of a partition of training rows, as stored
 
 
 def feature_matrix(df: DataFrame, features: Sequence[str] = FEATURES, targets: Sequence[str] = TARGETS) -> DataFrame:
@@ -51,6 +58,23 @@ def _number_of(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({name: F.coalesce(F.col(name).cast("double"), F.lit(0.0)) for name in features})
 
 
+def bin_edges(numbers: DataFrame, names: Sequence[str], bins: int = CONTINUOUS_BINS) -> list[list[float]]:
+    """Cuts of each column into at most ``bins`` bins.
+
+    Half of the cuts are quantiles of the rows and half quantiles of the distinct values, so that a
+    column of mostly one value keeps cuts among its rare ones. Values are counted before they are
+    ranked; sketches, not values, reach one task per column.
+    """
+    shares = [k / (bins // 2) for k in range(1, bins // 2)]
+    pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.col(name).alias("value")) for name in names]))
+    values = numbers.select(pairs.alias("pair")).select("pair.*").groupBy("name", "value").agg(F.count(F.lit(1)).alias("many"))
+    distinct = values.groupBy("name").agg(F.percentile_approx("value", shares, 1000).alias("cuts"))
+    found = {row["name"]: row["cuts"] for row in distinct.collect()}
+    of_rows = numbers.agg(*[F.percentile_approx(name, shares, 1000).alias(name) for name in names]).first()
+    inner = [sorted({*(found.get(name) or []), *(of_rows[name] or [])}) for name in names]
+    return [[-math.inf, *cuts, math.inf] for cuts in inner]
+
+
 def feature_stages(
     train: DataFrame,
     features: Sequence[str] = FEATURES,
@@ -60,8 +84,8 @@ def feature_stages(
     """Fitted feature stages shared by all targets, and the bins a tree needs for the categories.
 
     Indexes are learned from the training rows and reused at scoring; unseen values get their own.
-    The ``categorical`` list alone decides what is a category, at any number of values: a tree then
-    keeps one bin per value of the largest of them, so leave a column out that should be a number.
+    The ``categorical`` list alone decides what is a category, at any number of values. A tree's
+    setting holds for all features, so the others are cut into ``CONTINUOUS_BINS`` bins first: their histograms keep that size, and every tree of every trial shares the cuts.
     """
     used = [name for name in categorical if name in features]
     kinds = dict(train.dtypes)
@@ -78,7 +102,11 @@ def feature_stages(
         inputs = [f"{name}_onehot" for name in used]
         stages.append(OneHotEncoder(inputCols=indexed, outputCols=inputs, handleInvalid="keep"))
     plain = [name for name in features if name not in used]
-    stages.append(VectorAssembler(inputCols=[*plain, *inputs], outputCol=VECTOR))
+    binned = [f"{name}_bin" for name in plain]
+    if plain:
+        edges = bin_edges(numbers, plain)
+        stages.append(Bucketizer(splitsArray=edges, inputCols=plain, outputCols=binned, handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=[*binned, *inputs], outputCol=VECTOR))
     fitted = Pipeline(stages=stages).fit(numbers)
     sizes = [
         len(labels)
@@ -107,11 +135,16 @@ def _regressor(model: str, target: str, params: Mapping[str, Any], bins: int, se
 def _fit_targets(
     rows: DataFrame, targets: Sequence[str], params: Mapping[str, Any], model: str, bins: int, seed: int
 ) -> dict[str, Any]:
-    return {t: _regressor(model, t, params, bins, seed).fit(rows) for t in targets}
+    """One fitted regressor per target; the targets are fitted at the same time."""
+    fit = inheritable_thread_target(rows.sparkSession)(lambda t: _regressor(model, t, params, bins, seed).fit(rows))
+    with ThreadPoolExecutor(len(targets)) as pool:
+        return dict(zip(targets, pool.map(fit, targets), strict=True))
 
 
 def _model_rows(df: DataFrame, stages: PipelineModel, targets: Sequence[str]) -> DataFrame:
-    return vectors(df, stages).select(VECTOR, *[F.col(t).cast("double").alias(t) for t in targets])
+    """Vectors and targets in partitions of at least ``FIT_BYTES``: every level of every tree is a job."""
+    parts = max(1, -(-planned_bytes(df) // FIT_BYTES))
+    return vectors(df, stages).select(VECTOR, *[F.col(t).cast("double").alias(t) for t in targets]).coalesce(parts)
 
 
 def train_gbt(
@@ -155,6 +188,8 @@ def _draw(space: Mapping[str, Mapping[str, Any]], source: random.Random) -> dict
             point[name] = source.choice(list(rule["choices"]))
         elif rule["type"] == "int":
             point[name] = source.randint(int(rule["low"]), int(rule["high"]))
+        elif rule["type"] == "share":
+            point[name] = f"{source.uniform(rule['low'], rule['high']):.4f}"
         elif rule.get("log"):
             point[name] = math.exp(source.uniform(math.log(rule["low"]), math.log(rule["high"])))
         else:
@@ -162,6 +197,15 @@ def _draw(space: Mapping[str, Mapping[str, Any]], source: random.Random) -> dict
     return point
 
 
+def _trial_score(
+    fit_rows: DataFrame, val_rows: DataFrame, point: Mapping[str, Any], model: str, bins: int, seed: int, targets: Sequence[str]
+) -> float:
+    scored = val_rows
+    for fitted in _fit_targets(fit_rows, targets, point, model, bins, seed).values():
+        scored = fitted.transform(scored)
+    return joint_rmse(scored, {t: f"pred_{t}" for t in targets}).first()["joint_rmse"]
+
+
 def tune_report(
     train: DataFrame,
     val: DataFrame,
@@ -170,31 +214,34 @@ def tune_report(
     seed: int = 42,
     targets: Sequence[str] = TARGETS,
     fixed: Mapping[str, Any] | None = None,
+    parallel: int = PARALLEL_TRIALS,
 ) -> DataFrame:
     """Seeded random search per model on a fixed validation set: one row per trial.
 
-    Vectors of both sets are kept across trials. ``joint_rmse`` is the root of the mean squared
-    error over all targets; ``params`` holds the trial's parameters as JSON, which
+    The features are indexed and cut into bins once per model, and the binned vectors of both sets
+    are kept across its trials, of which ``parallel`` run at the same time. Points are drawn before
+    any trial starts, so results do not depend on their order. ``joint_rmse`` is the root of the
+    mean squared error over all targets; ``params`` holds the trial's parameters as JSON, which
     :func:`best_params` reads back.
     """
     spark = train.sparkSession
     trials: list[tuple[str, int, str, float]] = []
-    pairs = {t: f"pred_{t}" for t in targets}
     for model, space in spaces.items():
         source = random.Random(seed)
+        points = [{**_draw(space, source), **(fixed or {})} for _ in range(n_trials)]
         stages, bins = feature_stages(train, one_hot=model in ONE_HOT)
         fit_rows, val_rows = [
             _model_rows(rows, stages, targets).persist(StorageLevel.MEMORY_AND_DISK)
             for rows in (train, val)
         ]
         try:
-            for trial in range(n_trials):
-                point = {**_draw(space, source), **(fixed or {})}
-                scored = val_rows
-                for fitted in _fit_targets(fit_rows, targets, point, model, bins, seed).values():
-                    scored = fitted.transform(scored)
-                score = joint_rmse(scored, pairs).first()["joint_rmse"]
-                trials.append((model, trial, json.dumps(point, sort_keys=True), score))
+            # Both sets are filled by one job each; trials that start together would each compute them.
+            fit_rows.count(), val_rows.count()
+            with ThreadPoolExecutor(parallel) as pool:
+                score = inheritable_thread_target(spark)(_trial_score)
+                waiting = [pool.submit(score, fit_rows, val_rows, point, model, bins, seed, targets) for point in points]
+                for trial, (point, found) in enumerate(zip(points, waiting, strict=True)):
+                    trials.append((model, trial, json.dumps(point, sort_keys=True), found.result()))
         finally:
             fit_rows.unpersist()
             val_rows.unpersist()
