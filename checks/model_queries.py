@@ -17,6 +17,8 @@ from zonecast.plans.features import feature_panel
 from zonecast.plans.training import split_matrix, train_and_report
 from zonecast.schemas import BIN, DAY, FEATURES, FEEDS, ZONE
 from zonecast.session import new_stage_path, stage
+from zonecast.sources.store import append_delta, read_table
+from zonecast.sources.versions import compact
 from zonecast.streaming.hourly import stream_hourly, write_keyed
 
 PAIRS = {t: f"{t}_lag_24h" for t in TARGETS}
@@ -165,16 +167,33 @@ def streamed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    "keyed_stream",
-    f"""SELECT bin, zone_id, service_type, count(*) AS trip_count, {rounded('avg(mph)', 'avg_speed')},
+_KEYED = f"""SELECT bin, zone_id, service_type, count(*) AS trip_count, {rounded('avg(mph)', 'avg_speed')},
         strftime(bin, '%Y-%m-%d') AS bin_date FROM good_trips
-        WHERE bin + INTERVAL 1 HOUR <= (SELECT max(pickup_datetime) FROM good_trips) - INTERVAL 2 HOUR GROUP BY ALL""",
-)
-def keyed(spark: SparkSession, sf: str) -> DataFrame:
-    """Closed hours of a stream, kept by key in a table partitioned by day."""
+        WHERE bin + INTERVAL 1 HOUR <= (SELECT max(pickup_datetime) FROM good_trips) - INTERVAL 2 HOUR GROUP BY ALL"""
+
+
+def _kept_by_key(spark: SparkSession, sf: str) -> str:
+    """A table that a stream has written closed hours to, partitioned by day."""
     out = new_stage_path(spark, "keyed")
     hourly = stream_hourly(stream_of(spark, sf, "events.parquet")).withColumn(DAY, F.to_date(BIN))
     write_keyed(hourly, f"{out}/rows", (BIN, ZONE, "service_type"), f"{out}/state", (DAY,)).awaitTermination()
-    found = spark.read.schema(hourly.schema).parquet(f"{out}/rows").drop("congestion_index")
+    return f"{out}/rows"
+
+
+def _keyed_rows(spark: SparkSession, path: str) -> DataFrame:
+    found = read_table(spark, path).drop("congestion_index")
     return tables.rounded(found.withColumn(DAY, F.col(DAY).cast("string")), "avg_speed")
+
+
+@query("keyed_stream", _KEYED)
+def keyed(spark: SparkSession, sf: str) -> DataFrame:
+    return _keyed_rows(spark, _kept_by_key(spark, sf))
+
+
+@query("keyed_stream_compacted", _KEYED)
+def keyed_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """The same after every row was written once more as a delta and all folders were compacted."""
+    path = _kept_by_key(spark, sf)
+    append_delta(read_table(spark, path), path, (BIN, ZONE, "service_type"), partitions=(DAY,))
+    compact(spark, path)
+    return _keyed_rows(spark, path)

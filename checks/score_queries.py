@@ -66,6 +66,20 @@ def read(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "read_widened",
+    f"""SELECT bin, zone_id, target_yellow, CASE WHEN bin >= {HALF} THEN CAST(target_green * 2 AS DOUBLE) END AS twice FROM panel""",
+)
+def widened(spark: SparkSession, sf: str) -> DataFrame:
+    """A column that only the later rows were written with; the middle ones come as deltas."""
+    path = new_stage_path(spark, "features")
+    rows = stage(_keyed(spark, sf), "keyed")
+    bin = F.col(BIN)
+    store.upsert_features(rows.where(bin < naive("2024-01-16")), path)
+    store.append_delta(rows.where(bin >= naive("2024-01-16")).withColumn("twice", F.col("target_green") * 2.0), path)
+    return store.read_features(spark, path, [BIN, ZONE, "target_yellow", "twice"])
+
+
 @query(
     "append_predictions",
     f"""SELECT bin, zone_id, {READINGS}, CAST(pickup_hour AS SMALLINT) AS pickup_hour, is_rush_hour,

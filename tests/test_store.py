@@ -10,9 +10,10 @@ from zonecast.functions.times import hour_text
 from zonecast.operators.keyed import latest_per_key
 from zonecast.plans.scoring import store_forecast
 from zonecast.sources.store import (
-    MONTHS, _existing, _in_partitions, append_predictions, backfill_months, prediction_schema, read_features,
-    upsert_features, with_months,
+    MONTHS, _existing, _in_partitions, append_delta, append_predictions, backfill_months, prediction_schema, read_features,
+    read_table, upsert_features, with_months,
 )
+from zonecast.sources.versions import VersionConflict, commit, compact, newest, next_version
 
 
 def hours(spark, *cases):
@@ -34,9 +35,11 @@ def test_upsert_replaces_by_key_and_repeats_change_nothing(spark, tmp_path):
 def test_upsert_leaves_other_partitions_alone(spark, tmp_path):
     path = tmp_path / "t"
     upsert_features(hours(spark, (1, 1, 1, 10), (2, 1, 1, 30)), str(path))
-    before = sorted((path / "pickup_year=2024/pickup_month=2").iterdir())
+    before = newest(spark, str(path)).folders
     upsert_features(hours(spark, (1, 1, 1, 11)), str(path))
-    assert sorted((path / "pickup_year=2024/pickup_month=2").iterdir()) == before
+    after = newest(spark, str(path)).folders
+    changed = {part for part in after if after[part] != before[part]}
+    assert changed == {"pickup_year=2024/pickup_month=1"} and len(after) == 2
 
 
 def test_several_new_rows_of_a_key_follow_the_order(spark, tmp_path):
@@ -83,7 +86,7 @@ def test_prediction_log(spark, tmp_path):
     second = prediction_schema(hours(spark, (1, 3, 1, 300)))
     later = hist.withColumn("v", hist.v * 0)
     assert rows(append_predictions(second, later, path), "v") == [(1,), (100,), (300,)]
-    assert dict(spark.read.parquet(path).dtypes)["zone_id"] == "int"
+    assert dict(read_table(spark, path).dtypes)["zone_id"] == "int"
     got = read_features(spark, path, ["v"], "2024-01-02", "2024-01-02 23:00:00")
     assert rows(got) == [(100,)]
     plan = got._jdf.queryExecution().executedPlan().toString()
@@ -147,3 +150,56 @@ def test_one_row_per_key_sorts_once(spark):
     latest = latest_per_key(df, ["k"], ["o"])
     assert rows(latest, "v") == [("b",), ("c",)]
     assert "SortAggregate" not in latest._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reading_columns_added_later(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_features(hours(spark, (1, 1, 1, 1)), path)
+    upsert_features(hours(spark, (2, 1, 1, 2)).withColumn("y", F.col("v") * 10), path)
+    assert rows(read_features(spark, path, ["zone_id", "v", "y"], "2024-01-01", "2024-03-01")) == [(1, 1, None), (1, 2, 20)]
+
+
+def test_a_reader_keeps_its_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    before = upsert_features(hours(spark, (1, 1, 1, 1), (2, 1, 1, 2)), path)
+    upsert_features(hours(spark, (1, 1, 1, 10), (2, 1, 1, 20)), path)
+    append_delta(hours(spark, (1, 1, 1, 100)), path)
+    assert rows(before, "v") == [(1,), (2,)] and rows(read_table(spark, path), "v") == [(20,), (100,)]
+    # A write that never got to its manifest is not seen.
+    hours(spark, (1, 1, 1, 7)).write.partitionBy(*MONTHS).parquet(f"{path}/_write=lost")
+    assert rows(read_table(spark, path), "v") == [(20,), (100,)]
+
+
+def test_the_second_of_two_writers_fails(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_features(hours(spark, (1, 1, 1, 1)), path)
+    late = next_version(newest(spark, path), hours(spark).schema, ("zone_id", "bin_str"), MONTHS)
+    upsert_features(hours(spark, (1, 1, 1, 2)), path)
+    with pytest.raises(VersionConflict):
+        commit(spark, path, late)
+    assert rows(read_table(spark, path), "v") == [(2,)] and newest(spark, path).number == 2
+    with pytest.raises(ValueError):
+        upsert_features(hours(spark, (1, 1, 1, 3)), path, keys=("zone_id",))
+
+
+def test_deltas_merge_on_reading_and_compact(spark, tmp_path):
+    path = str(tmp_path / "t")
+    append_delta(hours(spark, (1, 1, 1, 1), (1, 2, 1, 2), (2, 1, 1, 3)), path, source="a", batch=0)
+    append_delta(hours(spark, (1, 2, 1, 20)).withColumn("w", F.lit(5)), path, source="a", batch=1)
+    append_delta(hours(spark, (1, 2, 1, 200)), path, source="a", batch=1)  # repeated: changes nothing
+    append_delta(hours(spark, (1, 3, 1, 4), (2, 1, 1, 30)), path, source="b", batch=0)
+    wanted = [(1, None), (4, None), (20, 5), (30, None)]
+    assert rows(read_table(spark, path), "v", "w") == wanted
+    assert {part: len(held) for part, held in newest(spark, path).folders.items()} == {"pickup_year=2024/pickup_month=1": 3, "pickup_year=2024/pickup_month=2": 2}
+    assert compact(spark, path, 2).number == 4 and compact(spark, path, 2) is None
+    assert rows(read_table(spark, path), "v", "w") == wanted
+    assert sorted(len(held) for held in newest(spark, path).folders.values()) == [1, 2]
+    compact(spark, path)
+    assert rows(read_table(spark, path), "v", "w") == wanted
+    assert rows(upsert_features(hours(spark, (1, 1, 1, 11)), path), "v") == [(4,), (11,), (20,), (30,)]
+
+
+def test_plain_folders_become_versions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    hours(spark, (1, 1, 1, 1), (2, 1, 1, 2)).write.partitionBy(*MONTHS).parquet(path)
+    assert rows(upsert_features(hours(spark, (2, 1, 1, 20)), path), "v") == [(1,), (20,)]

@@ -9,7 +9,7 @@ from checks.model_queries import stream_of
 from tests.conftest import rows
 from zonecast.functions.times import hour_text
 from zonecast.operators.panel import trip_counts
-from zonecast.sources.store import with_months
+from zonecast.sources.store import read_table, with_months
 from zonecast.streaming.hourly import stream_hourly, write_keyed
 
 KEYS = ("bin", "zone_id", "service_type")
@@ -60,4 +60,4 @@ def test_micro_batches_are_upserted(spark, tmp_path):
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
         keyed = with_months(stream.withColumn("bin_str", hour_text(F.col("bin"))))
         write_keyed(keyed, table, checkpoint=str(tmp_path / "state")).awaitTermination()
-    assert rows(spark.read.parquet(table), "v") == [(2,), (3,)]
+    assert rows(read_table(spark, table), "v") == [(2,), (3,)]

@@ -2,51 +2,34 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from zonecast.functions.times import Moment, hour_text, naive
 from zonecast.operators.keyed import latest_per_key
 from zonecast.schemas import BIN, DAY, HOURLY_WEATHER, PANEL, PREDICTION_TYPES, ZONE
 from zonecast.session import stage
+from zonecast.sources.versions import add_folders, commit, newest, next_version, read_version, replace_folders
 
 MONTHS = ("pickup_year", "pickup_month")
 KEYS = (ZONE, "bin_str")
-SCHEMA_FOLDER = "_columns"
 MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def _schema_of(spark: SparkSession, path: str) -> T.StructType | None:
-    """The columns of a keyed table, as its last write noted them beside the data."""
-    try:
-        noted = spark.read.text(f"{path}/{SCHEMA_FOLDER}").first()
-    except AnalysisException as error:
-        if error.getCondition() in MISSING:
-            return None
-        raise
-    return None if noted is None else T.StructType.fromJson(json.loads(noted["value"]))
-
-
-def _note_schema(df: DataFrame, path: str) -> None:
-    note = df.sparkSession.createDataFrame([(df.schema.json(),)], "value string")
-    note.coalesce(1).write.mode("overwrite").text(f"{path}/{SCHEMA_FOLDER}")
-
-
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path`` with all its columns, or None where there is none yet.
 
-    The noted columns spare reading the footers of all files; only a table that was written
-    otherwise has its columns merged from them, once.
+    A keyed table is read by its newest manifest, as it stands now: later writes do not change what
+    the result returns. A folder without one was written otherwise; its columns are merged from its
+    files.
     """
-    schema = _schema_of(spark, path)
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
+    manifest = newest(spark, path)
+    if manifest is not None:
+        return read_version(spark, path, manifest)
     try:
         return spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException as error:
@@ -55,6 +38,12 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a keyed table, or the rows of a folder that was written otherwise."""
+    found = _existing(spark, path)
+    return spark.read.parquet(path) if found is None else found
+
+
 def _write_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
     """Overwrite just the partitions present in ``df``; large ones are split over several tasks."""
     df.hint("rebalance", *[F.col(name) for name in partitions]).write.mode("overwrite").option(
@@ -98,23 +87,50 @@ def upsert_features(
 
     Several new rows of one key are decided by ``order_by``, greatest first (by all columns
     without one). Only the partitions that ``df`` touches are read and rewritten; a small batch is
-    broadcast against them, so stored rows are not shuffled for it. The merged rows are written to
-    the staging folder first, so the table is never overwritten while it is read and a lost
-    executor costs no data. A null partition value or key is a value like any other. Returns the
-    table.
+    broadcast against them, so stored rows are not shuffled for it. The merged rows go to folders of
+    their own, which the next version of the table names: readers see the old version until then, a
+    lost executor or driver costs no data, and of two writers at once the second fails. A null
+    partition value or key is a value like any other. Returns the table.
     """
     spark = df.sparkSession
+    before = newest(spark, path)
     stored = _existing(spark, path)
     rows = latest_per_key(df, keys, order_by)
     if stored is not None:
         rows = stage(rows, "upsert_new")
-        touched = rows.select(*partitions).distinct()
+        touched = rows.select(*partitions).distinct() if before is not None else stored.select(*partitions).distinct()
         old = _in_partitions(stored, touched, partitions).alias("o")
         kept = old.join(rows.select(*keys).alias("n"), _same("o", "n", keys), "left_anti")
         rows = stage(kept.unionByName(rows, allowMissingColumns=True), "upsert_rows")
-    _write_partitions(rows, path, partitions)
-    _note_schema(rows, path)
-    return spark.read.schema(rows.schema).parquet(path)
+    after = next_version(before, rows.schema, keys, partitions)
+    commit(spark, path, replace_folders(path, after, rows))
+    return _existing(spark, path)
+
+
+def append_delta(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str] = KEYS,
+    order_by: Sequence[str] = (),
+    partitions: Sequence[str] = MONTHS,
+    source: str | None = None,
+    batch: int | None = None,
+) -> DataFrame:
+    """Merge ``df`` into the table at ``path`` without reading it; per key a new row replaces the old one.
+
+    The rows are written over those of their partitions and merged on reading, so a write costs by
+    its own rows; :func:`zonecast.sources.versions.compact` makes one folder of several again. A
+    batch number of ``source`` that the table has taken in already changes nothing.
+    """
+    spark = df.sparkSession
+    before = newest(spark, path)
+    if before is not None and source is not None and batch is not None and batch <= before.batches.get(source, -1):
+        return read_version(spark, path, before)
+    after = next_version(before, df.schema, keys, partitions)
+    if source is not None and batch is not None:
+        after.batches[source] = batch
+    commit(spark, path, add_folders(path, after, latest_per_key(df, keys, order_by)))
+    return _existing(spark, path)
 
 
 def with_months(df: DataFrame, bin: str = BIN) -> DataFrame:
@@ -150,12 +166,12 @@ def read_features(
 ) -> DataFrame:
     """Columns of the rows from ``start`` to ``end``; ``closed='left'`` leaves ``end`` out.
 
-    ``prefix`` is stripped from column names. Where the table is partitioned by month or by day,
+    Columns added later are null in rows stored before. ``prefix`` is stripped from column names. Where the table is partitioned by month or by day,
     folders outside the range are not read.
     """
     if closed not in ("both", "left"):
         raise ValueError(f"unknown interval: {closed}")
-    table = spark.read.parquet(path)
+    table = read_table(spark, path)
     if prefix:
         table = table.withColumnsRenamed(
             {name: name.removeprefix(prefix) for name in table.columns if name.startswith(prefix)}

@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from zonecast.functions.numeric import inverse_speed
 from zonecast.schemas import BIN, ZONE
-from zonecast.sources.store import KEYS, MONTHS, upsert_features
+from zonecast.sources.store import KEYS, MONTHS, append_delta
+from zonecast.sources.versions import compact
 
 
 def stream_hourly(
@@ -47,11 +48,21 @@ def write_keyed(
     checkpoint: str | None = None,
     partitions: Sequence[str] = MONTHS,
     available_now: bool = True,
+    source: str = "stream",
+    folders: int = 16,
 ) -> StreamingQuery:
-    """Start a query that upserts each micro-batch by key; a repeated batch changes nothing."""
+    """Start a query that merges each micro-batch by key; ``read_table`` reads the result.
 
-    def write(batch: DataFrame, _: int) -> None:
-        upsert_features(batch, path, keys, partitions=partitions)
+    A batch is written over the stored rows and merged on reading, so what it writes is bound by its
+    own rows. Its number is recorded with the version under ``source``: a repeated batch changes
+    nothing. Partitions that more than ``folders`` batches have touched are compacted. Give every
+    stream of a table its own ``source``; a stream that starts over with a new checkpoint starts its
+    batch numbers over, and so needs a new ``source`` too.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        append_delta(batch, path, keys, partitions=partitions, source=source, batch=number)
+        compact(batch.sparkSession, path, folders)
 
     writer = stream.writeStream.outputMode("append").foreachBatch(write)
     if checkpoint is not None:
