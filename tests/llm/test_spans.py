@@ -121,3 +121,12 @@ def test_keys_of_letters_only(spark):
     df = spark.createDataFrame(list(enumerate(["key " + x + " end" for x in [*keys, *words]])), "doc_id long, text string")
     got = {r["doc_id"]: [s["value"] for s in r["spans"]] for r in secrets(df).collect()}
     assert [got[i] for i in range(6)] == [[keys[0]], [keys[1]], [], [], [], []]
+
+
+def test_long_strings_of_every_allowed_form_end(spark):
+    forms = ["abc-", "Word12_", "0-", "path/to/", "aB3", "12345678-1234-", "2024-01-01T00001", "example", "AKIA", "password=", "f", "+1 (", "1 ", "a@b.", "1.2.3.4."]
+    df = spark.createDataFrame([(i, form * (300_000 // len(form))) for i, form in enumerate(forms)], "doc_id long, text string")
+    assert secrets(df.repartition(4)).count() == len(forms)
+    got = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secrets(df.where("doc_id < 2")).collect()}
+    assert got == {0: [], 1: []}
+    assert secrets(df.where("false")).count() == 0
