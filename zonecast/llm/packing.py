@@ -12,6 +12,7 @@ import itertools
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -67,7 +68,7 @@ class _Words(Remembered):
 
     def make(self, word: str) -> bytes:
         spelled = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
-        return np.array([token.id for token in self.model.tokenize(spelled)], np.uint32).tobytes()
+        return array("I", [token.id for token in self.model.tokenize(spelled)]).tobytes()
 
 
 class _Chunks(Remembered):
@@ -89,18 +90,23 @@ class _Chunks(Remembered):
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, np.uint32).tobytes()
 
     def learn(self, chunks: Iterable[str]) -> None:
-        others = []
-        for chunk in self.unknown(chunks):
+        found, others, old, words, tails = {}, [], self.old, self.words, self.tails
+        for chunk in itertools.filterfalse(self.__contains__, set(chunks)):
+            known = old.get(chunk)
+            if known is not None:
+                found[chunk] = known
+                continue
             word = chunk.rstrip(MARKS)
-            if word.isalpha() and max(word) < FIRST_OTHER and DOTTED not in word:
+            if word.isalpha() and (word.isascii() or (max(word) < FIRST_OTHER and DOTTED not in word)):
                 tail = chunk[len(word) :]
-                if tail not in self.tails:
-                    if len(self.tails) >= CACHED_TAILS:
-                        self.tails.clear()
-                    self.tails[tail] = self.make(tail)
-                self.put(chunk, self.words[word.lower()] + self.tails[tail])
+                if tail not in tails:
+                    if len(tails) >= CACHED_TAILS:
+                        tails.clear()
+                    tails[tail] = self.make(tail)
+                found[chunk] = words[word.lower()] + tails[tail]
             elif "|" not in chunk:
                 others.append(chunk)
+        self.take(found)
         parts = [others[i : i + TOGETHER] for i in range(0, len(others), TOGETHER)]
         texts = [" | ".join([*part, ""]) for part in parts]
         for part, found in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
@@ -111,6 +117,14 @@ class _Chunks(Remembered):
                 start = end + 1
 
 
+    def take(self, found: dict[str, bytes]) -> None:
+        """Keep what a batch has made; the older generation goes where both would be too many."""
+        if len(self) + len(found) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        self.update(found)
+
+
 _WORKER: dict[int, _Chunks] = {}
 
 
@@ -191,17 +205,22 @@ def pack_histogram(histogram: dict[int, int], sequence: int = SEQUENCE) -> list[
     return [(count, pattern) for _, _, pattern, count in sorted(packs)]
 
 
-def pattern_slots(patterns: list[tuple[int, tuple[int, ...]]]) -> list[tuple[int, int, int, int, int]]:
-    """Places for pieces: length, first and last rank that go there, first sequence, offset in it."""
+def pattern_slots(patterns: list[tuple[int, tuple[int, ...]]]) -> list[tuple[int, int, int, int, int, int]]:
+    """Places for pieces: length, first and last rank that go there, first sequence, offset in it, sequences.
+
+    A length that a pattern holds several times has one row: its ranks fill the first place of all
+    sequences of the pattern, then the next place behind it.
+    """
     ranks: dict[int, int] = {}
     slots, sequence = [], 0
     for count, pattern in patterns:
         offset = 0
-        for length in pattern:
+        for length, copies in itertools.groupby(pattern):
+            many = len(list(copies))
             first = ranks.get(length, 0)
-            slots.append((length, first, first + count - 1, sequence, offset))
-            ranks[length] = first + count
-            offset += length
+            slots.append((length, first, first + count * many - 1, sequence, offset, count))
+            ranks[length] = first + count * many
+            offset += length * many
         sequence += count
     return slots
 
@@ -218,15 +237,17 @@ def pack_pieces(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     histogram = {row["length"]: row["many"] for row in counts.groupBy("length").agg(F.sum("many").alias("many")).collect()}
     slots = spark.createDataFrame(
         pattern_slots(pack_histogram(histogram, sequence)) or [],
-        "_length long, _first long, _last long, _sequence long, _offset long",
+        "_length long, _first long, _last long, _sequence long, _offset long, _many long",
     )
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("length", "task", F.coalesce(F.sum("many").over(earlier), F.lit(0)).alias("_base"))
     ranked = pieces.join(small(bases, "bases"), ["length", "task"]).withColumn("_rank", F.col("_base") + F.col("turn"))
     here = (F.col("length") == F.col("_length")) & F.col("_rank").between(F.col("_first"), F.col("_last"))
     placed = ranked.join(F.broadcast(slots), here)
+    place = F.col("_rank") - F.col("_first")
+    copy = F.floor(place / F.col("_many"))
     return placed.withColumns(
-        {"sequence_id": F.col("_sequence") + F.col("_rank") - F.col("_first"), "offset": F.col("_offset")}
+        {"sequence_id": F.col("_sequence") + place % F.col("_many"), "offset": F.col("_offset") + copy * F.col("length")}
     ).drop("task", "turn", *[name for name in placed.columns if name.startswith("_")])
 
 
