@@ -3,8 +3,10 @@
 Two sets this similar share a token among the first of each, whatever order all tokens stand in.
 Candidates are found under the order of rising frequency and must also meet under two more orders;
 what is left is verified on the whole sets. Documents with one set are one node from the start, and
-copies of a copy are joined through the least edited document of a token's list, so that no list is
-ever turned into all of its pairs: only lists that still hold several components are compared within.
+copies of a copy are joined through the least edited document of a token's list: first through one
+hub each, then through the others that still are in another component. Only lists that still hold
+several components are compared within, and only documents that share a watched token of a further
+order become a pair there.
 """
 
 from __future__ import annotations
@@ -235,6 +237,13 @@ def components(edges: DataFrame) -> DataFrame:
         edges = staged(below.unionByName(least.withColumnRenamed("least", "b")).distinct(), "edges")
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are not in one component of ``labels`` (node, label) yet."""
+    for side in ("a", "b"):
+        pairs = pairs.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}")), side, "left")
+    return pairs.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+
+
 def _may_overlap(place_a: Column, place_b: Column, n_a: Column, n_b: Column, percent: int) -> Column:
     """Whether sets that share a token at these places can still share enough tokens."""
     most = F.least(place_a, place_b) + 1 + F.least(n_a - place_a, n_b - place_b) - 1
@@ -275,31 +284,40 @@ def _members(
     hot = lists.where("salt >= 0").groupBy("token", "hub").agg(F.min("hub_place").alias("place"))
     first_hub = hot.groupBy("token").agg(F.min_by("hub", F.struct("place", "hub")).alias("first_hub"))
     pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+    near = lists.where((F.col("node") != F.col("hub")) & near_hub)
     to_hub = (
-        lists.where((F.col("node") != F.col("hub")) & near_hub).select(*pair("node", "hub"))
+        near.select(*pair("node", "hub"))
         .unionByName(hot.join(first_hub, "token").where("hub <> first_hub").select(*pair("hub", "first_hub")))
     )
     to_hub = staged(to_hub.distinct(), "hub-pairs")
+    # A node's first hub alone: copies of one text meet there, and their other hubs need no look.
+    one_hub = near.groupBy("node").agg(F.min_by("hub", F.struct("hub_place", "hub")).alias("hub"))
+    one_hub = staged(one_hub.select(*pair("node", "hub")).distinct(), "first-hubs")
     least = staged(nodes.where("n > 0").groupBy("node").agg(F.min("id").alias("id")), "nodes")
 
     def texts_of(wanted: DataFrame) -> DataFrame:
         ids = small(wanted.join(least, "node").select(F.col("id").alias("_id")).distinct(), "member-ids")
         return rows.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi").select("text")
 
-    links = staged(_verified(to_hub, watched, texts_of, width, percent, "hub"), "hub-links")
+    links = staged(_verified(one_hub, watched, texts_of, width, percent, "hub"), "hub-links")
+    others = _apart(to_hub, staged(components(links), "labels")).join(one_hub, ["a", "b"], "left_anti")
+    links = links.unionByName(staged(_verified(staged(others, "other-hubs"), watched, texts_of, width, percent, "other"), "other-links"))
     labels = staged(components(links), "labels")
     labelled = lists.select("token", "node", "n", "place").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
     labelled = staged(labelled, "labelled-lists")
     mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_lists = staged(labelled.join(mixed.select("token"), "token", "left_semi").distinct(), "open-lists")
+    open_lists = labelled.join(mixed.select("token"), "token", "left_semi").distinct()
+    # Rows carry what they watch under a further order, so that it cuts pairs before they are made.
+    open_lists = staged(open_lists.join(watched.select("node", "first_1"), "node"), "open-lists")
     a, b = (
-        open_lists.select("token", *[F.col(name).alias(f"{name}_{side}") for name in ("node", "n", "place", "label")])
+        open_lists.select("token", *[F.col(name).alias(f"{name}_{side}") for name in ("node", "n", "place", "label", "first_1")])
         for side in "ab"
     )
     can = _may_overlap(F.col("place_a"), F.col("place_b"), F.col("n_a"), F.col("n_b"), percent)
-    across = a.join(b, "token").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & can)
+    can = can & (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
+    across = a.join(b, "token").where(can & F.arrays_overlap("first_1_a", "first_1_b"))
     across = across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     across = staged(across.join(to_hub, ["a", "b"], "left_anti"), "open-pairs")
     links = links.unionByName(_verified(across, watched, texts_of, width, percent, "open"))
