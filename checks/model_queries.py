@@ -32,7 +32,7 @@ PAIRS = {t: f"{t}_lag_24h" for t in TARGETS}
         count(*) OVER (PARTITION BY zone_id) AS n FROM panel)""",
 )
 def split(spark: SparkSession, sf: str) -> DataFrame:
-    return chronological_split(stage(hourly_targets(tables.trips(spark, sf)), "targets"))
+    return chronological_split(stage(hourly_targets(tables.trips(spark, sf)), "targets"), ties=())
 
 
 def _metric_rows() -> str:

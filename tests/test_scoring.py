@@ -85,6 +85,14 @@ def test_road_speed_against_brute_force(spark):
         assert got[i] == pytest.approx(sum(hits) / len(hits))
 
 
+def test_road_speed_of_long_names(spark):
+    links = ["the long straight road north", "the long straight road south", "long road", "straight roa", "th"]
+    feed = [(link.title(), "N", str(10 * i), i) for i, link in enumerate(links)] * 2
+    zones = ["straight road", "LONG STRAIGHT ROAD NORTH", "roadx", "oa", "t", "zzz road", "road", "the long straight road north and on"]
+    got = road(spark, [(i, z, "N") for i, z in enumerate(zones)], feed)
+    assert got == {0: 5.0, 1: 0.0, 2: 20.0, 3: 15.0, 4: 20.0, 5: 20.0, 6: 10.0, 7: 20.0}
+
+
 def test_borough_speed_skips_unreadable(spark):
     feed = spark.createDataFrame([("l", "N", "10", 1), ("l", "N", "x", 2), ("l", "S", "", 3)], FEED)
     assert rows(borough_speed(feed)) == [("N", 10.0), ("S", None)]

@@ -47,13 +47,17 @@ def zone_positions(
 
 
 def chronological_split(
-    df: DataFrame, train: float = 0.7, val: float = 0.85, zone: str = ZONE, bin: str = BIN
+    df: DataFrame, train: float = 0.7, val: float = 0.85, zone: str = ZONE, bin: str = BIN, ties: Sequence[str] | None = None
 ) -> DataFrame:
-    """Tag each zone's first rows ``train``, the next ``val`` and the rest ``test``, in time order."""
+    """Tag each zone's first rows ``train``, the next ``val`` and the rest ``test``, in time order.
+
+    Give ``ties=()`` where a zone has one row an hour at most, as in the dense panel: rows are then
+    sorted by the hour alone.
+    """
     upto = lambda share: F.floor(F.col("_n").cast("double") * F.lit(float(share)))
     split = (
         F.when(F.col("_rn") <= upto(train), "train")
         .when(F.col("_rn") <= upto(val), "val")
         .otherwise("test")
     )
-    return zone_positions(df, zone, bin).withColumn("split", split).drop("_rn", "_n")
+    return zone_positions(df, zone, bin, ties).withColumn("split", split).drop("_rn", "_n")

@@ -90,46 +90,48 @@ def borough_speed(feed: DataFrame) -> DataFrame:
     return _speed(feed).groupBy("borough").agg(F.avg("speed").alias("borough_speed"))
 
 
+GRAM = 3
+
+
+def _grams(text: Column, size: int = GRAM) -> Column:
+    """The distinct substrings of ``size`` letters."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(starts, lambda at: F.substr(text, at, F.lit(size)))))
+
+
 def zone_road_speed(zones: DataFrame, feed: DataFrame, zone: str = ZONE) -> DataFrame:
     """Mean speed of the road links whose name contains the zone name, ignoring case.
 
     Zones without a matching link, or without a name, take their borough's mean; a zone whose
-    matching links have no readable speed stays null. Containment is an equi join: each link name
-    yields its distinct substrings of the lengths that occur among zone names, readings are summed
-    per substring before the shuffle, and a zone name meets exactly one such sum.
+    matching links have no readable speed stays null. The feed is summed once, per link and borough.
+    Containment goes by an index of q-grams: every zone name stands under that of its q-grams which
+    the fewest links have, a link emits each of its q-grams once, and whole names are compared only
+    where the two meet. Names shorter than a q-gram are looked up among the links' letters and pairs.
     """
-    names = zones.select(F.lower("zone").alias("name")).where(F.length("name") > 0).distinct()
-    lengths = names.select(F.length("name").alias("size")).distinct()
-    links = (
-        _speed(feed).where(F.col("link_name").isNotNull())
-        .groupBy(F.lower("link_name").alias("link"))
-        .agg(
-            F.sum("speed").alias("total"),
-            F.count("speed").alias("readable"),
-            F.count(F.lit(1)).alias("matches"),
-        )
-    )
-    # Distinct name lengths are few: no more than the longest zone name has letters.
-    links = links.withColumn("sizes", lengths.agg(F.collect_set("size")).scalar())
-    starts = lambda size: F.sequence(F.lit(1), F.length("link") - size + 1)
-    pieces = F.flatten(
-        F.transform(
-            F.filter("sizes", lambda size: size <= F.length("link")),
-            lambda size: F.transform(starts(size), lambda at: F.substr(F.col("link"), at, size)),
-        )
-    )
-    by_name = (
-        links.select(F.explode(F.array_distinct(pieces)).alias("name"), "total", "readable", "matches")
-        .groupBy("name")
-        .agg(*[F.sum(c).alias(c) for c in ("total", "readable", "matches")])
+    sums = lambda: [F.sum(c).alias(c) for c in ("total", "readable", "matches")]
+    read = stage(
+        _speed(feed).groupBy(F.lower("link_name").alias("link"), "borough").agg(
+            F.sum("speed").alias("total"), F.count("speed").alias("readable"), F.count(F.lit(1)).alias("matches")
+        ),
+        "road-sums",
     )
-    matched = names.join(by_name, "name")
-    mean = F.try_divide(F.col("total"), F.col("readable"))
-    speed = F.when(F.col("matches") > 0, mean).otherwise(F.col("borough_speed"))
+    boroughs = read.groupBy("borough").agg(F.try_divide(F.sum("total"), F.sum("readable")).alias("borough_speed"))
+    links = read.where(F.col("link").isNotNull()).groupBy("link").agg(*sums())
+    names = zones.select(F.lower("zone").alias("name")).where(F.length("name") > 0).distinct()
+    short = names.agg(F.collect_set(F.least(F.length("name"), F.lit(GRAM)))).scalar()
+    empty = F.array().cast("array<string>")
+    parts = [F.when(F.array_contains(F.col("sizes"), size), F.coalesce(_grams(F.col("link"), size), empty)).otherwise(empty) for size in range(1, GRAM + 1)]
+    index = links.withColumn("sizes", short).select("link", "total", "readable", "matches", F.explode(F.concat(*parts)).alias("gram"))
+    often = index.groupBy("gram").agg(F.count(F.lit(1)).alias("many"))
+    own = names.select("name", F.explode(F.coalesce(_grams(F.col("name")), F.array("name"))).alias("gram"))
+    # A q-gram that no link has leaves its name without a match, whatever the others are.
+    rarest = own.join(often, "gram", "left").groupBy("name").agg(F.min_by("gram", F.struct(F.coalesce("many", F.lit(0)), "gram")).alias("gram"))
+    by_name = index.join(rarest, "gram").where(F.contains("link", "name")).groupBy("name").agg(*sums())
+    speed = F.when(F.col("matches") > 0, F.try_divide(F.col("total"), F.col("readable"))).otherwise(F.col("borough_speed"))
     return (
         zones.withColumn("name", F.lower("zone"))
-        .join(matched, "name", "left")
-        .join(small(borough_speed(feed), "borough_speed"), "borough", "left")
+        .join(by_name, "name", "left")
+        .join(small(boroughs, "borough_speed"), "borough", "left")
         .select(zone, speed.alias("zone_avg_speed"))
     )
 
