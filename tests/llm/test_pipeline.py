@@ -14,8 +14,8 @@ from zonecast.llm.queries import ORACLES, QUERIES
 PLAIN = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty "
 
 
-def test_eleven_queries():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_queries_of_all_operators():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "ngram_jaccard", "personal_data", "packing"]
 
 
@@ -63,3 +63,19 @@ def test_stages(spark, sf_dir, tmp_path):
     assert text[first + 3].startswith("write to <EMAIL> about one") and text[first + 4] is None
     before = {r["doc_id"]: r["text"] for r in kept[2].collect()}
     assert all(text[i] == before[i] for i in text if "@" not in (before[i] or "") and not any(c.isdigit() for c in before[i] or ""))
+
+
+def test_stages_take_empty_tables_and_null_or_repeated_ids(spark, sf_dir):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(None, text, 1, "a"), (7, text + " end", 2, "b"), (7, "mail me at x.y@z.org", 3, "c"), (None, None, 4, "d"), (8, "", 5, "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, node int, _row string")
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        assert stage(spark, df.where("false"), sf_dir).count() == 0, name
+    stages = dict(corpus_pipeline.STAGES)
+    once = stages["exact_dedup"](spark, df, sf_dir)
+    assert once.columns == df.columns and once.count() == 4  # the null text counts as empty
+    near = stages["ngram_jaccard"](spark, df, sf_dir)
+    assert sorted(r["node"] for r in near.collect()) == [2, 3, 4, 5]
+    clean = {r["node"]: r["text"] for r in stages["personal_data"](spark, df, sf_dir).collect()}
+    assert len(clean) == 5 and "x.y@z.org" not in clean[3] and clean[1] == text
+    assert stages["packing"](spark, df, sf_dir).where("start = 0").count() == 5
