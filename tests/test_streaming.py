@@ -10,6 +10,7 @@ from tests.conftest import rows
 from zonecast.functions.times import hour_text
 from zonecast.operators.panel import trip_counts
 from zonecast.sources.store import read_table, with_months
+from zonecast.sources.versions import newest
 from zonecast.streaming.hourly import stream_hourly, write_keyed
 
 KEYS = ("bin", "zone_id", "service_type")
@@ -61,3 +62,14 @@ def test_micro_batches_are_upserted(spark, tmp_path):
         keyed = with_months(stream.withColumn("bin_str", hour_text(F.col("bin"))))
         write_keyed(keyed, table, checkpoint=str(tmp_path / "state")).awaitTermination()
     assert rows(read_table(spark, table), "v") == [(2,), (3,)]
+
+
+def test_a_new_checkpoint_is_a_new_stream(spark, tmp_path):
+    table, schema = str(tmp_path / "table"), "bin timestamp_ntz, zone_id int, v int"
+    for value in (1, 2):
+        source = str(tmp_path / f"in{value}")
+        spark.createDataFrame([(datetime(2024, 1, 1), value, value)], schema).write.parquet(source)
+        keyed = with_months(spark.readStream.schema(schema).parquet(source).withColumn("bin_str", hour_text(F.col("bin"))))
+        write_keyed(keyed, table, checkpoint=str(tmp_path / f"state{value}")).awaitTermination()
+    assert rows(read_table(spark, table), "v") == [(1,), (2,)]
+    assert set(newest(spark, table).batches) == {str(tmp_path / "state1"), str(tmp_path / "state2")}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -48,17 +49,18 @@ def write_keyed(
     checkpoint: str | None = None,
     partitions: Sequence[str] = MONTHS,
     available_now: bool = True,
-    source: str = "stream",
+    source: str | None = None,
     folders: int = 16,
 ) -> StreamingQuery:
     """Start a query that merges each micro-batch by key; ``read_table`` reads the result.
 
     A batch is written over the stored rows and merged on reading, so what it writes is bound by its
     own rows. Its number is recorded with the version under ``source``: a repeated batch changes
-    nothing. Partitions that more than ``folders`` batches have touched are compacted. Give every
-    stream of a table its own ``source``; a stream that starts over with a new checkpoint starts its
-    batch numbers over, and so needs a new ``source`` too.
+    nothing. Partitions that more than ``folders`` batches have touched are compacted. Batch numbers
+    belong to a checkpoint, so ``source`` is the checkpoint's folder unless given; a stream without
+    one counts as new each time it starts.
     """
+    source = source or checkpoint or uuid.uuid4().hex
 
     def write(batch: DataFrame, number: int) -> None:
         append_delta(batch, path, keys, partitions=partitions, source=source, batch=number)
