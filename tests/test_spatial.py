@@ -4,10 +4,11 @@ import random
 from itertools import combinations, permutations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from zonecast.operators.spatial import (
-    load_or_build_adjacency, neighbor_demand, neighbor_lists, zone_adjacency,
+    _spread, load_or_build_adjacency, neighbor_demand, neighbor_lists, polygon_edges, zone_adjacency,
 )
 
 SCHEMA = "zone_id int, ring array<struct<x: double, y: double>>"
@@ -118,6 +119,73 @@ def test_random_triangles_against_brute_force(spark, crowded):
     assert touch(spark, *shapes, crowded=crowded) == expected
 
 
+def zones_of_parts(seed):
+    """Zones of boxes and frames on whole numbers: (zone, pieces that fill it, rings with their hole mark)."""
+    draw, zones = random.Random(seed), []
+    for zone in range(70):
+        pieces, rings, parts = [], [], draw.choice([1, 1, 2, 3])
+        for _ in range(parts):
+            x, y, w, h = draw.randrange(24), draw.randrange(24), draw.randint(1, 5), draw.randint(1, 5)
+            spread = [(x, y, w, h)]
+            rings.append((box(x, y, w, h), False))
+            if w > 2 and h > 2:
+                spread = [(x, y, 1, h), (x + w - 1, y, 1, h), (x, y, w, 1), (x, y + h - 1, w, 1)]
+                rings.append((box(x + 1, y + 1, w - 2, h - 2)[:: draw.choice([1, -1])], True))
+            if any(overlapping(a, b) for a in spread for b in pieces):
+                rings = rings[: -1 if len(spread) == 1 else -2]
+                continue
+            pieces += spread
+        zones.append((zone, pieces, rings))
+    return zones
+
+
+def overlapping(a, b):
+    return all(a[k] < b[k] + b[k + 2] and b[k] < a[k] + a[k + 2] for k in range(2))
+
+
+def meeting(a, b):
+    return all(a[k] <= b[k] + b[k + 2] and b[k] <= a[k] + a[k + 2] for k in range(2))
+
+
+@pytest.mark.parametrize("seed,crowded", [(1, 256), (2, 6)])
+def test_zones_of_several_parts_and_holes_against_brute_force(spark, seed, crowded):
+    zones = zones_of_parts(seed)
+    data = [(z, hole, [(float(x), float(y)) for x, y in ring]) for z, _, rings in zones for ring, hole in rings]
+    shapes = spark.createDataFrame(data, "zone_id int, hole boolean, ring array<struct<x: double, y: double>>")
+    expected = sorted(
+        (i, j) for (i, a, _), (j, b, _) in permutations(zones, 2)
+        if any(meeting(x, y) for x in a for y in b) and not any(overlapping(x, y) for x in a for y in b)
+    )
+    assert len(expected) > 40
+    got = rows(zone_adjacency(shapes, crowded=crowded), "zone_id", "neighbor_id")
+    assert got == expected
+
+
+def test_a_ring_within_another_zone_that_meets_no_edge(spark):
+    big, hole = box(0, 0, 9, 9), box(6, 6, 2, 2)
+    data = [
+        (1, False, big), (1, True, hole), (2, False, box(9, 0)), (2, False, box(2, 2)), (3, False, box(9, 2)),
+        (3, None, box(6.5, 6.5, 1, 1)), (4, False, hole), (5, False, box(6, 6, 1, 1)), (5, False, None),
+    ]
+    data = [(z, h, r and [(float(x), float(y)) for x, y in r]) for z, h, r in data]
+    shapes = spark.createDataFrame(data, "zone_id int, hole boolean, ring array<struct<x: double, y: double>>")
+    assert rows(zone_adjacency(shapes), "zone_id", "neighbor_id") == [(1, 3), (1, 4), (1, 5), (3, 1), (4, 1), (5, 1)]
+
+
+def test_cells_are_cut_until_none_is_crowded(spark):
+    """Two far clusters of small boxes in one cell are told apart; a fan of triangles stays one cell."""
+    clusters = [(i, box(1000 * (i % 2) + i // 2 % 20 * 0.01, i // 40 * 0.01, 0.01, 0.01)) for i in range(800)]
+    rings = polygons(spark, *clusters).selectExpr("zone_id", "ring", "false AS hole")
+    made = polygon_edges(rings, "zone_id")
+    cells = _spread(made, F.lit(5000.0), 1e-9, 32)
+    load = cells.groupBy("_size", "_cx", "_cy").count().agg(F.max("count"), F.sum("count")).first()
+    assert load[0] <= 32 and load[1] < 10 * 3200
+    fan = [(i, [(0, 0), (100 + i, 100), (100, 101 + i)]) for i in range(60)]
+    made = polygon_edges(polygons(spark, *fan).selectExpr("zone_id", "ring", "false AS hole"), "zone_id")
+    cells = _spread(made, F.lit(200.0), 1e-9, 32)
+    assert cells.count() < 20 * 180
+
+
 def test_crowded_cell_of_copies(spark):
     shapes = [(i, box(0, 0)) for i in range(400)] + [(1000, box(1, 0))]
     edges = zone_adjacency(polygons(spark, *shapes), crowded=4)

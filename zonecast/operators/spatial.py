@@ -4,7 +4,9 @@ Two polygons touch when their boundaries meet and their interiors do not. For si
 meet at all this is a local question: the interiors overlap exactly if, at some meeting point, the
 two open angles that the interiors fill there overlap. So the whole test is one equi join of edges
 on grid cells with arithmetic per edge pair, and one aggregate per zone pair. There is no
-polygon-against-polygon scan, and long boundaries are spread over many cells.
+polygon-against-polygon scan, and long boundaries are spread over many cells. Zones of several rings
+are judged as a whole; only a ring that meets no edge of a zone which its own zone touches elsewhere
+needs one more test, whether it lies within that zone.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from zonecast.session import small, stage
 NO_NEIGHBOR = -1
 FULL_TURN = 2 * math.pi
 ANGLE_TOLERANCE = 1e-9
+CELL = ("_size", "_cx", "_cy")
 
 
 def _turn(angle: Column) -> Column:
@@ -32,8 +35,8 @@ def _turn(angle: Column) -> Column:
     return F.when(turned > FULL_TURN - ANGLE_TOLERANCE, F.lit(0.0)).otherwise(turned)
 
 
-def polygon_edges(polygons: DataFrame, zone: str = ZONE, snap: float = 1e-9) -> DataFrame:
-    """Counter-clockwise edges of each ring.
+def polygon_edges(polygons: DataFrame, *keys: str, snap: float = 1e-9) -> DataFrame:
+    """Edges of each ring with the interior on their left: counter-clockwise, clockwise where ``hole``.
 
     ``ax, ay -> bx, by`` is the edge, ``heading`` its direction and ``opening`` the angle the
     interior fills at its first vertex, counted counter-clockwise from ``heading``.
@@ -42,10 +45,10 @@ def polygon_edges(polygons: DataFrame, zone: str = ZONE, snap: float = 1e-9) ->
         (F.rint(p["x"] / F.lit(snap)) * F.lit(snap)).alias("x"),
         (F.rint(p["y"] / F.lit(snap)) * F.lit(snap)).alias("y"),
     )
-    ring = polygons.select(zone, F.transform("ring", point).alias("_all"))
+    ring = polygons.select(*keys, "hole", F.transform("ring", point).alias("_all"))
     # Drop each point that repeats its predecessor; the closing point repeats the first.
     ring = ring.select(
-        zone,
+        *keys, "hole",
         F.filter(
             F.arrays_zip(
                 F.col("_all").alias("p"),
@@ -61,18 +64,18 @@ def polygon_edges(polygons: DataFrame, zone: str = ZONE, snap: float = 1e-9) ->
         lambda acc, v: acc + v["p"]["x"] * v["q"]["y"] - v["q"]["x"] * v["p"]["y"],
     )
     ring = ring.select(
-        zone, F.when(area < 0, F.reverse("_open")).otherwise(F.col("_open")).alias("_ring")
+        *keys, F.when((area < 0) != F.col("hole"), F.reverse("_open")).otherwise(F.col("_open")).alias("_ring")
     )
     previous = F.concat(F.slice("_ring", -1, 1), F.slice("_ring", 1, F.size("_ring") - 1))
     edges = ring.select(
-        zone,
+        *keys,
         F.inline(
             F.arrays_zip(
                 previous.alias("c"), F.col("_ring").alias("a"), nexts("_ring").alias("b")
             )
         ),
     ).select(
-        zone,
+        *keys,
         F.col("a.x").alias("ax"), F.col("a.y").alias("ay"),
         F.col("b.x").alias("bx"), F.col("b.y").alias("by"),
         F.atan2(F.col("b.y") - F.col("a.y"), F.col("b.x") - F.col("a.x")).alias("heading"),
@@ -225,11 +228,78 @@ def _fine_cells(cells: DataFrame, tolerance: float) -> DataFrame:
     )
 
 
-def _shapes(polygons: DataFrame, zone: str) -> DataFrame:
-    """Key each ring by a hash of its points, so copies are compared once."""
-    return polygons.where(F.col("ring").isNotNull()).select(
-        F.col(zone).alias(ZONE), F.unhex(F.sha2(F.to_json("ring"), 256)).alias("shape"), "ring"
+def _spread(edges: DataFrame, size: Column, tolerance: float, crowded: int) -> DataFrame:
+    """Every edge once per cell it crosses, cells cut finer until none is crowded.
+
+    A cell of more than ``crowded`` edges is cut unless that spares less than half of its pairs, as
+    where its edges run through one point or along each other; cells that are wide for their edges
+    are cut down to their length in any case. Cells that no cut helps stay as they are.
+    """
+    # Pairs cost far more than rows, so rows are written spread by cell, however few files held them.
+    width = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = stage(_cells(edges.withColumn("_size", size), tolerance).repartition(width, "_cx", "_cy"), "edge_cells")
+    settled = []
+    while True:
+        extent = F.least(F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay"))), "_size")
+        load = cells.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_load"), F.avg(extent).alias("_extent"))
+        wide = F.floor(F.col("_size") / F.col("_extent"))
+        busy = stage(
+            load.where(F.col("_load") > crowded).select(
+                *CELL, "_load", (wide >= 4).alias("_wide"),
+                F.greatest(F.lit(2), F.ceil(F.sqrt(F.col("_load") / F.lit(float(crowded)))), F.least(F.lit(1024), wide)).alias("_parts"),
+            ),
+            "busy_cells",
+        )
+        if busy.isEmpty():
+            return reduce(DataFrame.unionByName, [*settled, cells])
+        fine = stage(_fine_cells(cells.join(busy, list(CELL)), tolerance), "fine_cells")
+        pairs = (
+            fine.groupBy(*CELL, "_fx", "_fy", "_load", "_wide").agg(F.count(F.lit(1)).cast("double").alias("_many"))
+            .groupBy(*CELL, "_load", "_wide").agg(F.sum(F.col("_many") * F.col("_many")).alias("_pairs"))
+        )
+        spares = F.col("_pairs") * 2 <= F.col("_load").cast("double") * F.col("_load")
+        cut = stage(pairs.where(F.col("_wide") | spares).select(*CELL), "cut_cells")
+        settled.append(cells.join(cut, list(CELL), "left_anti"))
+        parts = (F.col("_size") / F.col("_parts")).alias("_size"), F.col("_fx").alias("_cx"), F.col("_fy").alias("_cy")
+        kept = [name for name in cells.columns if name not in CELL]
+        cells = fine.join(cut, list(CELL), "left_semi").select(*kept, *parts)
+
+
+def _shapes(rings: DataFrame) -> DataFrame:
+    """Each zone's ``shape``: a hash of its distinct rings, whatever their order and number."""
+    hashes = [F.xxhash64(F.lit(seed), "part").cast("decimal(38,0)") for seed in range(2)]
+    return (
+        rings.select(ZONE, "part").distinct().groupBy(ZONE)
+        .agg(F.concat_ws(" ", F.count(F.lit(1)), *[F.sum(h) for h in hashes]).alias("shape"))
+    )
+
+
+def _hidden(touching: DataFrame, met: DataFrame, edges: DataFrame) -> DataFrame:
+    """The touching pairs of which one has a ring within the other, away from all its edges.
+
+    Rings that meet an edge of the other zone were judged there, so zones of one ring need no test.
+    A ring's point lies within a zone if the zone's edges wind around it.
+    """
+    points = edges.groupBy("shape", "part").agg(F.min(F.struct("ax", "ay")).alias("point"))
+    several = points.groupBy("shape").agg(F.count(F.lit(1)).alias("rings")).where("rings > 1").select("shape")
+    both = lambda df, *names: reduce(
+        DataFrame.unionByName,
+        [
+            df.select(F.col(a).alias("shape"), F.col(b).alias("other"), *[F.col(f"{a}_{n}").alias(n) for n in names])
+            for a, b in (("one", "two"), ("two", "one"))
+        ],
+    )
+    away = (
+        both(touching).join(several, "shape", "left_semi").join(points, "shape")
+        .join(both(met, "part").distinct(), ["shape", "other", "part"], "left_anti")
     )
+    sides = away.join(edges.select(F.col("shape").alias("other"), "ax", "ay", "bx", "by"), "other")
+    px, py = F.col("point.ax"), F.col("point.ay")
+    left = (F.col("bx") - F.col("ax")) * (py - F.col("ay")) - (F.col("by") - F.col("ay")) * (px - F.col("ax"))
+    up, down = (F.col("ay") <= py) & (F.col("by") > py), (F.col("ay") > py) & (F.col("by") <= py)
+    turns = F.sum(F.when(up & (left > 0), 1).when(down & (left < 0), -1).otherwise(0))
+    within = sides.groupBy("shape", "other", "part").agg(turns.alias("turns")).where("turns <> 0")
+    return within.select(F.least("shape", "other").alias("one"), F.greatest("shape", "other").alias("two")).distinct()
 
 
 def zone_adjacency(
@@ -239,53 +309,51 @@ def zone_adjacency(
     tolerance: float = 1e-9,
     crowded: int = 256,
 ) -> DataFrame:
-    """Edge table ``(zone_id, neighbor_id)`` of zones with touching polygons, in both directions.
+    """Edge table ``(zone_id, neighbor_id)`` of zones that touch, in both directions.
+
+    A zone may have several rings, one per row; rows whose column ``hole`` (where there is one) is
+    true are cut out of it. Zones touch if their boundaries meet somewhere and their interiors
+    overlap nowhere, so a zone that fills another's hole is its neighbour, and one that touches a
+    part and overlaps another is not. Rows without a ring are ignored, as is a ring given twice.
 
-    A zone may have several polygons; one touching pair is enough. ``cell_size`` defaults to
-    the median edge extent. Equal rings are tested once: copies of one ring overlap each other, and
-    all of them touch what one touches. A cell with more than ``crowded`` edges is split into
-    finer cells before its pairs are formed.
+    ``cell_size`` defaults to the median edge extent; cells of more than ``crowded`` edges are cut
+    finer before pairs are formed. Zones of equal rings are tested once: they overlap each other, and
+    all of them touch what one touches.
     """
-    shapes = stage(_shapes(polygons, zone), "shapes")
-    distinct_rings = shapes.groupBy("shape").agg(F.any_value("ring").alias("ring"))
-    edges = stage(polygon_edges(distinct_rings, "shape", tolerance), "edges")
+    hole = F.coalesce("hole", F.lit(False)) if "hole" in polygons.columns else F.lit(False)
+    rings = polygons.where(F.col("ring").isNotNull()).select(F.col(zone).alias(ZONE), hole.alias("hole"), "ring")
+    rings = stage(rings.withColumn("part", F.unhex(F.sha2(F.to_json(F.struct("ring", "hole")), 256))), "rings")
+    owners = stage(_shapes(rings), "shapes")
+    one_each = owners.groupBy("shape").agg(F.min(ZONE).alias(ZONE))
+    outlines = rings.join(one_each, ZONE).groupBy("shape", "part").agg(
+        F.any_value("ring").alias("ring"), F.any_value("hole").alias("hole")
+    )
+    edges = stage(polygon_edges(outlines, "shape", "part", snap=tolerance), "edges")
     extent = F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))
     typical = edges.agg(F.percentile_approx(extent, 0.5)).scalar()
     size = F.lit(float(cell_size)) if cell_size else typical
 
-    # Pairs cost far more than rows, so rows are written spread by cell, however few files held them.
-    width = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    coarse = _cells(edges.withColumn("_size", size), tolerance).repartition(width, "_cx", "_cy")
-    coarse = stage(coarse, "edge_cells")
-    load = coarse.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_load"))
-    busy = load.where(F.col("_load") > crowded).select(
-        "_cx", "_cy", F.ceil(F.sqrt(F.col("_load") / F.lit(float(crowded)))).alias("_parts")
-    )
-    calm = coarse.join(busy, ["_cx", "_cy"], "left_anti").drop("_size").withColumns(
-        {"_fx": F.lit(0).cast("bigint"), "_fy": F.lit(0).cast("bigint")}
-    )
-    fine = _fine_cells(coarse.join(busy, ["_cx", "_cy"]), tolerance).drop("_size", "_parts")
-    placed = calm.unionByName(fine)
-    keys = ("_cx", "_cy", "_fx", "_fy")
+    placed = _spread(edges, size, tolerance, crowded)
     left, right = placed.alias("l"), placed.alias("r")
-    same_cell = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
+    same_cell = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in CELL]
     contacts = _contacts(tolerance)
-    touching = (
+    met = (
         left.join(right, same_cell + [_boxes_meet(tolerance), F.col("l.shape") < F.col("r.shape")])
         # Inlining an array fixes the measures: a plain projection would be repeated for each use
         # when the filter below is pushed into the join.
         .select(
-            F.col("l.shape").alias("one"),
-            F.col("r.shape").alias("two"),
+            F.col("l.shape").alias("one"), F.col("l.part").alias("one_part"),
+            F.col("r.shape").alias("two"), F.col("r.part").alias("two_part"),
             F.inline(F.array(F.struct(*_measures()))),
         )
         .withColumns(contacts)
         .where(reduce(lambda a, b: a | b, [F.col(name) for name in contacts]))
-        .groupBy("one", "two")
+        .groupBy("one", "two", "one_part", "two_part")
         .agg(F.bool_or(_interiors_overlap()).alias("_overlap"))
-        .where(~F.col("_overlap"))
     )
-    owners = shapes.select(ZONE, "shape").distinct()
+    met = stage(met, "met")
+    touching = met.groupBy("one", "two").agg(F.bool_or("_overlap").alias("_overlap")).where(~F.col("_overlap"))
+    touching = touching.join(_hidden(touching, met, edges), ["one", "two"], "left_anti")
     one = owners.select(F.col(ZONE).alias("_first"), F.col("shape").alias("one"))
     two = owners.select(F.col(ZONE).alias("_second"), F.col("shape").alias("two"))
     pairs = touching.join(one, "one").join(two, "two").where(F.col("_first") != F.col("_second"))
