@@ -143,6 +143,15 @@ EXPRESSIONS = {
              WHEN c_custkey % 13 = 0 AND c_custkey % 50 <> 0 THEN c_custkey // 40 + 0.5 ELSE c_custkey // 40 END AS y,
         CASE WHEN c_custkey % 11 = 0 THEN 2.0 ELSE 1.0 END AS w,
         CASE WHEN c_custkey % 7 = 0 THEN 0.5 ELSE 1.0 END AS h FROM customer)""",
+    "part_boxes": """SELECT CAST(k - 800 * (k // 800 % 2) AS INTEGER) AS zone_id, k % 5 = 0 AND k % 13 <> 4 AS frame, p % 40 * 3 + i AS x, p // 40 * 3 + i AS y,
+        CASE WHEN k % 35 = 7 THEN 3.5 ELSE s END AS w, s AS h
+        FROM (SELECT *, CASE WHEN k % 5 = 1 OR k % 13 = 4 THEN k - 1 ELSE k END AS p,
+        CASE WHEN k % 5 = 1 THEN CASE WHEN k % 11 = 3 THEN 1.25 ELSE 1.0 END WHEN k % 13 = 4 THEN 0.5 ELSE 0.0 END::DOUBLE AS i,
+        CASE WHEN k % 5 = 1 THEN CASE WHEN k % 11 = 3 THEN 0.5 ELSE 1.0 END WHEN k % 13 = 4 THEN 0.25 ELSE 3.0 END::DOUBLE AS s
+        FROM (SELECT c_custkey AS k FROM customer))""",
+    "part_pieces": """SELECT zone_id, x, y, x + w AS x2, y + h AS y2 FROM part_boxes WHERE NOT frame
+        UNION ALL SELECT zone_id, x + a, y + b, x + c, y + d FROM part_boxes,
+        (VALUES (0, 0, 3, 1), (0, 2, 3, 3), (0, 0, 1, 3), (2, 0, 3, 3)) AS bars(a, b, c, d) WHERE frame""",
     "adjacency": """SELECT a.zone_id, b.zone_id AS neighbor_id FROM boxes a JOIN boxes b ON a.zone_id <> b.zone_id
         AND a.x <= b.x2 AND b.x <= a.x2 AND a.y <= b.y2 AND b.y <= a.y2
         AND NOT (a.x < b.x2 AND b.x < a.x2 AND a.y < b.y2 AND b.y < a.y2)""",

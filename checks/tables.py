@@ -170,6 +170,23 @@ def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boxes.select(ZONE, F.when(F.col(ZONE) % 2 == 1, F.reverse(ring)).otherwise(ring).alias("ring"))
 
 
+def zones_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones of two far parts: squares on a grid, some too wide, some with a hole, some in the hole or the square before."""
+    key = F.col("c_custkey")
+    placed = F.when((key % 5 == 1) | (key % 13 == 4), key - 1).otherwise(key)
+    inset = F.when(key % 5 == 1, F.when(key % 11 == 3, 1.25).otherwise(1.0)).when(key % 13 == 4, 0.5).otherwise(0.0)
+    side = F.when(key % 5 == 1, F.when(key % 11 == 3, 0.5).otherwise(1.0)).when(key % 13 == 4, 0.25).otherwise(3.0)
+    boxes = table(spark, sf_dir, "customer").select(
+        (key - 800 * (F.floor(key / 800) % 2)).cast("int").alias(ZONE), ((key % 5 == 0) & (key % 13 != 4)).alias("frame"),
+        (placed % 40 * 3 + inset).alias("x"), (F.floor(placed / 40) * 3 + inset).alias("y"),
+        F.when(key % 35 == 7, 3.5).otherwise(side).alias("w"), side.alias("h"),
+    )
+    ring = lambda x, y, w, h: F.array(*[F.struct((x + dx * w).alias("x"), (y + dy * h).alias("y")) for dx, dy in ((0, 0), (1, 0), (1, 1), (0, 1))])
+    outer = boxes.select(ZONE, F.lit(False).alias("hole"), ring(*map(F.col, "xywh")).alias("ring"))
+    inner = ring(F.col("x") + 1, F.col("y") + 1, F.lit(1.0), F.lit(1.0)).alias("ring")
+    return outer.unionByName(boxes.where("frame").select(ZONE, F.lit(True).alias("hole"), inner))
+
+
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The adjacency as the jobs find it: a written table."""
     return stage(zone_adjacency(polygons(spark, sf_dir)), "edges")

@@ -232,6 +232,17 @@ def adjacency(spark: SparkSession, sf: str) -> DataFrame:
     return zone_adjacency(tables.polygons(spark, sf))
 
 
+@query(
+    "zone_adjacency_parts",
+    """SELECT a.zone_id, b.zone_id AS neighbor_id FROM part_pieces a JOIN part_pieces b ON a.zone_id <> b.zone_id
+        AND a.x <= b.x2 AND b.x <= a.x2 AND a.y <= b.y2 AND b.y <= a.y2 GROUP BY ALL
+        HAVING NOT bool_or(a.x < b.x2 AND b.x < a.x2 AND a.y < b.y2 AND b.y < a.y2)""",
+)
+def adjacency_of_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Zones of several parts, with holes, with parts within other zones and in their holes."""
+    return zone_adjacency(tables.zones_of_parts(spark, sf))
+
+
 @query(
     "neighbor_lists",
     """SELECT b.zone_id, coalesce(string_agg(CAST(a.neighbor_id AS VARCHAR), ',' ORDER BY a.neighbor_id), '-1') AS neighbors

@@ -266,11 +266,11 @@ def _spread(edges: DataFrame, size: Column, tolerance: float, crowded: int) -> D
 
 
 def _shapes(rings: DataFrame) -> DataFrame:
-    """Each zone's ``shape``: a hash of its distinct rings, whatever their order and number."""
+    """Each zone's ``shape``, a hash of its distinct rings in whatever order, and their number."""
     hashes = [F.xxhash64(F.lit(seed), "part").cast("decimal(38,0)") for seed in range(2)]
     return (
         rings.select(ZONE, "part").distinct().groupBy(ZONE)
-        .agg(F.concat_ws(" ", F.count(F.lit(1)), *[F.sum(h) for h in hashes]).alias("shape"))
+        .agg(F.concat_ws(" ", F.count(F.lit(1)), *[F.sum(h) for h in hashes]).alias("shape"), F.count(F.lit(1)).alias("parts"))
     )
 
 
@@ -324,14 +324,16 @@ def zone_adjacency(
     rings = polygons.where(F.col("ring").isNotNull()).select(F.col(zone).alias(ZONE), hole.alias("hole"), "ring")
     rings = stage(rings.withColumn("part", F.unhex(F.sha2(F.to_json(F.struct("ring", "hole")), 256))), "rings")
     owners = stage(_shapes(rings), "shapes")
-    one_each = owners.groupBy("shape").agg(F.min(ZONE).alias(ZONE))
+    one_each = owners.groupBy("shape").agg(F.min(ZONE).alias(ZONE), F.any_value("parts").alias("parts"))
     outlines = rings.join(one_each, ZONE).groupBy("shape", "part").agg(
-        F.any_value("ring").alias("ring"), F.any_value("hole").alias("hole")
+        F.any_value("ring").alias("ring"), F.any_value("hole").alias("hole"), F.any_value("parts").alias("parts")
     )
-    edges = stage(polygon_edges(outlines, "shape", "part", snap=tolerance), "edges")
+    edges = stage(polygon_edges(outlines, "shape", "part", "parts", snap=tolerance), "edges")
     extent = F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))
-    typical = edges.agg(F.percentile_approx(extent, 0.5)).scalar()
-    size = F.lit(float(cell_size)) if cell_size else typical
+    typical, parts = edges.agg(F.percentile_approx(extent, 0.5), F.max("parts")).first()
+    if typical is None:
+        return owners.select(ZONE, F.col(ZONE).alias("neighbor_id")).where("false")
+    size, edges = F.lit(float(cell_size or typical)), edges.drop("parts")
 
     placed = _spread(edges, size, tolerance, crowded)
     left, right = placed.alias("l"), placed.alias("r")
@@ -351,9 +353,10 @@ def zone_adjacency(
         .groupBy("one", "two", "one_part", "two_part")
         .agg(F.bool_or(_interiors_overlap()).alias("_overlap"))
     )
-    met = stage(met, "met")
+    met = stage(met, "met") if parts > 1 else met
     touching = met.groupBy("one", "two").agg(F.bool_or("_overlap").alias("_overlap")).where(~F.col("_overlap"))
-    touching = touching.join(_hidden(touching, met, edges), ["one", "two"], "left_anti")
+    if parts > 1:
+        touching = touching.join(_hidden(touching, met, edges), ["one", "two"], "left_anti")
     one = owners.select(F.col(ZONE).alias("_first"), F.col("shape").alias("one"))
     two = owners.select(F.col(ZONE).alias("_second"), F.col("shape").alias("two"))
     pairs = touching.join(one, "one").join(two, "two").where(F.col("_first") != F.col("_second"))
