@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from checks import tables
 from checks.expressions import TARGETS, rounded
 from checks.registry import query
-from zonecast.operators import metrics, ml
+from zonecast.operators import metrics, ml, trees
 from zonecast.operators.lags import lag_features
+from zonecast.operators.ml import load_models, predict
 from zonecast.operators.panel import hourly_targets
 from zonecast.operators.positions import chronological_split
 from zonecast.operators.trips import normalize_feed, union_feeds, valid_trips
@@ -122,6 +123,78 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     return ml.score_gbt(rows.where("split <> 'train'"), models).select("split", ZONE, *TARGETS)
 
 
+def _ensemble(spark: SparkSession) -> DataFrame:
+    """Two trees a target: on the last hour and the clock, and on the day before."""
+    leaf = (None, None, None, None, None)
+    made = [
+        row for k, t in enumerate(TARGETS) for row in (
+            (t, 0, 1.0, 0, 1, 0.5, None, 1, 2, 0.0), (t, 0, 1.0, 1, *leaf, 0.25 + k),
+            (t, 0, 1.0, 2, 0, None, [7.0, 8.0, 17.0, 18.0], 3, 4, 0.0), (t, 0, 1.0, 3, *leaf, 3.0), (t, 0, 1.0, 4, *leaf, 1.5),
+            (t, 1, 0.5, 0, 2, 1.0, None, 1, 2, 0.0), (t, 1, 0.5, 1, *leaf, -0.5), (t, 1, 0.5, 2, *leaf, 1.0 + k),
+        )
+    ]
+    return spark.createDataFrame(made, trees.NODES)
+
+
+_BY_TREES = ", ".join(
+    f"""CASE WHEN {t}_lag_1h <= 0.5 THEN {0.25 + k} WHEN hour(bin) IN (7, 8, 17, 18) THEN 3.0 ELSE 1.5 END
+        + 0.5 * CASE WHEN {t}_lag_24h <= 1 THEN -0.5 ELSE {1.0 + k} END::DOUBLE AS pred_{t}"""
+    for k, t in enumerate(TARGETS)
+)
+
+
+@query("score_trees", f"SELECT bin, zone_id, {_BY_TREES} FROM lagged")
+def by_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored ensemble over the last hour, the clock and the day before of each target."""
+    rows, nodes = lag_features(hourly_targets(tables.trips(spark, sf)), TARGETS), stage(_ensemble(spark), "ensemble")
+    for t in TARGETS:
+        inputs = F.array(F.hour(BIN).cast("double"), *[F.col(f"{t}_lag_{k}h").cast("double") for k in (1, 24)])
+        rows = trees.score_trees(rows, nodes, inputs, (t,))
+    return rows.select(BIN, ZONE, *[f"pred_{t}" for t in TARGETS])
+
+
+_SPLIT_SIZES = """SELECT count_if(rn <= floor(n * 0.7::DOUBLE)) AS n_train,
+        count_if(rn > floor(n * 0.7::DOUBLE) AND rn <= floor(n * 0.85::DOUBLE)) AS n_val
+        FROM (SELECT row_number() OVER (PARTITION BY zone_id ORDER BY bin) AS rn, count(*) OVER (PARTITION BY zone_id) AS n FROM panel)"""
+
+
+@query(
+    "saved_models",
+    f"""SELECT model, CAST(n_train AS BIGINT) AS n_train, CAST(n_val AS BIGINT) AS n_val, TRUE AS beats_lag, TRUE AS equal
+        FROM ({_SPLIT_SIZES}), (VALUES ('gbt'), ('random_forest')) AS names(model)""",
+)
+def saved(spark: SparkSession, sf: str) -> DataFrame:
+    """Both default models fitted, reported, saved and loaded.
+
+    Whether each beats the forecast of the day before on the validation rows, and whether its loaded
+    copy and the table of its nodes forecast what the fitted one did.
+    """
+    folder, panel = new_stage_path(spark, "models"), stage(_features(spark, sf), "panel")
+    models, found = train_and_report(panel, {"gbt": {}, "random_forest": {}}, folder)
+    rows = stage(split_matrix(panel), "matrix")
+    val = rows.where("split = 'val'").withColumn("_row", F.monotonically_increasing_id())
+    val = stage(val, "val")
+    naive = metrics.forecast_metrics(val, PAIRS).where("target = 'overall'").select(F.col("rmse").alias("naive"))
+    results = []
+    for name, fitted in models.items():
+        loaded = load_models(spark, folder, name)
+        own = predict(val, fitted).select("_row", *[F.col(f"pred_{t}").alias(f"own_{t}") for t in TARGETS])
+        again = predict(val, loaded).select("_row", *[f"pred_{t}" for t in TARGETS])
+        stored = trees.predict_by_table(val, loaded[TARGETS[0]].stages[0], trees.tree_nodes(loaded), TARGETS)
+        stored = stored.select("_row", *[F.col(f"pred_{t}").alias(f"stored_{t}") for t in TARGETS])
+        same = [
+            (F.col(f"own_{t}") == F.col(f"pred_{t}")) & (F.abs(F.col(f"own_{t}") - F.col(f"stored_{t}")) < 1e-9) for t in TARGETS
+        ]
+        results.append(own.join(again, "_row").join(stored, "_row").agg(
+            F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_val"), F.bool_and(same[0] & same[1] & same[2]).alias("equal"),
+        ))
+    sizes = rows.agg(F.count_if(F.col("split") == "train").alias("n_train")).scalar()
+    return (
+        results[0].unionByName(results[1]).join(found, "model")
+        .select("model", sizes.alias("n_train"), "n_val", (F.col("rmse") < naive.scalar()).alias("beats_lag"), "equal")
+    )
+
+
 @query("tune_report")
 def tuned(spark: SparkSession, sf: str) -> DataFrame:
     train, val = _split(spark, sf)

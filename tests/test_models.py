@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import model_queries
-from zonecast.operators import ml
+from zonecast.operators import ml, trees
 from zonecast.functions.times import hour_text
 from zonecast.plans.training import search_and_train, train_and_report
 from zonecast.schemas import CATEGORICAL, FEATURES, TARGETS
@@ -49,6 +49,35 @@ def test_training_learns_saves_and_scores(spark, panel, tmp_path):
     assert dict(got.dtypes)["target_green"] == "int"
 
 
+def test_a_table_of_nodes_scores_as_the_fitted_models(panel):
+    for model, params in (("gbt", TREES), ("random_forest", {"numTrees": 5, "maxDepth": 4})):
+        models = ml.train_gbt(panel, params=params, model=model)
+        nodes = trees.tree_nodes(models).cache()
+        assert [name for name, _ in nodes.dtypes] == [part.split()[0] for part in trees.NODES.split(", ")]
+        assert nodes.where("categories is not null").count() + nodes.where("threshold is not null").count() == nodes.where("left is not null").count()
+        wanted = ml.predict(panel, models)
+        got = trees.predict_by_table(panel, models[TARGETS[0]].stages[0], nodes, TARGETS)
+        assert got.columns == wanted.columns
+        keys = ["bin", "zone_id"]
+        both = got.select(*keys, *[F.col(f"pred_{t}").alias(f"own_{t}") for t in TARGETS]).join(wanted, keys)
+        worst = both.agg(*[F.max(F.abs(F.col(f"own_{t}") - F.col(f"pred_{t}"))) for t in TARGETS], F.count(F.lit(1))).first()
+        assert worst[3] == 600 and all(gap < 1e-9 for gap in worst[:3])
+
+
+def test_scoring_by_hand_written_trees(spark):
+    leaf = (None, None, None, None, None)
+    made = [
+        ("y", 0, 1.0, 0, 0, 5.0, None, 1, 2, 0.0), ("y", 0, 1.0, 1, *leaf, 10.0), ("y", 0, 1.0, 2, 1, None, [1.0, 3.0], 3, 4, 0.0),
+        ("y", 0, 1.0, 3, *leaf, 20.0), ("y", 0, 1.0, 4, *leaf, 30.0), ("y", 1, 0.5, 0, *leaf, 2.0),
+    ]
+    nodes = spark.createDataFrame(made, trees.NODES)
+    rows = spark.createDataFrame([(1, [5.0, 9.0]), (2, [6.0, 3.0]), (3, [6.0, 2.0]), (4, [None, None]), (5, None)], "id int, x array<double>")
+    got = {r["id"]: (r["pred_y"], r["pred_z"]) for r in trees.score_trees(rows, nodes, F.col("x"), ("y", "z")).collect()}
+    assert got == {1: (11.0, None), 2: (21.0, None), 3: (31.0, None), 4: (31.0, None), 5: (31.0, None)}
+    plan = trees.score_trees(rows, nodes, F.col("x"), ("y",))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Python" not in plan
+
+
 def test_unseen_zones_can_be_scored(panel):
     models = ml.train_gbt(panel, params=TREES)
     assert ml.predict(panel.withColumn("zone_id", F.lit(99)), models).count() == 600

@@ -280,5 +280,9 @@ def save_models(models: Mapping[str, Mapping[str, PipelineModel]], report: DataF
 
 def load_best(spark, folder: str, targets: Sequence[str] = TARGETS) -> dict[str, PipelineModel]:
     """The saved model with the least RMSE."""
-    name = best_model(spark.read.parquet(f"{folder}/report")).first()["model"]
+    return load_models(spark, folder, best_model(spark.read.parquet(f"{folder}/report")).first()["model"], targets)
+
+
+def load_models(spark, folder: str, name: str, targets: Sequence[str] = TARGETS) -> dict[str, PipelineModel]:
+    """A saved model by its name."""
     return {t: PipelineModel.load(f"{folder}/models/{name}/{t}") for t in targets}
