@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from checks import tables
 from checks.expressions import CITY, NEIGHBOR, TARGETS, lags, rounded
 from checks.registry import query
+from zonecast.functions.times import naive
 from zonecast.operators import panel, trips
 from zonecast.operators.lags import city_demand, lag_features
 from zonecast.operators.profiling import narrow_types, profile_columns
 from zonecast.operators.spatial import load_or_build_adjacency, neighbor_demand, neighbor_lists, zone_adjacency
 from zonecast.plans.features import feature_panel
-from zonecast.schemas import CITY_DEMAND, NEIGHBOR_DEMAND, ZONE
+from zonecast.schemas import BIN, CITY_DEMAND, NEIGHBOR_DEMAND, ZONE
 from zonecast.session import new_stage_path, stage
 from zonecast.sources.feeds import extract_links, scan_feed, select_feed_files
 from zonecast.sources.store import backfill_months
@@ -302,6 +303,16 @@ def lagged_time(spark: SparkSession, sf: str) -> DataFrame:
     return lag_features(dense, TARGETS, mode="time").drop(*TARGETS)
 
 
+@query("feature_panel_in_parts", "SELECT * FROM full_panel")
+def features_in_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The panel built half by half; rows of the first half's last week feed the second half's lags."""
+    trips, weather, edges = tables.trips(spark, sf), tables.hourly_weather(spark, sf), tables.edges(spark, sf)
+    cut = naive("2024-01-16")
+    first = stage(feature_panel(trips.where(F.col(BIN) < cut), weather, edges), "first")
+    known = first.where(F.col(BIN) >= naive("2024-01-09"))
+    return first.unionByName(feature_panel(trips.where(F.col(BIN) >= cut), weather, edges, carry_in=known))
+
+
 @query("feature_panel", "SELECT * FROM full_panel")
 def features(spark: SparkSession, sf: str) -> DataFrame:
     return feature_panel(
