@@ -2,9 +2,15 @@
 
 Two sets this similar share a token among the first of each, whatever order all tokens stand in.
 Candidates are found under the order of rising frequency and must also meet under two more orders;
-what is left is verified on the whole sets. Documents with one set are one node from the start, and
-copies of a copy are joined through the least edited document of a token's list, so that no list is
-ever turned into all of its pairs: only lists that still hold several components are compared within.
+what is left is verified on the whole sets. Documents with one set are one node from the start.
+
+Frequencies come from an exchange: blocks of sets send their tokens to the owners of token ranges,
+which answer with the frequency of those that several sets hold. A token of one set only stands
+before all others in every order and needs no list.
+
+Copies of a copy are joined through the least edited document of a token's list: first through one
+hub each, then through the others that are still in another component. Only lists that hold several
+components after that are compared within, and only pairs that every order lets through are made.
 """
 
 from __future__ import annotations
@@ -12,20 +18,25 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from zonecast.llm.common import Remembered, list_array, map_batches, picked, slices, staged, unused
 from zonecast.session import small
 
 SHINGLE = 5
 PERCENT = 80
-COUNTER_BITS = 18
-HOT_FACTOR = 8  # times the mean from which a counter's tokens are dealt into several lists
+BLOCK_TOKENS = 1 << 19
+OWNER_CHARS = 1 << 23  # characters of text whose tokens one owner counts, on average
+LEAST_OWNER_BITS = 6
+STEPS = 8  # of frequency in each doubling
 CACHED_WORDS = 100_000
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -66,8 +77,13 @@ def _name(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
-def _slots(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+def _packed(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit integers by the place of their bytes, as those of small ones compress then."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
 def _needed(size, percent: int):
@@ -80,73 +96,133 @@ def _watched(size, percent: int):
     return size - _needed(size, percent) + 1
 
 
-def _summaries(width: int):
-    """Per text: the name and size of its set. Per task: how many sets hold tokens of each counter."""
+SENT = "node long, n int, block long, owner int, low binary, counts binary, nodes binary, sizes binary, positions binary, starts binary"
+
+
+def _block(block: int, nodes: list[int], sets: list[np.ndarray], owner_bits: int) -> list[dict]:
+    """The rows of a block: its sets as places among its distinct tokens, and these for every owner.
+
+    Tokens go by the bits that name their owner and 32 more. Counts of a block stop at 255.
+    """
+    tokens = np.concatenate(sets) >> np.uint64(32 - owner_bits)
+    distinct, places, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+    owners = (distinct >> np.uint64(32)).astype(np.int64)
+    starts = np.searchsorted(owners, np.arange((1 << owner_bits) + 1))
+    sizes = np.array([len(tokens) for tokens in sets])
+    first = np.cumsum(sizes) - sizes
+    steps = np.diff(places, prepend=0)
+    steps[first] = places[first]
+    rows = [{
+        "block": block, "owner": -1, "nodes": np.array(nodes, np.int64).tobytes(), "sizes": _packed(sizes),
+        "positions": _packed(steps), "starts": _packed(starts),
+    }]
+    counts = np.minimum(counts, 255).astype(np.uint8)
+    for owner in np.flatnonzero(np.diff(starts)).tolist():
+        low, high = starts[owner], starts[owner + 1]
+        values = np.diff(distinct[low:high] & np.uint64(0xFFFFFFFF), prepend=np.uint64(0))
+        rows.append({"block": block, "owner": owner, "low": _packed(values), "counts": counts[low:high].tobytes()})
+    return rows
+
+
+def _senders(width: int, owner_bits: int, schema: pa.Schema):
+    """Per text: the name and size of its set. Per block of sets new to the task: the rows of the block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, id_type = np.zeros(1 << COUNTER_BITS, np.int64), pa.int64()
-        names = ["id", "node", "n", "slot", "many"]
+        block, seen, nodes, held = TaskContext.get().partitionId() << 16, set(), [], []
         for batch in slices(batches):
-            id_type = batch.schema.field(0).type
             sets = [shingle_set(text, width) for text in batch.column(1).to_pylist()]
-            tokens = np.concatenate([*sets, np.zeros(0, np.uint64)])
-            counts += np.bincount(_slots(tokens), minlength=len(counts))
-            none = pa.nulls(len(sets), pa.int64())
-            columns = [batch.column(0), pa.array(map(_name, sets), pa.int64()), pa.array(map(len, sets), pa.int64()), none, none]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-        used = np.flatnonzero(counts)
-        none = pa.nulls(len(used), pa.int64())
-        columns = [pa.nulls(len(used), id_type), none, none, pa.array(used), pa.array(counts[used])]
-        yield from pa.table(columns, names=names).to_batches(max_chunksize=20_000)
+            names = [_name(tokens) for tokens in sets]
+            blank = [pa.nulls(len(sets), field.type) for field in list(schema)[3:]]
+            own = [batch.column(0), pa.array(names, pa.int64()), pa.array(map(len, sets), pa.int32())]
+            yield pa.RecordBatch.from_arrays([*own, *blank], schema=schema)
+            for node, tokens in zip(names, sets, strict=True):
+                if len(tokens) and node not in seen:
+                    seen.add(node)
+                    nodes.append(node)
+                    held.append(tokens)
+            if sum(map(len, held)) >= BLOCK_TOKENS:
+                yield pa.RecordBatch.from_pylist(_block(block, nodes, held, owner_bits), schema)
+                block, nodes, held = block + 1, [], []
+        if held:
+            yield pa.RecordBatch.from_pylist(_block(block, nodes, held, owner_bits), schema)
 
     return run
 
 
-def _prefixes(width: int, percent: int, shared):
-    """The first tokens of every set by rising frequency, and, once per set, those under other orders.
+def _frequencies(blobs: pd.DataFrame) -> pd.DataFrame:
+    """One owner: for each block, those of its tokens that several sets hold, with their frequency's rank."""
+    lists = [np.cumsum(_unpacked(blob), dtype=np.uint32) for blob in blobs["low"]]
+    counts = np.frombuffer(b"".join(blobs["counts"]), np.uint8)
+    _, at = np.unique(np.concatenate(lists), return_inverse=True)
+    many = np.bincount(at, weights=counts)
+    rank = np.where(many > 1, np.minimum(255, np.floor(STEPS * np.log2(many))), 0).astype(np.uint8)[at]
+    answers, start = [], 0
+    for block, owner, low in zip(blobs["block"], blobs["owner"], lists, strict=True):
+        own = rank[start : start + len(low)]
+        start += len(low)
+        shared = np.flatnonzero(own)
+        if len(shared):
+            answers.append((block, owner, _packed(low[shared]), own[shared].tobytes(), _packed(shared)))
+    return pd.DataFrame(answers, columns=["block", "owner", "low", "counts", "positions"])
 
-    Tokens of overfull counters are dealt by node into ``salt`` lists; others have salt -1.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = shared.value, set()
-        lists_of = counts // (HOT_FACTOR * max(1, int(counts.mean())))
-        names = ["token", "node", "n", "place", "salt", "row", "first_1", "first_2"]
-        none, row = pa.list_(pa.int32()), TaskContext.get().partitionId() << 33
-        for batch in slices(batches):
-            columns, nodes, sizes, firsts = [[] for _ in range(5)], [], [], [[] for _ in ORDERS]
-            for text in batch.column(0).to_pylist():
-                tokens = shingle_set(text, width)
-                n, node = len(tokens), _name(tokens)
-                if not n or node in seen:
-                    continue
-                seen.add(node)
-                nodes.append(node)
-                sizes.append(n)
-                for factor, held in zip(ORDERS, firsts, strict=True):
-                    ranked, most = _mixed(tokens, factor), _watched(n, percent)
-                    ranked = np.partition(ranked, most - 1)[:most] if most < n else ranked
-                    held.append(np.unique(ranked.astype(np.uint32)).view(np.int32))
-                most = _watched(n, percent)
-                slots = _slots(tokens)
-                order = np.lexsort((tokens, counts[slots]))[:most]
-                parts = lists_of[slots[order]]
-                salt = np.where(parts > 1, node % np.maximum(parts, 1), -1)
-                values = tokens[order].view(np.int64), np.full(most, node), np.full(most, n), np.arange(most), salt
-                for column, part in zip(columns, values, strict=True):
-                    column.append(part)
-            if not nodes:
+PREFIX = (
+    "token long, node long, n int, place int, row long, "
+    "first_1 array<int>, first_2 array<int>, hidden_1 int, hidden_2 int"
+)
+
+
+def _prefixes(percent: int):
+    """One block: the first tokens of every set by rising frequency, and those under other orders.
+
+    Tokens of one set only come first in all orders; only those after them are given. ``hidden``
+    counts what has become one token by its bits.
+    """
+    columns = [part.split()[0] for part in PREFIX.split(", ")]
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        own = rows["owner"] == -1
+        head, answers = rows[own].iloc[0], rows[~own]
+        block, starts, sizes = int(head["block"]), _unpacked(head["starts"]).astype(np.int64), _unpacked(head["sizes"]).astype(np.int64)
+        nodes = np.frombuffer(head["nodes"], np.int64)
+        rank, token = np.zeros(starts[-1], np.uint8), np.zeros(starts[-1], np.uint64)
+        for owner, low, ranks, at in zip(answers["owner"], answers["low"], answers["counts"], answers["positions"], strict=True):
+            at = starts[owner] + _unpacked(at).astype(np.int64)
+            rank[at] = np.frombuffer(ranks, np.uint8)
+            token[at] = np.uint64(owner << 32) | _unpacked(low).astype(np.uint64)
+        steps = _unpacked(head["positions"]).astype(np.int64)
+        ends = np.cumsum(sizes)
+        first = ends - sizes
+        positions = np.cumsum(steps)
+        positions -= np.repeat(positions[first] - steps[first], sizes)
+        alone = sizes - np.add.reduceat((rank[positions] > 0).astype(np.int64), first)
+        room = _watched(sizes, percent) - alone
+        found, lists = [], []
+        for k in np.flatnonzero(room > 0).tolist():
+            held, n, node, most = positions[first[k] : ends[k]], int(sizes[k]), int(nodes[k]), int(room[k])
+            held = held[rank[held] > 0]
+            if not len(held):
                 continue
-            kinds = ("i8", "i8", "i4", "i4", "i4")
-            arrays = [pa.array(np.concatenate(column).astype(kind)) for column, kind in zip(columns, kinds, strict=True)]
-            blank = [pa.nulls(len(arrays[0]), kind) for kind in (pa.int64(), none, none)]
-            yield pa.RecordBatch.from_arrays([*arrays, *blank], names=names)
-            blank = pa.nulls(len(nodes), pa.int64()), pa.nulls(len(nodes), pa.int32())
-            lists = [list_array(np.cumsum([0, *map(len, held)]), pa.array(np.concatenate(held))) for held in firsts]
-            numbers = pa.array(np.arange(row, row + len(nodes)))
-            row += len(nodes)
-            own = [blank[0], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), blank[1], blank[1], numbers, *lists]
-            yield pa.RecordBatch.from_arrays(own, names=names)
+            tokens = token[held]
+            order = np.lexsort((tokens, rank[held]))[:most]
+            found.append((tokens[order], node, n, np.arange(alone[k], alone[k] + len(order))))
+            watched = []
+            for factor in ORDERS:
+                ranked = np.sort(_mixed(tokens, factor))[:most]
+                watched.append(np.unique(ranked.astype(np.uint32)).view(np.int32))
+            hidden = [min(most, len(tokens)) - len(kept) for kept in watched]
+            lists.append((None, node, n, None, (block << 20) + k, *watched, *hidden))
+        if not found:
+            return pd.DataFrame(columns=columns)
+        many = [len(tokens) for tokens, *_ in found]
+        prefix = pd.DataFrame({
+            "token": np.concatenate([tokens for tokens, *_ in found]).view(np.int64),
+            "node": np.repeat([node for _, node, _, _ in found], many), "n": np.repeat([n for _, _, n, _ in found], many),
+            "place": np.concatenate([places for *_, places in found]),
+        })
+        both = [frame.reindex(columns=columns).astype(object) for frame in (prefix, pd.DataFrame(lists, columns=columns))]
+        both = pd.concat(both)
+        return both.where(both.notna(), None)
 
     return run
 
@@ -180,25 +256,31 @@ def _sides(pairs: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
     return pairs
 
 
-def _met(pairs: DataFrame, watched: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that lengths and every further order let through, with ``together``.
+WATCHED = ("n", "first_1", "first_2", "hidden_1", "hidden_2")
+
+
+def _pass(percent: int) -> Column:
+    """Whether lengths and every further order let a pair through, whose columns end in _a and _b.
 
     Of the common tokens of two sets at most as many as either leaves out can lie beyond the watched
     ones; the rest, at least one, must be shared among these. What a shortened token may hide is
     allowed for.
     """
-    both = _sides(pairs, watched, "n", "first_1", "first_2")
-    together = F.col("n_a") + F.col("n_b")
-    least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    n_a, n_b = F.col("n_a"), F.col("n_b")
     watch = lambda n: n - F.ceil(n * percent / 100) + 1
-    common = F.ceil(together * percent / (100 + percent) - 1e-9)
-    beyond = F.greatest(F.col("n_a") - watch(F.col("n_a")), F.col("n_b") - watch(F.col("n_b")))
-    passed = 100 * least >= percent * most
-    for name in ("first_1", "first_2"):
-        a, b = F.col(f"{name}_a"), F.col(f"{name}_b")
-        hidden = F.least(F.col("n_a"), watch(F.col("n_a"))) - F.size(a) + F.least(F.col("n_b"), watch(F.col("n_b"))) - F.size(b)
-        passed = passed & (F.size(F.array_intersect(a, b)) + hidden >= common - beyond)
-    return both.where(passed).select("a", "b", together.alias("together"))
+    common = F.ceil((n_a + n_b) * percent / (100 + percent) - 1e-9)
+    beyond = F.greatest(n_a - watch(n_a), n_b - watch(n_b))
+    passed = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    for k in (1, 2):
+        shared = F.size(F.array_intersect(f"first_{k}_a", f"first_{k}_b")) + F.col(f"hidden_{k}_a") + F.col(f"hidden_{k}_b")
+        passed = passed & (shared >= F.greatest(F.lit(1), common - beyond))
+    return passed
+
+
+def _met(pairs: DataFrame, watched: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that lengths and every further order let through, with ``together``."""
+    both = _sides(pairs, watched, *WATCHED)
+    return both.where(_pass(percent)).select("a", "b", (F.col("n_a") + F.col("n_b")).alias("together"))
 
 
 def _verified(pairs: DataFrame, watched: DataFrame, texts_of, width: int, percent: int, label: str) -> DataFrame:
@@ -235,6 +317,13 @@ def components(edges: DataFrame) -> DataFrame:
         edges = staged(below.unionByName(least.withColumnRenamed("least", "b")).distinct(), "edges")
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are not in one component of ``labels`` (node, label) yet."""
+    for side in ("a", "b"):
+        pairs = pairs.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}")), side, "left")
+    return pairs.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+
+
 def _may_overlap(place_a: Column, place_b: Column, n_a: Column, n_b: Column, percent: int) -> Column:
     """Whether sets that share a token at these places can still share enough tokens."""
     most = F.least(place_a, place_b) + 1 + F.least(n_a - place_a, n_b - place_b) - 1
@@ -248,60 +337,61 @@ def _members(
 
     The first has the least id, of these the least node; null ids come last.
     """
-    spark = df.sparkSession
     rows = picked(df, id=id, text=text)
-    id_type = rows.schema["id"].dataType.simpleString()
-    summary = staged(
-        map_batches(rows, _summaries(width), f"id {id_type}, node long, n long, slot long, many long"), "summary"
+    chars = rows.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    owner_bits = max(LEAST_OWNER_BITS, int(np.ceil(np.log2(max(1, chars / OWNER_CHARS)))))
+    schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL(SENT)])
+    sent = staged(map_batches(rows, _senders(width, owner_bits, to_arrow_schema(schema)), schema), "sets")
+    nodes = sent.where("block is null").select("id", "node", "n")
+    parts = sent.where("block is not null")
+    of_block = "block long, owner int, low binary, counts binary, positions binary"
+    answers = parts.where("owner >= 0").select("block", "owner", "low", "counts").groupBy("owner").applyInPandas(_frequencies, of_block)
+    blocks = parts.where("owner = -1").select("block", "owner", "positions", "nodes", "sizes", "starts")
+    blocks = blocks.unionByName(answers, allowMissingColumns=True)
+    first = staged(blocks.groupBy("block").applyInPandas(_prefixes(percent), PREFIX), "prefixes")
+    watched = staged(_one_per_node(first.where("token is null").select("row", "node", *WATCHED)), "watched")
+
+    lists = first.where("token is not null").select("token", "node", "n", "place")
+    hubs = lists.groupBy("token").agg(
+        F.min(F.struct("place", "node")).alias("hub"), F.min("node").alias("low"), F.max("node").alias("high")
     )
-    counts = np.zeros(1 << COUNTER_BITS, np.int64)
-    for row in summary.where("slot is not null").groupBy("slot").agg(F.sum("many").alias("many")).collect():
-        counts[row["slot"]] = row["many"]
-    nodes = summary.where("slot is null").select("id", "node", "n")
-    shared = spark.sparkContext.broadcast(counts)
-    schema = "token long, node long, n int, place int, salt int, row long, first_1 array<int>, first_2 array<int>"
-    first = staged(map_batches(rows.select("text"), _prefixes(width, percent, shared), schema), "prefixes")
-    watched = _one_per_node(first.where("token is null").select("row", "node", "n", "first_1", "first_2"))
-
-    whole = Window.partitionBy("token", "salt").orderBy("place", "node").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    lists = first.where("token is not null").select("token", "node", "n", "place", "salt").withColumns(
-        {
-            "hub": F.first("node").over(whole), "hub_place": F.first("place").over(whole),
-            "low": F.min("node").over(whole), "high": F.max("node").over(whole),
-        }
-    )
-    lists = staged(lists.where("low < high or salt >= 0").drop("low", "high"), "lists")
+    hubs = hubs.where("low < high").select("token", F.col("hub.node").alias("hub"), F.col("hub.place").alias("hub_place"))
+    lists = staged(lists.join(hubs, "token"), "lists")
     near_hub = F.col("place") - F.col("hub_place") <= F.col("n") - F.ceil(F.col("n") * percent / 100)
-    hot = lists.where("salt >= 0").groupBy("token", "hub").agg(F.min("hub_place").alias("place"))
-    first_hub = hot.groupBy("token").agg(F.min_by("hub", F.struct("place", "hub")).alias("first_hub"))
-    pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-    to_hub = (
-        lists.where((F.col("node") != F.col("hub")) & near_hub).select(*pair("node", "hub"))
-        .unionByName(hot.join(first_hub, "token").where("hub <> first_hub").select(*pair("hub", "first_hub")))
-    )
-    to_hub = staged(to_hub.distinct(), "hub-pairs")
+    near = lists.where((F.col("node") != F.col("hub")) & near_hub)
+    pair = [F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")]
+    # A node's first hub alone: copies of one text meet there, and their other hubs need no look.
+    one_hub = near.groupBy("node").agg(F.min(F.struct("hub_place", "hub")).alias("first")).select("node", "first.hub")
+    one_hub = staged(one_hub.select(*pair).distinct(), "first-hubs")
     least = staged(nodes.where("n > 0").groupBy("node").agg(F.min("id").alias("id")), "nodes")
 
     def texts_of(wanted: DataFrame) -> DataFrame:
         ids = small(wanted.join(least, "node").select(F.col("id").alias("_id")).distinct(), "member-ids")
         return rows.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi").select("text")
 
-    links = staged(_verified(to_hub, watched, texts_of, width, percent, "hub"), "hub-links")
+    links = staged(_verified(one_hub, watched, texts_of, width, percent, "hub"), "hub-links")
+    labels = staged(components(links), "labels")
+    others = _apart(near.select(*pair).distinct(), labels).join(one_hub, ["a", "b"], "left_anti")
+    others = staged(others, "other-hubs")
+    links = links.unionByName(staged(_verified(others, watched, texts_of, width, percent, "other"), "other-links"))
     labels = staged(components(links), "labels")
-    labelled = lists.select("token", "node", "n", "place").join(labels, "node", "left").withColumn(
+    labelled = lists.select("token", "node", "place").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
     labelled = staged(labelled, "labelled-lists")
     mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_lists = staged(labelled.join(mixed.select("token"), "token", "left_semi").distinct(), "open-lists")
+    open_lists = labelled.join(mixed.select("token"), "token", "left_semi").distinct()
+    # Rows carry what they watch under the further orders, so that these cut pairs before they are made.
+    open_lists = staged(open_lists.join(watched.select("node", *WATCHED), "node"), "open-lists")
     a, b = (
-        open_lists.select("token", *[F.col(name).alias(f"{name}_{side}") for name in ("node", "n", "place", "label")])
+        open_lists.select("token", *[F.col(name).alias(f"{name}_{side}") for name in ("node", "place", "label", *WATCHED)])
         for side in "ab"
     )
-    can = _may_overlap(F.col("place_a"), F.col("place_b"), F.col("n_a"), F.col("n_b"), percent)
-    across = a.join(b, "token").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & can)
+    can = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
+    can = can & _may_overlap(F.col("place_a"), F.col("place_b"), F.col("n_a"), F.col("n_b"), percent)
+    across = a.join(b.withColumnRenamed("token", "token_b"), (F.col("token") == F.col("token_b")) & can & _pass(percent))
     across = across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    across = staged(across.join(to_hub, ["a", "b"], "left_anti"), "open-pairs")
+    across = staged(across.join(one_hub.unionByName(others), ["a", "b"], "left_anti"), "open-pairs")
     links = links.unionByName(_verified(across, watched, texts_of, width, percent, "open"))
 
     labels = components(links)
@@ -322,8 +412,8 @@ def jaccard_components(df: DataFrame, id: str = "doc_id", text: str = "text", **
     their sets' intersection is at least ``percent`` % of their union, so rows repeated with text or
     id are one component. Null ids are never the least. An empty table gives no rows.
 
-    Sets go by 64 bits of a hash, as their shingles do. The counters behind the frequency order are
-    a fixed number over all sets; they decide the order only, never which pairs are found.
+    Sets go by 64 bits of a hash, as their shingles do. Frequencies count tokens by fewer bits, 32 in
+    each owner's range; two tokens taken for one share a list and its frequency, and no pair is lost.
     """
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     found = _members(df, id, text, **options)
