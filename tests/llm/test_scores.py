@@ -122,6 +122,51 @@ def test_restored_words(spark):
     assert toxicity.words_in("naïve", chances) == ["naïve"]
 
 
+def readings(observed, chances):
+    """Every reading of a lattice with its best score, by all choices at every sign."""
+    best = {}
+
+    def go(i, word, score):
+        if i == len(observed):
+            codes = [26, 26, *(ord(c) - 97 for c in word), 26]
+            total = score + sum(chances[a, b, c] for a, b, c in zip(codes, codes[1:], codes[2:], strict=False))
+            best[word] = max(best.get(word, -math.inf), total)
+            return
+        sign = observed[i]
+        if "a" <= sign <= "z":
+            go(i + 1, word + sign, score)
+            if i and observed[i - 1] == sign:
+                go(i + 1, word, score + toxicity.SHORTEN)
+        else:
+            for letter in toxicity.LEET.get(sign, ""):
+                go(i + 1, word + letter, score + toxicity.SWAP)
+            go(i + 1, word, score + toxicity.DROP)
+
+    go(0, "", 0.0)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_restored_is_the_best_of_all_readings(seed):
+    draw, pick = np.random.default_rng(seed), random.Random(seed)
+    chances = np.log(draw.dirichlet(np.ones(27), size=(27, 27)))
+    for _ in range(60):
+        observed = "".join(pick.choice(["a", "b", "s", "1", "6", "@", "$", ".", "|"]) for _ in range(pick.randrange(1, 9)))
+        best = readings(observed + observed[-1], chances)
+        assert best[toxicity.restored(observed + observed[-1], chances)] == pytest.approx(max(best.values()))
+    assert len(toxicity.restored("ab1" * 30_000, chances)) >= 60_000
+
+
+def test_fitting_takes_long_words():
+    pieces = language.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    lattice = language.Lattice(pieces)
+    even = np.full(len(pieces) + 1, 1 / len(pieces))
+    word = "".join(random.Random(1).choices("aeinrst", k=20_000))
+    counts = language.expected_counts([word], np.ones((1, 1)), lattice, even)
+    lengths = np.array([*map(len, pieces), 1])
+    assert (counts[:, 0] * lengths).sum() == pytest.approx(len(word) + 1)
+
+
 def test_toxic_documents(spark):
     draw = random.Random(4)
     words = ["river", "house", "green", "walks", "small", "table", "window", "paper"]

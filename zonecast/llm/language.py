@@ -100,7 +100,9 @@ def expected_counts(words: list[str], weights: np.ndarray, lattice: Lattice, cha
         spans, (n, length) = lattice.spans(codes), codes.shape
         ahead, scale = np.zeros((length + 1, n)), np.ones((length + 1, n))
         ahead[0] = 1
-        into = {end: [s for s in spans if s[1] == end] for end in range(1, length + 1)}
+        into: list[list[tuple[int, int]]] = [[] for _ in range(length + 1)]
+        for span in spans:
+            into[span[1]].append(span)
         for end in range(1, length + 1):
             for start, _ in into[end]:
                 at, piece = spans[start, end]
@@ -176,7 +178,9 @@ def fit_languages(
 ) -> LanguageModel:
     """Piece probabilities per language from all rows of ``df`` with a language.
 
-    Words are counted in every task and summed per word, so copies and frequent words are settled
+    Null and empty texts have no words but count for their language's share; an empty table, or one
+    without languages, gives a model that knows none. Repeated rows count each time. A word of any
+    length takes time in proportion to it. Words are counted in every task and summed per word, so copies and frequent words are settled
     before the shuffle. What comes to the driver is one number per piece and language.
     """
     spark = df.sparkSession

@@ -71,8 +71,10 @@ def restored(observed: str, chances: np.ndarray) -> str:
     """The likeliest word behind ``observed``, lower case, by the Viterbi algorithm.
 
     States are the last two letters read. ``chances``: log probability of a letter after two others.
+    A state points back to the one it came from, so the time is in proportion to the length. Of
+    equally likely ways into a state the first stays.
     """
-    states = {(EDGE, EDGE): (0.0, "")}
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(EDGE, EDGE): (0.0, None)}
     for i, sign in enumerate(observed):
         options = []
         if "a" <= sign <= "z":
@@ -82,17 +84,19 @@ def restored(observed: str, chances: np.ndarray) -> str:
         else:
             options += [(ord(letter) - 97, SWAP) for letter in LEET.get(sign, "")]
             options.append((None, DROP))
-        reached: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, word) in states.items():
+        reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (score, way) in states.items():
             for letter, cost in options:
-                if letter is None:
-                    key, new = (a, b), (score + cost, word)
-                else:
-                    key, new = (b, letter), (score + cost + chances[a, b, letter], word + chr(97 + letter))
-                if key not in reached or reached[key] < new:
-                    reached[key] = new
+                key, total = ((a, b), score + cost) if letter is None else ((b, letter), score + cost + chances[a, b, letter])
+                if key not in reached or reached[key][0] < total:
+                    reached[key] = total, way if letter is None else (way, letter)
         states = reached
-    return max((score + chances[a, b, EDGE], word) for (a, b), (score, word) in states.items())[1]
+    way = max(((score + chances[a, b, EDGE], way) for (a, b), (score, way) in states.items()), key=lambda end: end[0])[1]
+    letters = []
+    while way is not None:
+        way, letter = way
+        letters.append(chr(97 + letter))
+    return "".join(reversed(letters))
 
 
 def words_in(chunk: str, chances: np.ndarray) -> list[str]:
@@ -201,7 +205,7 @@ def _logistic(inputs: np.ndarray, labels: np.ndarray, penalty: float = 1.0) -> n
     return weights
 
 
-def _lexicon(cases: DataFrame, chances: np.ndarray) -> dict[str, tuple[float, float]]:
+def _lexicon(cases: DataFrame, chances: np.ndarray, most: int) -> dict[str, tuple[float, float]]:
     """Marks that toxic texts use more than others, with their gain and weight (log ratio of rates)."""
     shared = cases.sparkSession.sparkContext.broadcast(chances)
 
@@ -230,20 +234,21 @@ def _lexicon(cases: DataFrame, chances: np.ndarray) -> dict[str, tuple[float, fl
     ratio = F.log((F.col("used") + 0.5) / (F.col("clean") + 0.5)) + math.log((whole["clean"] + 1) / (whole["used"] + 1))
     best = (
         sums.where((F.col("mark") != "") & (F.col("texts") >= LEAST_TEXTS)).withColumn("weight", ratio).where("weight > 2")
-        .withColumn("gain", F.col("texts") * F.col("weight")).orderBy(F.desc("gain"), "mark").limit(LEXICON).collect()
+        .withColumn("gain", F.col("texts") * F.col("weight")).orderBy(F.desc("gain"), "mark").limit(most).collect()
     )
     return {row["mark"]: (row["gain"], row["weight"]) for row in best}
 
 
 def fit_toxicity(
-    df: DataFrame, labels: DataFrame, learn: Column, id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE, at: float = 0.7
+    df: DataFrame, labels: DataFrame, learn: Column, id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE, at: float = 0.7,
+    lexicon: int = LEXICON,
 ) -> ToxicityModel:
     """Learn from the texts of ``df`` and at most ``sample`` of the ``labels`` whose id meets ``learn``.
 
     The character model reads all texts. Of labelled ids those first by a hash are taken, so the
     choice is the same however the table is stored; of repeated ids the greatest label counts. The
     final weights are learned on each half of them with a lexicon of the other half, the lexicon in
-    use on all. The score ``at`` is put where calling a text toxic from there on gives the best F1.
+    use on all; it holds the ``lexicon`` marks of greatest gain. The score ``at`` is put where calling a text toxic from there on gives the best F1.
     Without labels every score is 0.5.
     """
     model = ToxicityModel(character_chances(df, text))
@@ -254,9 +259,9 @@ def fit_toxicity(
     cases = staged(picked(df, id=id, text=text).join(F.broadcast(chosen), "id"), "labelled")
     found = []
     for half in (F.col("half"), ~F.col("half")):
-        partial = ToxicityModel(model.chances, _lexicon(cases.where(half), model.chances))
+        partial = ToxicityModel(model.chances, _lexicon(cases.where(half), model.chances, lexicon))
         found += _inputs(cases.where(~half), partial)
-    model.lexicon = _lexicon(cases, model.chances)
+    model.lexicon = _lexicon(cases, model.chances, lexicon)
     if found:
         inputs, toxic = np.array([row["inputs"] for row in found]), np.array([row["toxic"] for row in found], float)
         model.final = _logistic(inputs, toxic)
@@ -292,7 +297,7 @@ def with_toxicity(df: DataFrame, model: ToxicityModel, score: str = "score", tex
     """``df`` with a column ``score`` from 0 to 1.
 
     A null text scores as an empty one. Rows are independent: repeated rows and ids, null ids, other
-    columns and the length of a text change nothing.
+    columns and the length of a text change nothing; an empty table gives no rows.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
