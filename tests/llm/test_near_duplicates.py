@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from zonecast.llm import near_duplicates
 from zonecast.llm.near_duplicates import components, jaccard_components, one_per_component
 
 
@@ -107,3 +108,20 @@ def test_star_rounds(spark):
     labels = dict(map(tuple, components(df).collect()))
     assert {labels[i] for i in range(31)} == {0} and {labels[i] for i in range(100, 160)} == {100}
     assert 7 in labels and len(labels) == 91
+
+
+@pytest.mark.parametrize("carried", [0, 60, 2048])
+def test_copies_of_one_text_that_do_not_link_to_it(spark, monkeypatch, carried):
+    """Edits near the limit: members of one list in many components, with and without arrays in its rows."""
+    monkeypatch.setattr(near_duplicates, "CARRIED", carried)
+    draw, rows = random.Random(7), []
+    for size in (40, 90):
+        base = [f"b{size}_{i}" for i in range(size)]
+        for k in range(110):
+            own = list(base)
+            for _ in range(draw.choice([0, 1, size // 50 + 1, size // 40 + 1, size // 25, size // 20])):
+                own[draw.randrange(size)] = f"x{draw.randrange(40)}"
+            rows.append((1000 * size + k, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = Counter(tuple(r) for r in jaccard_components(df).collect())
+    assert got == brute(rows) and len({component for *_, component in got}) > 10

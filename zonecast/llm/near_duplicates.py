@@ -10,7 +10,8 @@ before all others in every order and needs no list.
 
 Copies of a copy are joined through the least edited document of a token's list: first through one
 hub each, then through the others that are still in another component. Only lists that hold several
-components after that are compared within, and only pairs that every order lets through are made.
+components after that are compared within, the most frequent component with the others alone, and
+only pairs that every order lets through are made, each under the first token that both share.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ OWNER_CHARS = 1 << 23  # characters of text whose tokens one owner counts, on av
 LEAST_OWNER_BITS = 6
 STEPS = 8  # of frequency in each doubling
 CACHED_WORDS = 100_000
+CARRIED = 2048  # tokens of a set whose lists' rows carry arrays; longer sets' pairs are cut after the join
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 STEP = np.uint64(0x9E3779B97F4A7C15)
 ORDERS = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
@@ -330,6 +332,48 @@ def _may_overlap(place_a: Column, place_b: Column, n_a: Column, n_b: Column, per
     return most * (100 + percent) >= percent * (n_a + n_b)
 
 
+def _open_rows(labelled: DataFrame, watched: DataFrame) -> DataFrame:
+    """The rows of lists that hold several components, with what cuts their pairs within a join.
+
+    ``main`` is the list's most frequent component, ``before`` the node's tokens in open lists that
+    come before this one. Sets of more than ``CARRIED`` tokens have null in place of arrays.
+    """
+    mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    opened = staged(labelled.join(mixed.select("token"), "token", "left_semi").distinct(), "open-lists")
+    main = opened.groupBy("token", "label").agg(F.count(F.lit(1)).alias("many"))
+    main = main.groupBy("token").agg(F.max_by("label", F.struct("many", "label")).alias("main"))
+    few = F.col("n") <= CARRIED
+    carried = watched.select("node", "n", *[F.when(few, F.col(name)).alias(name) for name in WATCHED[1:]])
+    held = opened.join(watched.where(few).select("node"), "node", "left_semi").groupBy("node").agg(
+        F.collect_list(F.struct("place", "token")).alias("held")
+    )
+    before = F.transform(F.filter("held", lambda x: x["place"] < F.col("place")), lambda x: x["token"])
+    rows = opened.join(carried, "node").join(held, "node", "left").join(main, "token")
+    return staged(rows.select("token", "node", "place", "label", "main", *WATCHED, before.alias("before")), "open-rows")
+
+
+def _across(labelled: DataFrame, watched: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that share a prefix token and pass every order.
+
+    In a list, rows of its most frequent component meet the others only. A pair is made where it
+    meets first, so what either set holds from there on bounds what they share. Pairs with a set too
+    long to carry its arrays are made under every token and left to the filters that follow.
+    """
+    rows = _open_rows(labelled, watched)
+    columns = ("node", "place", "label", "before", *WATCHED)
+    a, b = (rows.select("token", "main", *[F.col(name).alias(f"{name}_{side}") for name in columns]) for side in "ab")
+    a = a.where(F.col("label_a") != F.col("main")).drop("main")
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    once = (F.col("label_b") == F.col("main")) | (F.col("node_a") < F.col("node_b"))
+    can = (F.col("label_a") != F.col("label_b")) & once & _may_overlap(F.col("place_a"), F.col("place_b"), n_a, n_b, percent)
+    rest = F.least(n_a - F.col("place_a"), n_b - F.col("place_b"))
+    meets_first = (rest * (100 + percent) >= percent * (n_a + n_b)) & ~F.arrays_overlap("before_a", "before_b")
+    carried = F.col("before_a").isNotNull() & F.col("before_b").isNotNull()
+    can = can & (~carried | (meets_first & _pass(percent)))
+    across = a.join(b.withColumnRenamed("token", "token_b"), (F.col("token") == F.col("token_b")) & can)
+    return across.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
 def _members(
     df: DataFrame, id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
@@ -379,18 +423,7 @@ def _members(
         "label", F.coalesce("label", "node")
     )
     labelled = staged(labelled, "labelled-lists")
-    mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_lists = labelled.join(mixed.select("token"), "token", "left_semi").distinct()
-    # Rows carry what they watch under the further orders, so that these cut pairs before they are made.
-    open_lists = staged(open_lists.join(watched.select("node", *WATCHED), "node"), "open-lists")
-    a, b = (
-        open_lists.select("token", *[F.col(name).alias(f"{name}_{side}") for name in ("node", "place", "label", *WATCHED)])
-        for side in "ab"
-    )
-    can = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
-    can = can & _may_overlap(F.col("place_a"), F.col("place_b"), F.col("n_a"), F.col("n_b"), percent)
-    across = a.join(b.withColumnRenamed("token", "token_b"), (F.col("token") == F.col("token_b")) & can & _pass(percent))
-    across = across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    across = _across(labelled, watched, percent)
     across = staged(across.join(one_hub.unionByName(others), ["a", "b"], "left_anti"), "open-pairs")
     links = links.unionByName(_verified(across, watched, texts_of, width, percent, "open"))
 
