@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from zonecast.operators.scoring import (
-    borough_speed, candidate_rows, clean_forecast, history_fallback, history_window, latest_readings,
+    _gram_size, borough_speed, candidate_rows, clean_forecast, history_fallback, history_window, latest_readings,
     score_linear, scoring_frame, serving_congestion, zone_lookup, zone_road_speed,
 )
 
@@ -93,6 +95,19 @@ def test_road_speed_of_long_names(spark):
     assert got == {0: 5.0, 1: 0.0, 2: 20.0, 3: 15.0, 4: 20.0, 5: 20.0, 6: 10.0, 7: 20.0}
 
 
+def test_road_speed_index_joins_by_shuffle_and_by_over_half_a_name(spark):
+    """The index has many times the links' size, which plans know nothing of: a broadcast of it ended the driver."""
+    feed = [(f"ramp zone {i} nb", "N", str(i % 60), i) for i in range(1000, 1600)]
+    zones = spark.createDataFrame([(i, f"Zone {i}", "N") for i in range(1000, 1600)], "zone_id int, zone string, borough string")
+    found = zone_road_speed(zones, spark.createDataFrame(feed, FEED))
+    assert dict(rows(found)) == {i: float(i % 60) for i in range(1000, 1600)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pairs = [line for line in plan.splitlines() if re.search(r"Join \[gram", line)]
+    assert pairs and all("SortMergeJoin" in line for line in pairs)
+    sizes = spark.createDataFrame([(n, "x" * n) for n in (1, 2, 3, 8, 15, 64, 300)], "n int, name string")
+    assert rows(sizes.select("n", _gram_size(F.col("name")))) == [(1, 1), (2, 2), (3, 2), (8, 8), (15, 8), (64, 64), (300, 64)]
+
+
 def test_borough_speed_skips_unreadable(spark):
     feed = spark.createDataFrame([("l", "N", "10", 1), ("l", "N", "x", 2), ("l", "S", "", 3)], FEED)
     assert rows(borough_speed(feed)) == [("N", 10.0), ("S", None)]

@@ -90,13 +90,19 @@ def borough_speed(feed: DataFrame) -> DataFrame:
     return _speed(feed).groupBy("borough").agg(F.avg("speed").alias("borough_speed"))
 
 
-GRAM = 3
+# Lengths of the substrings that names are looked up by, each twice the one before.
+GRAMS = (1, 2, 4, 8, 16, 32, 64)
 
 
-def _grams(text: Column, size: int = GRAM) -> Column:
+def _grams(text: Column, size: Column) -> Column:
     """The distinct substrings of ``size`` letters."""
     starts = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
-    return F.when(F.length(text) >= size, F.array_distinct(F.transform(starts, lambda at: F.substr(text, at, F.lit(size)))))
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(starts, lambda at: F.substr(text, at, size))))
+
+
+def _gram_size(name: Column) -> Column:
+    """The longest of ``GRAMS`` that fits into a name: over half of its letters, for names below 128."""
+    return F.greatest(*[F.when(F.length(name) >= size, size).otherwise(0) for size in GRAMS])
 
 
 def zone_road_speed(zones: DataFrame, feed: DataFrame, zone: str = ZONE) -> DataFrame:
@@ -104,9 +110,10 @@ def zone_road_speed(zones: DataFrame, feed: DataFrame, zone: str = ZONE) -> Data
 
     Zones without a matching link, or without a name, take their borough's mean; a zone whose
     matching links have no readable speed stays null. The feed is summed once, per link and borough.
-    Containment goes by an index of q-grams: every zone name stands under that of its q-grams which
-    the fewest links have, a link emits each of its q-grams once, and whole names are compared only
-    where the two meet. Names shorter than a q-gram are looked up among the links' letters and pairs.
+    Containment goes by an index of substrings: every zone name stands under that of its substrings of
+    over half its length which the fewest links have, a link emits each of its substrings of these
+    lengths once, and whole names are compared only where the two meet. The index has many times the
+    links' size, which no plan knows, so it joins by shuffle.
     """
     sums = lambda: [F.sum(c).alias(c) for c in ("total", "readable", "matches")]
     read = stage(
@@ -118,15 +125,16 @@ def zone_road_speed(zones: DataFrame, feed: DataFrame, zone: str = ZONE) -> Data
     boroughs = read.groupBy("borough").agg(F.try_divide(F.sum("total"), F.sum("readable")).alias("borough_speed"))
     links = read.where(F.col("link").isNotNull()).groupBy("link").agg(*sums())
     names = zones.select(F.lower("zone").alias("name")).where(F.length("name") > 0).distinct()
-    short = names.agg(F.collect_set(F.least(F.length("name"), F.lit(GRAM)))).scalar()
+    names = names.withColumn("size", _gram_size(F.col("name")))
+    used = names.agg(F.collect_set("size")).scalar()
     empty = F.array().cast("array<string>")
-    parts = [F.when(F.array_contains(F.col("sizes"), size), F.coalesce(_grams(F.col("link"), size), empty)).otherwise(empty) for size in range(1, GRAM + 1)]
-    index = links.withColumn("sizes", short).select("link", "total", "readable", "matches", F.explode(F.concat(*parts)).alias("gram"))
+    parts = [F.when(F.array_contains(F.col("sizes"), size), F.coalesce(_grams(F.col("link"), F.lit(size)), empty)).otherwise(empty) for size in GRAMS]
+    index = links.withColumn("sizes", used).select("link", "total", "readable", "matches", F.explode(F.concat(*parts)).alias("gram"))
     often = index.groupBy("gram").agg(F.count(F.lit(1)).alias("many"))
-    own = names.select("name", F.explode(F.coalesce(_grams(F.col("name")), F.array("name"))).alias("gram"))
-    # A q-gram that no link has leaves its name without a match, whatever the others are.
-    rarest = own.join(often, "gram", "left").groupBy("name").agg(F.min_by("gram", F.struct(F.coalesce("many", F.lit(0)), "gram")).alias("gram"))
-    by_name = index.join(rarest, "gram").where(F.contains("link", "name")).groupBy("name").agg(*sums())
+    own = names.select("name", F.explode(_grams(F.col("name"), F.col("size"))).alias("gram"))
+    # A substring that no link has leaves its name without a match, whatever the others are.
+    rarest = own.join(often.hint("merge"), "gram", "left").groupBy("name").agg(F.min_by("gram", F.struct(F.coalesce("many", F.lit(0)), "gram")).alias("gram"))
+    by_name = index.hint("merge").join(rarest, "gram").where(F.contains("link", "name")).groupBy("name").agg(*sums())
     speed = F.when(F.col("matches") > 0, F.try_divide(F.col("total"), F.col("readable"))).otherwise(F.col("borough_speed"))
     return (
         zones.withColumn("name", F.lower("zone"))
