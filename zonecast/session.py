@@ -4,13 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STAGE_FOLDER = "zonecast_stage"
 BROADCAST_BYTES = 64 * 1024 * 1024
+COUNTED_BYTES = 1024 * 1024  # of files, from which on rows are counted before a broadcast
+ROW_BYTES = 32  # that a broadcast row takes beside its values
+TASK_ROWS = 500_000  # rows that one task sorts or groups
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+SHUFFLE_KEY = "spark.sql.shuffle.partitions"
+SCAN_KEY = "spark.sql.files.minPartitionNum"
 
 
 def build_session(app: str = "zonecast", master: str | None = None, **conf: str) -> SparkSession:
@@ -70,14 +77,51 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def held_bytes(df: DataFrame) -> int:
+    """About what the rows of a result take in memory, which compressed files do not show: its rows are counted."""
+    return df.count() * (int(df._jdf.schema().defaultSize()) + ROW_BYTES)
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Tasks of ``TASK_ROWS`` rows at most, the session's number of shuffle partitions at least.
+
+    What a task sorts or groups stays in its memory, so the number of tasks follows the rows.
+    """
+    return max(int(spark.conf.get(SHUFFLE_KEY)), -(-rows // TASK_ROWS))
+
+
+@contextmanager
+def tasks(spark: SparkSession, number: int) -> Iterator[None]:
+    """Plans made within have at least ``number`` tasks after a shuffle and about as many where they scan files.
+
+    Adaptive execution puts those together that turn out small. For what is written within the block.
+    """
+    if number <= int(spark.conf.get(SHUFFLE_KEY)):
+        yield
+        return
+    before = {key: spark.conf.get(key, None) for key in (SHUFFLE_KEY, SCAN_KEY)}
+    for key in before:
+        spark.conf.set(key, str(number))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def small(df: DataFrame, label: str) -> DataFrame:
     """Mark a side that should be small for broadcast, but only once its size is known.
 
-    A plan of unknown size is written first, so that its real size decides. Above the limit the
-    side joins by shuffle. A client that cannot see plan sizes leaves the choice to AQE.
+    A plan of unknown size is written first, so that its real size decides: that of its rows in memory,
+    as files of few bytes may hold many rows. Above the limit the side joins by shuffle. A client that
+    cannot see plan sizes leaves the choice to AQE.
     """
     if not hasattr(df, "_jdf"):
         return df
     if planned_bytes(df) > BROADCAST_BYTES:
         df = stage(df, label)
-    return F.broadcast(df) if planned_bytes(df) <= BROADCAST_BYTES else df
+    if planned_bytes(df) > BROADCAST_BYTES:
+        return df
+    if planned_bytes(df) > COUNTED_BYTES and held_bytes(df) > BROADCAST_BYTES:
+        return df.hint("merge")
+    return F.broadcast(df)
