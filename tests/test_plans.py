@@ -6,16 +6,18 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from checks import tables
 from checks.compare import differences
 from zonecast.operators import calendars
 from zonecast.operators.lags import city_demand, lag_features
-from zonecast.operators.panel import panel_full, trip_cells
+from zonecast.operators.panel import hourly_targets, panel_full, trip_cells, zone_speed
 from zonecast.operators.spatial import neighbor_demand, zone_adjacency
 from zonecast.operators.weather import panel_weather
 from zonecast.plans.features import clean_trips, feature_panel
+from zonecast.schemas import TARGETS
 from zonecast.session import planned_bytes, small, stage
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -78,6 +80,35 @@ def test_small_side_checks_its_size(spark, monkeypatch, tmp_path):
     assert not hinted(side) and side.count() == 1000
 
 
+def test_side_of_few_bytes_and_many_rows_is_not_broadcast(spark, monkeypatch):
+    """Files of equal values are small; what a broadcast holds is rows."""
+    import zonecast.session as session
+
+    side = stage(spark.range(20000).select(F.col("id") * 0, F.lit("x")), "side")
+    limit = planned_bytes(side) + 1
+    assert limit < 20000 * 32
+    monkeypatch.setattr(session, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(session, "COUNTED_BYTES", 1)
+    hints = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert "strategy=merge" in hints(small(side, "t"))
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 64 << 20)
+    assert "strategy=broadcast" in hints(small(side, "t"))
+
+
+def test_tasks_of_the_panel_grow_with_its_rows(spark, sf_dir, monkeypatch):
+    import zonecast.session as session
+
+    trips, weather = tables.trips(spark, sf_dir), tables.hourly_weather(spark, sf_dir)
+    edges = stage(zone_adjacency(tables.polygons(spark, sf_dir)), "edges")
+    few = [feature_panel(trips, weather, edges), lag_features(hourly_targets(trips), TARGETS), zone_speed(trips)]
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    many = [feature_panel(trips, weather, edges), lag_features(hourly_targets(trips), TARGETS), zone_speed(trips)]
+    for one, other in zip(few, many):
+        assert differences(one.toPandas(), other.toPandas()) == []
+        widths = re.findall(r"Exchange hashpartitioning\(zone_id#\d+, (\d+)\), REPARTITION_BY_NUM", other._jdf.queryExecution().executedPlan().toString())
+        assert max(map(int, widths)) > 10
+
+
 def test_every_query_reads_whole_tables():
     """No sampling and no row caps beyond the operators that are caps."""
     allowed = {"scoring.py", "serving.py", "metrics.py", "store.py"}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from zonecast.functions.numeric import inverse_speed, round_even, zero_filled
 from zonecast.schemas import BIN, SERVICES, ZONE
-from zonecast.session import small, stage
+from zonecast.session import small, stage, tasks_for
 
 
 def trip_counts(trips: DataFrame, zone: str = "pulocationid") -> DataFrame:
@@ -50,13 +50,21 @@ def hour_table(cells: DataFrame) -> DataFrame:
     )
 
 
-def grid_of(cells: DataFrame, hours: DataFrame, continuous: bool = False) -> DataFrame:
+def grid_tasks(cells: DataFrame, continuous: bool = False) -> int:
+    """Tasks for the dense grid of staged cells, by its estimated number of rows."""
+    span = F.timestamp_diff("HOUR", F.min(BIN), F.max(BIN)) + 1 if continuous else F.approx_count_distinct(BIN)
+    rows = cells.agg((F.approx_count_distinct(ZONE) * F.coalesce(span, F.lit(0))).alias("rows")).first()["rows"]
+    return tasks_for(cells.sparkSession, rows)
+
+
+def grid_of(cells: DataFrame, hours: DataFrame, continuous: bool = False, width: int | None = None) -> DataFrame:
     """All zones at all hours: every hour of the span, or only those of ``hours``.
 
     The hours come from a sequence per zone, so no join multiplies rows; the observed hours are
-    kept by an equi semi join. The zones are spread over a fixed number of tasks before they grow.
+    kept by an equi semi join. The zones are spread over ``width`` tasks before they grow, as many
+    as the session's shuffles have without one.
     """
-    width = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = width or int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first = hours.agg(F.min(BIN)).scalar()
     last = hours.agg(F.max(BIN)).scalar()
     span = F.sequence(first, last, F.make_dt_interval(hours=F.lit(1)))
@@ -72,19 +80,22 @@ def zone_hour_grid(trips: DataFrame, continuous: bool = False, zone: str = "pulo
         F.col(zone).alias(ZONE), BIN
     )
     keys = stage(keys.distinct(), "zone_hours")
-    return grid_of(keys, keys.select(BIN).distinct(), continuous)
+    return grid_of(keys, keys.select(BIN).distinct(), continuous, grid_tasks(keys, continuous))
 
 
-def densify(parts: DataFrame, grid: DataFrame) -> DataFrame:
+def densify(parts: DataFrame, grid: DataFrame, width: int | None = None) -> DataFrame:
     """Add the grid's missing (zone, hour) rows to sparse rows and sum each column per key.
 
     Stacked rows are partitioned by zone once; the grouping on (zone, hour) and later windows per
     zone reuse that partitioning. A zone has at most two rows per hour and source, so no zone is
-    larger than the number of hours allows.
+    larger than the number of hours allows. ``width`` is the number of partitions where that of the
+    session is too small for the rows.
     """
     measures = [name for name in parts.columns if name not in (ZONE, BIN)]
     stacked = grid.unionByName(parts, allowMissingColumns=True)
-    return stacked.repartition(ZONE).groupBy(ZONE, BIN).agg(
+    more = width is not None and width > int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = stacked.repartition(width, ZONE) if more else stacked.repartition(ZONE)
+    return placed.groupBy(ZONE, BIN).agg(
         *[F.sum(name).alias(name) for name in measures]
     )
 
@@ -93,7 +104,8 @@ def hourly_targets(trips: DataFrame, services: tuple[str, ...] = SERVICES) -> Da
     """Trips per service on the dense grid of observed hours and zones, 0 where none."""
     targets = [f"target_{service}" for service in services]
     cells = _staged_cells(trips, services).select(ZONE, BIN, *targets)
-    dense = densify(cells, grid_of(cells, cells.select(BIN).distinct()))
+    width = grid_tasks(cells)
+    dense = densify(cells, grid_of(cells, cells.select(BIN).distinct(), width=width), width)
     return zero_filled(dense, targets).select(BIN, ZONE, *targets)
 
 
@@ -115,7 +127,8 @@ def zone_speed(trips: DataFrame) -> DataFrame:
     cells = _staged_cells(trips).select(ZONE, BIN, "mph_sum", "mph_count")
     city = stage(hour_table(cells).select(BIN, "city_avg_speed"), "hours")
     overall = city.agg(F.avg("city_avg_speed")).scalar()
-    dense = densify(cells, grid_of(cells, city, continuous=True)).join(small(city, "hours"), BIN, "left")
+    width = grid_tasks(cells, continuous=True)
+    dense = densify(cells, grid_of(cells, city, continuous=True, width=width), width).join(small(city, "hours"), BIN, "left")
     speed = F.coalesce(F.nullif(F.coalesce(zone_mean(), "city_avg_speed"), F.lit(0.0)), overall)
     return dense.select(BIN, ZONE, speed.alias("zone_avg_speed")).withColumn(
         "zone_congestion_index", F.coalesce(inverse_speed(F.col("zone_avg_speed")), F.lit(0.0))
@@ -144,7 +157,8 @@ def panel_from_cells(cells: DataFrame) -> DataFrame:
     """The panel of ``panel_full`` from staged cells."""
     targets = [name for name in cells.columns if name.startswith("target_")]
     hours = stage(hour_table(cells), "hours")
-    dense = zero_filled(densify(cells, grid_of(cells, hours)), targets)
+    width = grid_tasks(cells)
+    dense = zero_filled(densify(cells, grid_of(cells, hours, width=width), width), targets)
     return with_zone_speed(dense.join(small(hours, "hours"), BIN)).select(
         BIN, ZONE, *targets,
         "city_avg_speed", "city_congestion_index", "zone_avg_speed", "zone_congestion_index",

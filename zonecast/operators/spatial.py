@@ -388,20 +388,22 @@ def load_or_build_adjacency(polygons: DataFrame, path: str, cell_size: float | N
 
 
 def neighbor_sums(
-    cells: DataFrame, edges: DataFrame, targets: Sequence[str] = TARGETS, zone: str = ZONE, bin: str = BIN
+    cells: DataFrame, edges: DataFrame, targets: Sequence[str] = TARGETS, zone: str = ZONE, bin: str = BIN, width: int | None = None
 ) -> DataFrame:
     """Pickups of the zones beside each zone, per hour; empty hours send nothing.
 
-    Summed on (zone, hour), so a zone with very many neighbours is spread over its hours.
+    Summed on (zone, hour), so a zone with very many neighbours is spread over its hours, in ``width``
+    partitions where the session has fewer.
     """
     any_pickup = reduce(lambda a, b: a | b, [F.coalesce(t, F.lit(0)) != 0 for t in targets])
     busy = cells.where(F.col(bin).isNotNull() & any_pickup)
-    return (
+    pairs = (
         busy.select(F.col(zone).alias("neighbor_id"), bin, *targets)
         .join(small(edges.select(zone, "neighbor_id"), "edges"), "neighbor_id")
-        .groupBy(zone, bin)
-        .agg(*[F.sum(t).alias(f"neighbor_pickups_{t}") for t in targets])
     )
+    if width is not None and width > int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        pairs = pairs.repartition(width, zone, bin)
+    return pairs.groupBy(zone, bin).agg(*[F.sum(t).alias(f"neighbor_pickups_{t}") for t in targets])
 
 
 def neighbor_demand(

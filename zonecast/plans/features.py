@@ -9,7 +9,7 @@ from zonecast.functions.numeric import zero_filled
 from zonecast.functions.times import Moment
 from zonecast.operators.calendars import calendar_features
 from zonecast.operators.lags import lag_features
-from zonecast.operators.panel import densify, grid_of, hour_table, trip_cells, with_zone_speed
+from zonecast.operators.panel import densify, grid_of, grid_tasks, hour_table, trip_cells, with_zone_speed
 from zonecast.operators.spatial import neighbor_sums
 from zonecast.operators.trips import hour_bin, normalize_feed, union_feeds, valid_trips, window_filter
 from zonecast.operators.weather import panel_weather
@@ -49,8 +49,9 @@ def feature_panel(
     wide = hours.select(BIN, "_turn", *readings)
 
     within = edges.join(cells.select(ZONE).distinct(), ZONE, "left_semi")
-    sparse = cells.unionByName(neighbor_sums(cells, within), allowMissingColumns=True)
-    dense = zero_filled(densify(sparse, grid_of(cells, hours)), TARGETS + NEIGHBOR_DEMAND)
+    width = grid_tasks(cells)
+    sparse = cells.unionByName(neighbor_sums(cells, within, width=width), allowMissingColumns=True)
+    dense = zero_filled(densify(sparse, grid_of(cells, hours, width=width), width), TARGETS + NEIGHBOR_DEMAND)
     panel = with_zone_speed(dense.join(small(thin, "hours"), BIN))
     if carry_in is not None:
         carry_in = carry_in.select(ZONE, BIN, *LAG_SOURCES).withColumn("_turn", F.lit(0))
