@@ -32,6 +32,21 @@ def test_upsert_replaces_by_key_and_repeats_change_nothing(spark, tmp_path):
     assert rows(upsert_features(later, path), "v") == expected
 
 
+def test_tasks_of_a_write_grow_with_its_rows(spark, tmp_path, monkeypatch):
+    import zonecast.session as session
+    from zonecast.sources import store
+
+    path, key, seen = str(tmp_path / "t"), "spark.sql.shuffle.partitions", []
+    width = spark.conf.get(key)
+    noted = lambda *given: (seen.append(int(spark.conf.get(key))), latest_per_key(*given))[1]
+    monkeypatch.setattr(store, "latest_per_key", noted)
+    monkeypatch.setattr(session, "TASK_ROWS", 10)
+    upsert_features(hours(spark, *[(1, 1 + i % 28, i, i) for i in range(100)]), path)
+    merged = upsert_features(hours(spark, *[(1, 1 + i % 28, i, i + 1000) for i in range(50, 250)]), path)
+    assert rows(merged, "v") == [(i,) for i in (*range(50), *range(1050, 1250))]
+    assert seen == [10, 20] and spark.conf.get(key) == width and spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
 def test_upsert_leaves_other_partitions_alone(spark, tmp_path):
     path = tmp_path / "t"
     upsert_features(hours(spark, (1, 1, 1, 10), (2, 1, 1, 30)), str(path))

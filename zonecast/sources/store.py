@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from zonecast.functions.times import Moment, hour_text, naive
 from zonecast.operators.keyed import latest_per_key
 from zonecast.schemas import BIN, DAY, HOURLY_WEATHER, PANEL, PREDICTION_TYPES, ZONE
-from zonecast.session import stage
+from zonecast.session import small, stage, tasks, tasks_for
 from zonecast.sources.versions import add_folders, commit, newest, next_version, read_version, replace_folders
 
 MONTHS = ("pickup_year", "pickup_month")
@@ -87,7 +87,8 @@ def upsert_features(
 
     Several new rows of one key are decided by ``order_by``, greatest first (by all columns
     without one). Only the partitions that ``df`` touches are read and rewritten; a small batch is
-    broadcast against them, so stored rows are not shuffled for it. The merged rows go to folders of
+    broadcast against them, so stored rows are not shuffled for it. The rows of both are counted, so
+    that tasks grow in number and not in size. The merged rows go to folders of
     their own, which the next version of the table names: readers see the old version until then, a
     lost executor or driver costs no data, and of two writers at once the second fails. A null
     partition value or key is a value like any other. Returns the table.
@@ -95,15 +96,22 @@ def upsert_features(
     spark = df.sparkSession
     before = newest(spark, path)
     stored = _existing(spark, path)
-    rows = latest_per_key(df, keys, order_by)
+    given = stage(df, "upsert_given")
+    many = given.count()
     if stored is not None:
-        rows = stage(rows, "upsert_new")
+        with tasks(spark, tasks_for(spark, many)):
+            rows = stage(latest_per_key(given, keys, order_by), "upsert_new")
         touched = rows.select(*partitions).distinct() if before is not None else stored.select(*partitions).distinct()
-        old = _in_partitions(stored, touched, partitions).alias("o")
-        kept = old.join(rows.select(*keys).alias("n"), _same("o", "n", keys), "left_anti")
-        rows = stage(kept.unionByName(rows, allowMissingColumns=True), "upsert_rows")
-    after = next_version(before, rows.schema, keys, partitions)
-    commit(spark, path, replace_folders(path, after, rows))
+        old = _in_partitions(stored, touched, partitions)
+        many = rows.count() + old.count()
+    with tasks(spark, tasks_for(spark, many)):
+        if stored is None:
+            rows = latest_per_key(given, keys, order_by)
+        else:
+            kept = old.alias("o").join(small(rows.select(*keys), "upsert_keys").alias("n"), _same("o", "n", keys), "left_anti")
+            rows = stage(kept.unionByName(rows, allowMissingColumns=True), "upsert_rows")
+        after = next_version(before, rows.schema, keys, partitions)
+        commit(spark, path, replace_folders(path, after, rows))
     return _existing(spark, path)
 
 
@@ -202,15 +210,16 @@ def append_predictions(pred: DataFrame, hist: DataFrame, path: str) -> DataFrame
 
     A forecast replaces history, and a later forecast an earlier one.
     """
-    rows = pred
-    if _existing(pred.sparkSession, path) is None:
-        both = pred.withColumn("_rank", F.lit(1)).unionByName(
-            hist.withColumn("_rank", F.lit(0)), allowMissingColumns=True
-        )
-        rows = latest_per_key(both, KEYS, ["_rank"]).drop("_rank")
-    return upsert_features(
-        rows.withColumn(DAY, F.to_date(BIN)), path, partitions=(DAY,)
+    spark = pred.sparkSession
+    if _existing(spark, path) is not None:
+        return upsert_features(pred.withColumn(DAY, F.to_date(BIN)), path, partitions=(DAY,))
+    both = pred.withColumn("_rank", F.lit(1)).unionByName(
+        hist.withColumn("_rank", F.lit(0)), allowMissingColumns=True
     )
+    both = stage(both, "log_rows")
+    with tasks(spark, tasks_for(spark, both.count())):
+        rows = latest_per_key(both, KEYS, ["_rank"]).drop("_rank")
+        return upsert_features(rows.withColumn(DAY, F.to_date(BIN)), path, partitions=(DAY,))
 
 
 def backfill_months(
