@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 import random
+from collections import Counter
 from itertools import product
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -229,3 +231,28 @@ def test_words_of_signs_alone_and_letters_set_wide_apart(spark):
     assert toxicity.words_in("@$$", chances) == ["ass"] and toxicity.words_in("@$$!", chances) == ["ass"]
     assert [toxicity.words_in(x, chances) for x in ("$100", "1007", "+1", "!!!", "|||", "455")] == [[]] * 6
     assert toxicity.chunks_of("an i  d\ti\no \u00a0t here") == ["an", "idiot", "here"]
+
+
+def test_chunks_and_trigrams_equal_their_plain_forms(monkeypatch):
+    """Runs of single letters found by lengths, trigrams counted by arrays: as by a pattern and letter by letter."""
+    import re
+
+    source = random.Random(5)
+    spaced = re.compile(r"(?<!\S)(?:\S\s++){2,}\S(?!\S)")
+    texts = ["", " ", "a", "a b", "a b c", " a  b\tc ", "x a b c", "ab c d e\u00a0f gh i j k", "ÄÖ ß! a\x1cb\x1cc", "z" * 50, "İx é. {a b{ it's"]
+    texts += ["".join(source.choice("abyzÉß.! \n\t1") for _ in range(source.randrange(60))) for _ in range(500)]
+    for text in texts:
+        assert toxicity.chunks_of(text) == spaced.sub(lambda found: "".join(found.group().split()), text).split()
+    assert toxicity.chunks_of(None) == []
+    want = Counter()
+    for text in texts:
+        for chunk in toxicity.chunks_of(text):
+            word = chunk.lower().translate(toxicity.PLAIN).strip(".,;:!?")
+            if word.isascii() and word.isalpha():
+                codes = [26, 26, *(ord(c) - 97 for c in word), 26]
+                want.update((a * 27 + b) * 27 + c for a, b, c in zip(codes, codes[1:], codes[2:]))
+    for most in (1, 10, 1 << 20):
+        monkeypatch.setattr(toxicity, "COUNTED_LETTERS", most)
+        batch = pa.RecordBatch.from_arrays([pa.array([*texts, None])], names=["text"])
+        (found,) = toxicity._trigrams(iter([batch]))
+        assert dict(zip(*(column.to_pylist() for column in found.columns))) == want

@@ -30,6 +30,7 @@ LEAST_TEXTS = 3  # toxic texts of the sample that must use one
 BEGINNINGS = range(3, 9)
 CACHED_CHUNKS = 300_000
 COUNTED_CHUNKS = 100_000
+COUNTED_LETTERS = 1 << 20
 
 # What letters the signs of disguised writing stand for.
 LEET = {
@@ -52,7 +53,6 @@ def _plain_letters() -> dict[int, str]:
 
 
 PLAIN = _plain_letters()
-SPACED = re.compile(r"(?<!\S)(?:\S\s++){2,}\S(?!\S)")
 SIGNS = re.compile("[" + re.escape("".join(LEET)) + "]{3,}")
 NUMBER = re.compile(r"[$€+|!]*\d+[$€+|!]*")
 PARTS = re.compile(r"[^\w@$!|+€]+|_+")
@@ -61,10 +61,19 @@ TRAILING = re.compile(r"[!?.,;:]+$|([^\w\s])\1+$")
 
 
 def chunks_of(text: str | None) -> list[str]:
-    """White-space chunks; letters set apart by white space are one chunk."""
-    if not text:
-        return []
-    return SPACED.sub(lambda found: "".join(found.group().split()), text).split()
+    """White-space chunks; three or more letters set apart by white space are one chunk."""
+    chunks = (text or "").split()
+    lengths = list(map(len, chunks))
+    if lengths.count(1) < 3:
+        return chunks
+    single = bytes(map((1).__eq__, lengths))
+    found, done, at = [], 0, single.find(b"\1\1\1")
+    while at >= 0:
+        end = single.find(b"\0", at)
+        end = len(chunks) if end < 0 else end
+        found += [*chunks[done:at], "".join(chunks[at:end])]
+        done, at = end, single.find(b"\1\1\1", end)
+    return found + chunks[done:]
 
 
 def restored(observed: str, chances: np.ndarray) -> str:
@@ -126,13 +135,28 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(27**3)
     counts: Counter[str] = Counter()
 
+    def add(words: list[str], many: list[int]) -> None:
+        # Two edges, the word, one edge: the code after z stands for an edge.
+        codes = np.frombuffer(("{{" + "{{{".join(words) + "{").encode(), np.uint8).astype(np.int32) - 97
+        first, second, third = codes[:-2], codes[1:-1], codes[2:]
+        within = (second != EDGE) | (third != EDGE)  # all others reach from one word into the next
+        weights = np.repeat(np.array(many, float), np.array(list(map(len, words))) + 3)[:-2]
+        total[:] += np.bincount(((first * 27 + second) * 27 + third)[within], weights[within], 27**3)
+
     def settle() -> None:
-        for chunk, many in counts.items():
-            word = chunk.lower().translate(PLAIN).strip(".,;:!?")
+        words, many, letters = [], [], 0
+        for chunk, uses in counts.items():
+            word = chunk.lower()
+            word = (word if word.isascii() else word.translate(PLAIN)).strip(".,;:!?")
             if word.isascii() and word.isalpha():
-                codes = [EDGE, EDGE, *(ord(c) - 97 for c in word), EDGE]
-                for a, b, c in zip(codes, codes[1:], codes[2:], strict=False):
-                    total[(a * 27 + b) * 27 + c] += many
+                words.append(word)
+                many.append(uses)
+                letters += len(word)
+                if letters > COUNTED_LETTERS:
+                    add(words, many)
+                    words, many, letters = [], [], 0
+        if words:
+            add(words, many)
         counts.clear()
 
     for batch in batches:
