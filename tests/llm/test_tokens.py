@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import os
 import random
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -15,7 +17,7 @@ from tokenizers import Tokenizer
 
 from zonecast.llm.bpe import _Chunks, CHUNK, bpe_decode, bpe_encode, fold_merges, fold_words, load_ranks
 from zonecast.llm.packing import _Chunks as _Words
-from zonecast.llm.packing import _cut, pack, pack_histogram, pattern_slots
+from zonecast.llm.packing import _cut, _cut_all, _tokenized, pack, pack_histogram, pattern_slots
 from zonecast.llm.queries import word_vocabulary
 
 TEXTS = [
@@ -113,3 +115,25 @@ def test_pack(spark):
         filled[row["sequence_id"]] = row["offset"] + row["length"]
     assert max(filled.values()) <= 64 and sorted(filled) == list(range(len(filled)))
     assert pack(df.where("false"), word_vocabulary()).count() == 0
+
+
+def test_texts_of_a_batch_share_their_chunks():
+    words = _Words(word_vocabulary())
+    texts = [*TEXTS, None, "", " \t ", " a\x1cb  c ", "İstanbul Straße,", "a|b | c", "Once once ONCE, once!", "x" * 3000]
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for some in (texts, [text for text in texts if "\x1c" not in (text or "")], texts[::-1]):
+        raw, bounds = _tokenized(pa.array(some), words, 1)
+        ids = np.frombuffer(raw, np.uint32).tolist()
+        got = [ids[low:high] for low, high in pairwise(bounds)]
+        assert got == [plain.encode(text or "", add_special_tokens=False).ids + [1] for text in some]
+    # Rare words cost one call of the tokenizer for many of them, none for each.
+    calls = []
+    words.words.model = type("Counted", (), {"tokenize": lambda self, word: calls.append(word)})()
+    _tokenized(pa.array(["onceer twiceer, thriceer.", "fourthly onceer"]), words, 1)
+    assert not calls
+
+
+@given(st.text(st.characters(exclude_categories=["Cs"]), max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_texts_are_cut_as_one_by_one(text):
+    assert [[chunk for chunk in cut if chunk] for cut in _cut_all(pa.array([text, "a b"])).to_pylist()] == [_cut(text), ["a", "b"]]

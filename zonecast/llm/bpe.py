@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import Remembered, list_array, list_values, map_batches, picked, slices
+from zonecast.llm.common import Remembered, held, list_array, list_values, map_batches, picked, slices
 from zonecast.llm.spans import let
 
 # The code points with the Unicode property White_Space.
@@ -95,16 +95,9 @@ class _Chunks(Remembered):
         return np.array(ids, np.int32).tobytes()
 
 
-_WORKER: dict[tuple[int, str], _Chunks] = {}
-
-
 def _chunks(ranks: dict[bytes, int], pattern: str) -> _Chunks:
     """The worker's cache, kept from task to task for the same vocabulary."""
-    key = (hash(frozenset(ranks.items())), pattern)
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = _Chunks(ranks, pattern)
-    return _WORKER[key]
+    return held("bpe", (hash(frozenset(ranks.items())), pattern), lambda: _Chunks(ranks, pattern))
 
 
 def bpe_encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -125,7 +118,7 @@ def bpe_encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["id", "ids"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    return map_batches(rows, run, f"id {id_type}, ids array<int>").withColumnRenamed("id", id)
+    return map_batches(rows, run, f"id {id_type}, ids array<int>", keeps="bpe").withColumnRenamed("id", id)
 
 
 def bpe_decode(df: DataFrame, ranks: dict[bytes, int], id: str = "doc_id", ids: str = "ids") -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -42,21 +43,29 @@ def id_remainder(id: Column, parts: int) -> Column:
 
 
 def map_batches(
-    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, keeps: str | None = None
 ) -> DataFrame:
-    """Apply ``run`` to the Arrow batches of every partition; nothing is held beyond one batch."""
-    return df.mapInArrow(run, schema)
+    """Apply ``run`` to the Arrow batches of every partition; nothing is held beyond one batch.
+
+    ``keeps`` names the operator whose caches the workers may keep, see :func:`held`.
+    """
+
+    def started(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(keeps)
+        yield from run(batches)
+
+    return df.mapInArrow(started, schema)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches cut into parts of at most ``rows`` rows, so that what is made of a part stays small.
 
-    Workers outlive their tasks: what Arrow holds unused is given back at the end of each batch.
+    Workers outlive their tasks: what is unused is given back at the end of each batch.
     """
     for batch in batches:
         for low in range(0, len(batch), rows):
             yield batch.slice(low, rows)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def list_array(offsets, values: pa.Array) -> pa.ListArray:
@@ -74,6 +83,36 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return stage(df, f"llm-{label}")
 
 
+_HELD: dict[str, tuple[Hashable, Any]] = {}
+
+
+def only(operator: str | None) -> None:
+    """Let go of what this worker keeps for all other operators.
+
+    Workers outlive stages and serve one operator after the other; what they keep for one would
+    stand in memory beside that of the next.
+    """
+    others = [name for name in _HELD if name != operator]
+    for name in others:
+        del _HELD[name]
+    if others:
+        give_back()
+
+
+def held(operator: str, key: Hashable, make: Callable[[], Any]) -> Any:
+    """What this worker has made under ``key``, kept from task to task until another operator or key comes."""
+    only(operator)
+    if operator not in _HELD or _HELD[operator][0] != key:
+        _HELD[operator] = key, make()
+    return _HELD[operator][1]
+
+
+def give_back() -> None:
+    """Return to the system what Arrow and the C library hold unused."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
 class Remembered(dict):
     """What a worker has made of keys; keeps between one and two times ``limit`` of the latest."""
 
@@ -91,6 +130,13 @@ class Remembered(dict):
         self[key] = value
         return value
 
+    def take(self, found: dict) -> None:
+        """Keep what has been made of many keys; the older generation goes where both would be too many."""
+        if len(self) + len(found) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        self.update(found)
+
     def __missing__(self, key):
         found = self.old.get(key)
         return self.put(key, self.make(key) if found is None else found)

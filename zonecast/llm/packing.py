@@ -17,14 +17,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import Remembered, map_batches, picked, staged
+from zonecast.llm.common import Remembered, held, map_batches, picked, slices, staged
 from zonecast.session import small
 
 SEQUENCE = 2048
@@ -33,8 +35,8 @@ CACHED_CHUNKS = 300_000
 TOGETHER = 50
 CACHED_TAILS = 10_000
 MARKS = ".,;:!?"
-FIRST_OTHER = "\u0250"  # the letters below are Latin
-DOTTED = "\u0130"  # its lower case is two code points
+# The letters below are Latin; the lower case of the dotted capital I is two code points.
+OTHER = re.compile("[\u0130\u0250-\U0010ffff]")
 # The code points with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
 CHUNK = re.compile(f"[^{WHITE}]+")
@@ -47,6 +49,13 @@ def _cut(text: str | None) -> list[str]:
     return CHUNK.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
 
+def _cut_all(texts: pa.Array) -> pa.ListArray:
+    """:func:`_cut` of each text, at times with empty chunks at its ends."""
+    if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():
+        return pa.array(map(_cut, texts.to_pylist()), pa.list_(pa.string()))
+    return pc.utf8_split_whitespace(texts)
+
+
 def _byte_letters() -> list[str]:
     """The letter that stands for each byte in a byte-level vocabulary: itself if it prints."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -54,21 +63,43 @@ def _byte_letters() -> list[str]:
     return [chr(byte if byte in own else next(rest)) for byte in range(256)]
 
 
-class _Words(Remembered):
-    """Word of lower-case letters to its ids as bytes, by the tokenizer's merges alone."""
+class _Words:
+    """The ids of words of lower-case letters as bytes, by the tokenizer's merges alone.
+
+    Many words are merged as one text; the token that ends a word is told by its suffix.
+    """
 
     def __init__(self, vocabulary: str):
-        super().__init__(CACHED_CHUNKS // 2)
         model = json.loads(vocabulary)["model"]
         merges = [tuple(merge.split(" ")) if isinstance(merge, str) else tuple(merge) for merge in model["merges"]]
-        self.model = BPE(
-            vocab=model["vocab"], merges=merges, end_of_word_suffix=model["end_of_word_suffix"], cache_capacity=0
-        )
+        suffix = model["end_of_word_suffix"]
+        self.model = BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=suffix, cache_capacity=0)
+        self.tokenizer = Tokenizer(self.model)
+        self.tokenizer.pre_tokenizer = WhitespaceSplit()
+        self.last = np.zeros(1 + max(model["vocab"].values()), bool)
+        self.last[[id for token, id in model["vocab"].items() if token.endswith(suffix)]] = True
         self.letters = _byte_letters()
 
-    def make(self, word: str) -> bytes:
-        spelled = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
-        return array("I", [token.id for token in self.model.tokenize(spelled)]).tobytes()
+    def spelled(self, word: str) -> str:
+        return word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+
+    def one(self, word: str) -> bytes:
+        return array("I", [token.id for token in self.model.tokenize(word)]).tobytes()
+
+    def encoded(self, words: list[str]) -> list[bytes]:
+        found, spelled = [], list(map(self.spelled, words))
+        parts = [spelled[i : i + TOGETHER] for i in range(0, len(spelled), TOGETHER)]
+        for part, encoded in zip(
+            parts, self.tokenizer.encode_batch_fast(list(map(" ".join, parts)), add_special_tokens=False), strict=True
+        ):
+            ids = np.array(encoded.ids, np.uint32)
+            ends = (4 * np.flatnonzero(self.last[ids]) + 4).tolist()
+            if len(ends) == len(part):
+                raw = ids.tobytes()
+                found += [raw[start:end] for start, end in itertools.pairwise([0, *ends])]
+            else:  # a vocabulary without some letter
+                found += map(self.one, part)
+        return found
 
 
 class _Chunks(Remembered):
@@ -89,51 +120,74 @@ class _Chunks(Remembered):
     def make(self, chunk: str) -> bytes:
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, np.uint32).tobytes()
 
+    def encoded(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk."""
+        found = list(map(self.get, chunks))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        made = self._made([chunks[i] for i in new])
+        for i in new:
+            found[i] = made[chunks[i]]
+        return found
+
     def learn(self, chunks: Iterable[str]) -> None:
-        found, others, old, words, tails = {}, [], self.old, self.words, self.tails
-        for chunk in itertools.filterfalse(self.__contains__, set(chunks)):
+        """Keep the ids of the ``chunks`` for later ones."""
+        self._made(itertools.filterfalse(self.__contains__, set(chunks)))
+
+    def _made(self, chunks: Iterable[str]) -> dict[str, bytes]:
+        """The ids of distinct ``chunks`` that are not among the latest."""
+        found, others, old, tails = {}, [], self.old, self.tails
+        plain, words, ends = [], [], []  # no tuples: many would set off the garbage collector
+        for chunk in chunks:
             known = old.get(chunk)
             if known is not None:
                 found[chunk] = known
                 continue
             word = chunk.rstrip(MARKS)
-            if word.isalpha() and (word.isascii() or (max(word) < FIRST_OTHER and DOTTED not in word)):
-                tail = chunk[len(word) :]
-                if tail not in tails:
-                    if len(tails) >= CACHED_TAILS:
-                        tails.clear()
-                    tails[tail] = self.make(tail)
-                found[chunk] = words[word.lower()] + tails[tail]
-            elif "|" not in chunk:
+            if word.isalpha() and (word.isascii() or not OTHER.search(word)):
+                plain.append(chunk)
+                words.append(word.lower())
+                ends.append(chunk[len(word) :])
+            elif "|" in chunk:
+                found[chunk] = self.make(chunk)
+            else:
                 others.append(chunk)
-        self.take(found)
+        if len(tails) > CACHED_TAILS:
+            tails.clear()
+        for tail in set(ends).difference(tails):
+            tails[tail] = self.make(tail)
+        distinct = list(set(words))
+        known = dict(zip(distinct, self.words.encoded(distinct), strict=True))
+        for chunk, word, tail in zip(plain, words, ends, strict=True):
+            found[chunk] = known[word] + tails[tail]
         parts = [others[i : i + TOGETHER] for i in range(0, len(others), TOGETHER)]
         texts = [" | ".join([*part, ""]) for part in parts]
-        for part, found in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = np.array(found.ids, np.uint32)
+        for part, encoded in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(encoded.ids, np.uint32)
             raw, start = ids.tobytes(), 0
             for chunk, end in zip(part, np.flatnonzero(ids == self.bar).tolist(), strict=True):
-                self.put(chunk, raw[4 * start : 4 * end])
+                found[chunk] = raw[4 * start : 4 * end]
                 start = end + 1
+        self.take(found)
+        return found
 
 
-    def take(self, found: dict[str, bytes]) -> None:
-        """Keep what a batch has made; the older generation goes where both would be too many."""
-        if len(self) + len(found) > self.limit:
-            self.old = dict(self)
-            self.clear()
-        self.update(found)
-
-
-_WORKER: dict[int, _Chunks] = {}
+def _chunks(vocabulary: str) -> _Chunks:
+    return held("packing", hash(vocabulary), lambda: _Chunks(vocabulary))
 
 
-def _chunks(vocabulary: str) -> _Chunks:
-    key = hash(vocabulary)
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = _Chunks(vocabulary)
-    return _WORKER[key]
+def _tokenized(texts: pa.Array, chunks: _Chunks, end: int) -> tuple[bytes, list[int]]:
+    """The ids of all texts behind each other, each with ``end`` at its end, and the ids before each text."""
+    cut = _cut_all(texts)
+    coded = cut.flatten().dictionary_encode()
+    encoded = chunks.encoded(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+    sizes = np.array([*map(len, encoded), 4]) // 4
+    pool = np.frombuffer(b"".join([*encoded, np.array([end], np.uint32).tobytes()]), np.uint32)
+    many = np.cumsum(cut.value_lengths().fill_null(0).to_numpy())
+    used = np.insert(coded.indices.to_numpy(), many, len(encoded))
+    lengths = sizes[used]
+    ends = np.cumsum(lengths)
+    ids = pool[np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[used] - ends + lengths, lengths)]
+    return ids.tobytes(), [0, *ends[many + np.arange(len(many))].tolist()]
 
 
 def tokenized_pieces(
@@ -146,41 +200,36 @@ def tokenized_pieces(
     """
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
     rows = picked(df, id=id, text=text)
-    last = np.array([end], np.uint32).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks, task = _chunks(shared.value), TaskContext.get().partitionId()
         turns = np.zeros(sequence + 1, np.int64)
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for low in range(0, len(texts), 256):
-                source, starts, pieces, totals = [], [], [], []
-                cut = [_cut(text) for text in texts[low : low + 256]]
-                chunks.learn(itertools.chain.from_iterable(cut))
-                for row, found in enumerate(cut, low):
-                    encoded = b"".join(map(chunks.__getitem__, found)) + last
-                    for start in range(0, len(encoded), 4 * sequence):
-                        source.append(row)
-                        starts.append(start // 4)
-                        pieces.append(encoded[start : start + 4 * sequence])
-                        totals.append(len(encoded) // 4)
-                lengths = np.array([len(piece) // 4 for piece in pieces])
-                turn = np.empty(len(lengths), np.int64)
-                for i, length in enumerate(lengths.tolist()):
-                    turn[i] = turns[length]
-                    turns[length] += 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.take(pa.array(source)), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()),
-                        pa.array(pieces, pa.binary()), pa.array(totals, pa.int64()),
-                        pa.array(np.full(len(lengths), task)), pa.array(turn),
-                    ],
-                    names=["id", "start", "length", "ids", "doc_tokens", "task", "turn"],
-                )
+        for batch in slices(batches):
+            raw, bounds = _tokenized(batch.column(1), chunks, end)
+            source, starts, pieces, totals = [], [], [], []
+            for row, (low, high) in enumerate(itertools.pairwise(bounds)):
+                for start in range(low, high, sequence):
+                    source.append(row)
+                    starts.append(start - low)
+                    pieces.append(raw[4 * start : 4 * min(start + sequence, high)])
+                    totals.append(high - low)
+            lengths = np.array([len(piece) // 4 for piece in pieces])
+            turn = np.empty(len(lengths), np.int64)
+            for i, length in enumerate(lengths.tolist()):
+                turn[i] = turns[length]
+                turns[length] += 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(source)), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()),
+                    pa.array(pieces, pa.binary()), pa.array(totals, pa.int64()),
+                    pa.array(np.full(len(lengths), task)), pa.array(turn),
+                ],
+                names=["id", "start", "length", "ids", "doc_tokens", "task", "turn"],
+            )
 
     id_type = rows.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, start long, length long, ids binary, doc_tokens long, task long, turn long"
-    return map_batches(rows, run, schema).withColumnRenamed("id", id)
+    return map_batches(rows, run, schema, keeps="packing").withColumnRenamed("id", id)
 
 
 def pack_histogram(histogram: dict[int, int], sequence: int = SEQUENCE) -> list[tuple[int, tuple[int, ...]]]:
