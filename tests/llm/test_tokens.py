@@ -137,3 +137,15 @@ def test_texts_of_a_batch_share_their_chunks():
 @settings(max_examples=200, deadline=None)
 def test_texts_are_cut_as_one_by_one(text):
     assert [[chunk for chunk in cut if chunk] for cut in _cut_all(pa.array([text, "a b"])).to_pylist()] == [_cut(text), ["a", "b"]]
+
+
+def test_a_worker_keeps_the_cache_of_one_operator():
+    from zonecast.llm import common, near_duplicates, packing
+
+    common.held("before", None, list)
+    first = packing._chunks(word_vocabulary())
+    assert packing._chunks(word_vocabulary()) is first and len(common._HELD) == 1
+    near_duplicates.shingle_set("one two three four five six")
+    assert list(common._HELD) == ["shingles"]
+    common.only(None)
+    assert not common._HELD

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from zonecast.llm.common import Remembered, list_array, map_batches, picked, slices, staged, unused
+from zonecast.llm.common import Remembered, give_back, held, list_array, map_batches, only, picked, slices, staged, unused
 from zonecast.session import small
 
 SHINGLE = 5
@@ -50,9 +50,6 @@ class _Words(Remembered):
         return xxhash.xxh3_64_intdigest(word)
 
 
-_WORDS = _Words(CACHED_WORDS)
-
-
 def _mixed(values: np.ndarray, factor: np.uint64) -> np.ndarray:
     with np.errstate(over="ignore"):
         values = (values ^ (values >> np.uint64(31))) * factor
@@ -66,7 +63,8 @@ def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(words) < width:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=1)], np.uint64)
-    hashed = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    known = held("shingles", None, lambda: _Words(CACHED_WORDS))
+    hashed = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     many = len(words) - width + 1
     found = np.zeros(many, np.uint64)
     with np.errstate(over="ignore"):
@@ -153,6 +151,7 @@ def _senders(width: int, owner_bits: int, schema: pa.Schema):
 
 def _frequencies(blobs: pd.DataFrame) -> pd.DataFrame:
     """One owner: for each block, those of its tokens that several sets hold, with their frequency's rank."""
+    only(None)
     lists = [np.cumsum(_unpacked(blob), dtype=np.uint32) for blob in blobs["low"]]
     counts = np.frombuffer(b"".join(blobs["counts"]), np.uint8)
     _, at = np.unique(np.concatenate(lists), return_inverse=True)
@@ -174,15 +173,24 @@ PREFIX = (
 )
 
 
+def _filled(columns: dict, schema: pa.Schema) -> pa.Table:
+    """A table of ``schema`` with the ``columns`` given and nulls in the others."""
+    many = len(next(iter(columns.values())))
+    arrays = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(many, f.type) for f in schema]
+    return pa.Table.from_arrays(arrays, schema=schema)
+
+
 def _prefixes(percent: int):
     """One block: the first tokens of every set by rising frequency, and those under other orders.
 
     Tokens of one set only come first in all orders; only those after them are given. ``hidden``
     counts what has become one token by its bits.
     """
-    columns = [part.split()[0] for part in PREFIX.split(", ")]
+    schema = to_arrow_schema(T.StructType.fromDDL(PREFIX))
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+    def run(table: pa.Table) -> pa.Table:
+        only(None)
+        rows = table.to_pandas()
         own = rows["owner"] == -1
         head, answers = rows[own].iloc[0], rows[~own]
         block, starts, sizes = int(head["block"]), _unpacked(head["starts"]).astype(np.int64), _unpacked(head["sizes"]).astype(np.int64)
@@ -213,18 +221,18 @@ def _prefixes(percent: int):
                 ranked = np.sort(_mixed(tokens, factor))[:most]
                 watched.append(np.unique(ranked.astype(np.uint32)).view(np.int32))
             hidden = [min(most, len(tokens)) - len(kept) for kept in watched]
-            lists.append((None, node, n, None, (block << 20) + k, *watched, *hidden))
+            lists.append((node, n, (block << 20) + k, *watched, *hidden))
+        give_back()
         if not found:
-            return pd.DataFrame(columns=columns)
+            return schema.empty_table()
         many = [len(tokens) for tokens, *_ in found]
-        prefix = pd.DataFrame({
+        prefix = {
             "token": np.concatenate([tokens for tokens, *_ in found]).view(np.int64),
             "node": np.repeat([node for _, node, _, _ in found], many), "n": np.repeat([n for _, _, n, _ in found], many),
             "place": np.concatenate([places for *_, places in found]),
-        })
-        both = [frame.reindex(columns=columns).astype(object) for frame in (prefix, pd.DataFrame(lists, columns=columns))]
-        both = pd.concat(both)
-        return both.where(both.notna(), None)
+        }
+        nodes = dict(zip(("node", "n", "row", "first_1", "first_2", "hidden_1", "hidden_2"), zip(*lists, strict=True), strict=True))
+        return pa.concat_tables([_filled(prefix, schema), _filled(nodes, schema)])
 
     return run
 
@@ -289,7 +297,7 @@ def _verified(pairs: DataFrame, watched: DataFrame, texts_of, width: int, percen
     """The pairs (a, b) that link: the filters of the further orders first, then whole sets."""
     met = staged(_met(pairs, watched, percent), f"{label}-met")
     nodes = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node"))).distinct()
-    sets = staged(map_batches(texts_of(nodes), _whole_sets(width), "node long, row long, tokens array<long>"), f"{label}-sets")
+    sets = staged(map_batches(texts_of(nodes), _whole_sets(width), "node long, row long, tokens array<long>", "shingles"), f"{label}-sets")
     both = _sides(met, _one_per_node(sets), "tokens")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     return both.where(100 * shared >= percent * (F.col("together") - shared)).select("a", "b")
@@ -385,14 +393,14 @@ def _members(
     chars = rows.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     owner_bits = max(LEAST_OWNER_BITS, int(np.ceil(np.log2(max(1, chars / OWNER_CHARS)))))
     schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL(SENT)])
-    sent = staged(map_batches(rows, _senders(width, owner_bits, to_arrow_schema(schema)), schema), "sets")
+    sent = staged(map_batches(rows, _senders(width, owner_bits, to_arrow_schema(schema)), schema, "shingles"), "sets")
     nodes = sent.where("block is null").select("id", "node", "n")
     parts = sent.where("block is not null")
     of_block = "block long, owner int, low binary, counts binary, positions binary"
     answers = parts.where("owner >= 0").select("block", "owner", "low", "counts").groupBy("owner").applyInPandas(_frequencies, of_block)
     blocks = parts.where("owner = -1").select("block", "owner", "positions", "nodes", "sizes", "starts")
     blocks = blocks.unionByName(answers, allowMissingColumns=True)
-    first = staged(blocks.groupBy("block").applyInPandas(_prefixes(percent), PREFIX), "prefixes")
+    first = staged(blocks.groupBy("block").applyInArrow(_prefixes(percent), PREFIX), "prefixes")
     watched = staged(_one_per_node(first.where("token is null").select("row", "node", *WATCHED)), "watched")
 
     lists = first.where("token is not null").select("token", "node", "n", "place")

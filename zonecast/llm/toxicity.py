@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import Remembered, map_batches, picked, staged
+from zonecast.llm.common import Remembered, map_batches, only, picked, staged
 
 SAMPLE = 8_000  # labelled rows the lexicon and the final weights are learned from
 LEXICON = 3_000  # words and beginnings that carry a weight
@@ -327,6 +327,7 @@ def with_toxicity(df: DataFrame, model: ToxicityModel, score: str = "score", tex
 
     @F.pandas_udf("double")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        only(None)
         weights = _Weights(shared.value)
         for batch in texts:
             inputs = np.array([_evidence(text, weights) for text in batch]).reshape(-1, 4)
