@@ -15,7 +15,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from zonecast.llm import common
 from zonecast.llm.bpe import _Chunks, CHUNK, bpe_decode, bpe_encode, fold_merges, fold_words, load_ranks
+from zonecast.llm.near_duplicates import jaccard_components
 from zonecast.llm.packing import _Chunks as _Words
 from zonecast.llm.packing import _cut, _cut_all, _tokenized, pack, pack_histogram, pattern_slots
 from zonecast.llm.queries import word_vocabulary
@@ -149,3 +151,24 @@ def test_a_worker_keeps_the_cache_of_one_operator():
     assert list(common._HELD) == ["shingles"]
     common.only(None)
     assert not common._HELD
+
+
+def test_whole_texts_reach_workers_a_slice_at_a_time(spark, monkeypatch):
+    """Packing and the shingles ask for batches no larger than what they work on, and leave the session as it was."""
+    before, seen = spark.conf.get(common.BATCH_KEY), {}
+
+    def counted(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["many"])
+
+    def watched(df, label, stage=common.stage):
+        many = common.map_batches(spark.range(1200, numPartitions=1).toDF("id"), counted, "many long")
+        seen.setdefault(label, max(row["many"] for row in stage(many, "many").collect()))
+        return stage(df, label)
+
+    monkeypatch.setattr(common, "stage", watched)
+    rows = spark.createDataFrame([(i, f"one two three four five six {i}") for i in range(3)], "doc_id long, text string")
+    assert pack(rows, word_vocabulary()).count() == 3
+    assert jaccard_components(rows).count() == 3
+    assert seen["llm-pieces"] == seen["llm-sets"] == seen["llm-hub-sets"] == common.SLICE_ROWS
+    assert seen["llm-piece-counts"] == 1200 and spark.conf.get(common.BATCH_KEY) == before

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Hashable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import numpy as np
@@ -15,6 +16,7 @@ from zonecast.session import stage
 
 
 SLICE_ROWS = 500
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,11 +80,31 @@ def list_values(lists: pa.ListArray) -> tuple[np.ndarray, list[int]]:
     return values, np.cumsum([0, *lists.value_lengths().fill_null(0).to_pylist()]).tolist()
 
 
+@contextmanager
+def sliced_batches(spark: SparkSession, rows: int = SLICE_ROWS) -> Iterator[None]:
+    """Workers get batches of at most ``rows`` rows from what runs within: whole texts stand in both processes as one batch."""
+    before = spark.conf.get(BATCH_KEY)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(BATCH_KEY, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_KEY, before)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder: lost executors cost no recomputation of it."""
     return stage(df, f"llm-{label}")
 
 
+def staged_texts(df: DataFrame, label: str) -> DataFrame:
+    """:func:`staged` for what workers make of whole texts a slice at a time."""
+    with sliced_batches(df.sparkSession):
+        return staged(df, label)
+
+
 _HELD: dict[str, tuple[Hashable, Any]] = {}
 
 

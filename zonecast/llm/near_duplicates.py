@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from zonecast.llm.common import Remembered, give_back, held, list_array, map_batches, only, picked, slices, staged, unused
+from zonecast.llm.common import Remembered, give_back, held, list_array, map_batches, only, picked, slices, staged, staged_texts, unused
 from zonecast.session import small
 
 SHINGLE = 5
@@ -297,7 +297,7 @@ def _verified(pairs: DataFrame, watched: DataFrame, texts_of, width: int, percen
     """The pairs (a, b) that link: the filters of the further orders first, then whole sets."""
     met = staged(_met(pairs, watched, percent), f"{label}-met")
     nodes = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node"))).distinct()
-    sets = staged(map_batches(texts_of(nodes), _whole_sets(width), "node long, row long, tokens array<long>", "shingles"), f"{label}-sets")
+    sets = staged_texts(map_batches(texts_of(nodes), _whole_sets(width), "node long, row long, tokens array<long>", "shingles"), f"{label}-sets")
     both = _sides(met, _one_per_node(sets), "tokens")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     return both.where(100 * shared >= percent * (F.col("together") - shared)).select("a", "b")
@@ -393,7 +393,7 @@ def _members(
     chars = rows.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     owner_bits = max(LEAST_OWNER_BITS, int(np.ceil(np.log2(max(1, chars / OWNER_CHARS)))))
     schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL(SENT)])
-    sent = staged(map_batches(rows, _senders(width, owner_bits, to_arrow_schema(schema)), schema, "shingles"), "sets")
+    sent = staged_texts(map_batches(rows, _senders(width, owner_bits, to_arrow_schema(schema)), schema, "shingles"), "sets")
     nodes = sent.where("block is null").select("id", "node", "n")
     parts = sent.where("block is not null")
     of_block = "block long, owner int, low binary, counts binary, positions binary"

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import Remembered, held, map_batches, picked, slices, staged
+from zonecast.llm.common import Remembered, held, map_batches, picked, slices, staged, staged_texts
 from zonecast.session import small
 
 SEQUENCE = 2048
@@ -310,4 +310,4 @@ def pack(
     and ids, null ids and other columns change nothing. Every id lies in exactly one piece. The
     pieces are written once, so ranks stay as they are when an executor is lost.
     """
-    return pack_pieces(staged(tokenized_pieces(df, vocabulary, id, text, sequence, end), "pieces"), sequence)
+    return pack_pieces(staged_texts(tokenized_pieces(df, vocabulary, id, text, sequence, end), "pieces"), sequence)
