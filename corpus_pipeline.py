@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import id_remainder, labels, unused
+from zonecast.llm.common import id_remainder, labels, staged_texts, unused
 from zonecast.llm.exact_dedup import drop_exact_copies
 from zonecast.llm.near_duplicates import one_per_component
 from zonecast.llm.packing import pack
@@ -23,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity stays below the threshold; the labels of ids the query holds out are not used."""
     model = fit_toxicity(docs, labels(spark, sf_dir), id_remainder(F.col("doc_id"), 3) != 1)
     score = unused(docs, "_score")
-    return with_toxicity(docs, model, score).where(F.col(score) < TOXIC_FROM).drop(score)
+    return staged_texts(with_toxicity(docs, model, score).where(F.col(score) < TOXIC_FROM).drop(score), "clean")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from zonecast.llm import language, quality, toxicity
+import corpus_pipeline
+from zonecast.llm import common, language, quality, toxicity
 from zonecast.llm.top_k import LEVELS, segment_statistics, top_k
 
 SCHEMA = "doc_id long, text string, lang string"
@@ -192,6 +193,29 @@ def test_toxic_documents(spark):
     assert toxicity.toxicity(df.where("false"), model).count() == 0
 
 
+def test_toxicity_reads_few_whole_texts_at_once(spark, monkeypatch):
+    """The query and the stage ask for batches of a slice, a task's counts are cut, and neither changes a score."""
+    before, seen = spark.conf.get(common.BATCH_KEY), {}
+
+    def watched(df, label, stage=common.stage):
+        seen.setdefault(label, int(spark.conf.get(common.BATCH_KEY)))
+        return stage(df, label)
+
+    monkeypatch.setattr(common, "stage", watched)
+    rows = [(i, f"river house {'idiot moron' if i % 2 else 'green walks'} w{i}", "en") for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    whole = toxicity.fit_toxicity(df, labels, F.lit(True))
+    monkeypatch.setattr(toxicity, "COUNTED_MARKS", 5)
+    cut = toxicity.fit_toxicity(df, labels, F.lit(True))
+    assert cut.lexicon == whole.lexicon != {} and np.allclose(cut.final, whole.final, rtol=1e-9)
+    assert {r["doc_id"] for r in toxicity.toxicity(df, cut).where("score >= 0.7").collect()} == set(range(1, 60, 2))
+    monkeypatch.setattr(corpus_pipeline, "labels", lambda *_: labels)
+    assert {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, df, "").collect()} == set(range(0, 60, 2))
+    assert seen["llm-marks"] == seen["llm-toxicity"] == seen["llm-clean"] == common.SLICE_ROWS
+    assert spark.conf.get(common.BATCH_KEY) == before
+
+
 def test_bounds_hold():
     draw = np.random.default_rng(5)
     a, b = draw.integers(-300, 300, (40, 13)), draw.integers(-300, 300, (50, 13))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import Remembered, map_batches, only, picked, staged
+from zonecast.llm.common import Remembered, give_back, map_batches, only, picked, sliced_batches, staged, staged_texts
 
 SAMPLE = 8_000  # labelled rows the lexicon and the final weights are learned from
 LEXICON = 3_000  # words and beginnings that carry a weight
@@ -30,7 +30,8 @@ LEAST_TEXTS = 3  # toxic texts of the sample that must use one
 BEGINNINGS = range(3, 9)
 CACHED_CHUNKS = 300_000
 COUNTED_CHUNKS = 100_000
-COUNTED_LETTERS = 1 << 20
+COUNTED_LETTERS = 1 << 18
+COUNTED_MARKS = 100_000
 
 # What letters the signs of disguised writing stand for.
 LEET = {
@@ -173,7 +174,9 @@ def character_chances(df: DataFrame, text: str = "text") -> np.ndarray:
     """Log probability of a letter (or a word's end) after two letters, from all texts of ``df``."""
     counted = map_batches(picked(df, text=text), _trigrams, "trigram long, many double")
     counts = np.zeros(27**3)
-    for row in counted.groupBy("trigram").agg(F.sum("many").alias("many")).collect():
+    with sliced_batches(df.sparkSession):
+        found = counted.groupBy("trigram").agg(F.sum("many").alias("many")).collect()
+    for row in found:
         counts[row["trigram"]] = row["many"]
     counts = counts.reshape(27, 27, 27) + 0.01
     single = counts.sum(axis=(0, 1)) / counts.sum()
@@ -235,6 +238,13 @@ def _lexicon(cases: DataFrame, chances: np.ndarray, most: int) -> dict[str, tupl
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0])
+
+        def settle() -> Iterator[pa.RecordBatch]:
+            columns = zip(*sums.values(), strict=True) if sums else ((), (), ())
+            arrays = [pa.array(list(sums), pa.string()), *(pa.array(column, pa.int64()) for column in columns)]
+            sums.clear()
+            yield from pa.table(arrays, names=["mark", "used", "clean", "texts"]).to_batches(max_chunksize=20_000)
+
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = Counter(word for chunk in chunks_of(text) for word in words_in(chunk, shared.value))
@@ -246,11 +256,11 @@ def _lexicon(cases: DataFrame, chances: np.ndarray, most: int) -> dict[str, tupl
                     held = sums[mark]
                     held[0 if toxic else 1] += many
                     held[2] += toxic
-        columns = zip(*sums.values(), strict=True) if sums else ((), (), ())
-        arrays = [pa.array(list(sums), pa.string()), *(pa.array(column, pa.int64()) for column in columns)]
-        yield from pa.table(arrays, names=["mark", "used", "clean", "texts"]).to_batches(max_chunksize=20_000)
+                if len(sums) > COUNTED_MARKS:
+                    yield from settle()
+        yield from settle()
 
-    counted = staged(map_batches(cases.select("text", "toxic"), count, "mark string, used long, clean long, texts long"), "marks")
+    counted = staged_texts(map_batches(cases.select("text", "toxic"), count, "mark string, used long, clean long, texts long"), "marks")
     sums = staged(counted.groupBy("mark").agg(*[F.sum(name).alias(name) for name in ("used", "clean", "texts")]), "mark-sums")
     whole = sums.where("mark = ''").first()
     if whole is None or not whole["used"] or not whole["clean"]:
@@ -314,12 +324,14 @@ def _inputs(cases: DataFrame, model: ToxicityModel) -> list:
             values = pa.array(rows, pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([values, batch.column(1)], names=["inputs", "toxic"])
 
-    return map_batches(cases.select("text", "toxic"), run, "inputs array<double>, toxic int").collect()
+    with sliced_batches(cases.sparkSession):
+        return map_batches(cases.select("text", "toxic"), run, "inputs array<double>, toxic int").collect()
 
 
 def with_toxicity(df: DataFrame, model: ToxicityModel, score: str = "score", text: str = "text") -> DataFrame:
     """``df`` with a column ``score`` from 0 to 1.
 
+    Texts reach a worker in batches of the session's size; within :func:`sliced_batches` few stand in memory at once.
     A null text scores as an empty one. Rows are independent: repeated rows and ids, null ids, other
     columns and the length of a text change nothing; an empty table gives no rows.
     """
@@ -332,6 +344,8 @@ def with_toxicity(df: DataFrame, model: ToxicityModel, score: str = "score", tex
         for batch in texts:
             inputs = np.array([_evidence(text, weights) for text in batch]).reshape(-1, 4)
             yield pd.Series(1 / (1 + np.exp(-np.clip(inputs @ shared.value.final, -30, 30))))
+        del weights
+        give_back()
 
     return df.withColumn(score, scored(F.col(f"`{text}`")))
 
@@ -339,4 +353,4 @@ def with_toxicity(df: DataFrame, model: ToxicityModel, score: str = "score", tex
 def toxicity(df: DataFrame, model: ToxicityModel, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``df``: id, score from 0 to 1, as :func:`with_toxicity` gives it."""
     rows = picked(df, id=id, text=text)
-    return with_toxicity(rows, model).select(F.col("id").alias(id), "score")
+    return staged_texts(with_toxicity(rows, model).select("id", "score"), "toxicity").withColumnRenamed("id", id)
