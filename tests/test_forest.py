@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
@@ -93,3 +95,13 @@ def test_missing_targets_are_refused(panel, unlaid):
     holes = panel.withColumn(TARGETS[1], F.when(F.col("id") != 7, F.col(TARGETS[1])))
     with pytest.raises(Exception, match="rows without a value"):
         ml.train_gbt(holes, params={"numTrees": 2, "maxDepth": 2}, model="random_forest")
+
+
+def test_features_are_made_once_a_row_when_trees_score(spark):
+    leaf = (None, None, None, None, None)
+    made = [(t, 0, 1.0, *node) for t in "yz" for node in ((0, 1, 2.0, None, 1, 2, 0.0), (1, *leaf, 5.0), (2, *leaf, 7.0))]
+    rows = spark.createDataFrame([(1, Vectors.dense(0.0, 2.0)), (2, Vectors.sparse(2, [1], [3.0]))], ["id", "v"])
+    scored = trees.score_trees(rows, spark.createDataFrame(made, trees.NODES), vector_to_array("v"), ("y", "z"))
+    assert scored.columns == ["id", "v", "pred_y", "pred_z"]
+    assert sorted(r["pred_z"] for r in scored.collect()) == [5.0, 7.0]
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("UDF(v") == 1
